@@ -96,19 +96,24 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """history(run_id, it, train_loss, val_loss) from ``events``: run = user_id,
-    it = 250 * (rank by (ts, event_id) - 1), val = value, train = 0.9 * value.
+    """history(run_id, it, train_loss, val_loss, secs) from ``events``: run = user_id,
+    it = 250 * (rank by (ts, event_id) - 1), val = value, train = 0.9 * value,
+    secs = seconds since the run's first eval.
 
     The rank is a two-level running count (hour chunks of ``ts``), so one run
     holding a third of all events is spread over its chunks.
     """
-    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    e = read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
     chunk = F.floor(F.unix_micros("ts") / F.lit(HISTORY_CHUNK_MICROS))
     r = running_agg(e, F.lit(1), ["ts", "event_id"], "__rn", chunk, keys=["user_id"])
+    first = e.groupBy("user_id").agg(F.min(F.unix_micros("ts")).alias("__t0"))
+    r = r.join(first, "user_id")
     return r.select(F.col("user_id").alias("run_id"),
                     (F.lit(250) * (F.col("__rn") - 1)).cast("int").alias("it"),
                     (F.lit(0.9) * F.col("value")).alias("train_loss"),
-                    F.col("value").alias("val_loss"))
+                    F.col("value").alias("val_loss"),
+                    ((F.unix_micros("ts") - F.col("__t0")) / F.lit(1e6)).alias("secs"))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

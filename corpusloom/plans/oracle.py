@@ -244,3 +244,158 @@ SQL["score_documents"] = with_(SEQ, """X AS (SELECT item_id, c1, w FROM (
           FROM benchmark)) WHERE c1 IS NOT NULL)""") + f"""
 SELECT CAST(item_id AS BIGINT) AS item_id, CAST(count(*) AS BIGINT) AS targets, round(avg(-ln({bigram_p()})), 6) AS ce
 FROM X {PROB_JOIN}, stats s, ntr_t t GROUP BY item_id"""
+
+# ----------------------------------------------------------------------------- F
+U52 = "4503599627370496.0"
+
+
+def unit_sql(*keys: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws('|', {', '.join(keys)})), 1, 13))::BIGINT / {U52})"
+
+
+# Bigram distribution over every vocabulary context (and, for generation, the
+# empty context and any prompt character outside the vocabulary).
+VOCAB = "vocab AS (SELECT row_number() OVER (ORDER BY c) - 1 AS id, c FROM (SELECT DISTINCT c FROM seq))"
+DIST = f"""X AS (SELECT a.c1, b.id, b.c AS w FROM ctxs a, vocab b),
+dist AS (SELECT X.c1 AS ctx, X.id, X.w AS token, ln({bigram_p()}) AS logit
+         FROM X {PROB_JOIN}, stats s, ntr_t t),
+tdist AS (SELECT ctx, id, token, logit / {Q.TEMPERATURE} AS lt FROM dist),
+kdist AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY lt DESC) AS rk FROM tdist)
+          WHERE rk <= {Q.TOP_K}),
+edist AS (SELECT ctx, id, token, exp(lt - max(lt) OVER (PARTITION BY ctx)) AS e FROM kdist),
+sdist AS (SELECT ctx, id, token, e / sum(e) OVER (PARTITION BY ctx) AS p FROM edist)"""
+
+SQL["temper"] = with_(SEQ, VOCAB, "ctxs AS (SELECT c AS c1 FROM vocab)", DIST) + """
+SELECT ctx, CAST(id AS BIGINT) AS id, round(lt, 6) AS logit FROM tdist"""
+
+SQL["top_k"] = with_(SEQ, VOCAB, "ctxs AS (SELECT c AS c1 FROM vocab)", DIST) + """
+SELECT ctx, CAST(id AS BIGINT) AS id, round(lt, 6) AS logit FROM kdist"""
+
+SQL["softmax"] = with_(SEQ, VOCAB, "ctxs AS (SELECT c AS c1 FROM vocab)", DIST) + """
+SELECT ctx, CAST(id AS BIGINT) AS id, round(p, 6) AS p FROM sdist"""
+
+SQL["draw"] = with_(SEQ, VOCAB, "ctxs AS (SELECT c AS c1 FROM vocab)", DIST,
+                    f"""cd AS (SELECT ctx, id, p, sum(p) OVER (PARTITION BY ctx ORDER BY id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+                          {unit_sql(str(Q.SEED), 'ctx')} AS u FROM sdist)""") + """
+SELECT ctx, CAST(coalesce(min(CASE WHEN cum > u THEN id END), max(CASE WHEN p > 0 THEN id END)) AS BIGINT) AS id
+FROM cd GROUP BY ctx"""
+
+SQL["greedy"] = with_(SEQ, VOCAB, "ctxs AS (SELECT c AS c1 FROM vocab)", DIST) + """
+SELECT ctx, CAST(id AS BIGINT) AS id FROM (
+  SELECT ctx, id, row_number() OVER (PARTITION BY ctx ORDER BY logit DESC, id) AS rn FROM dist) WHERE rn = 1"""
+
+PROMPTS = """prompts AS (SELECT conv_id * 1000 + turn AS prompt_id, text AS prompt FROM conversations WHERE role = 'user'),
+ctxs AS (SELECT c AS c1 FROM vocab UNION SELECT right(prompt, 1) FROM prompts)"""
+
+GEN_GREEDY = f"""best AS (SELECT ctx, token FROM (
+  SELECT ctx, token, row_number() OVER (PARTITION BY ctx ORDER BY logit DESC, id) AS rn FROM dist) WHERE rn = 1),
+gen AS (SELECT prompt_id, 0 AS step, '' AS new, right(prompt, 1) AS last FROM prompts
+        UNION ALL
+        SELECT g.prompt_id, g.step + 1, g.new || b.token, b.token FROM gen g JOIN best b ON b.ctx = g.last
+        WHERE g.step < {Q.GEN_STEPS})"""
+
+GEN_SAMPLED = f"""cd AS (SELECT ctx, id, token, p,
+    coalesce(sum(p) OVER (PARTITION BY ctx ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo,
+    CASE WHEN id = max(id) OVER (PARTITION BY ctx) THEN 2.0
+         ELSE sum(p) OVER (PARTITION BY ctx ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS hi
+  FROM sdist),
+gen AS (SELECT prompt_id, 0 AS step, '' AS new, right(prompt, 1) AS last, CAST(NULL AS VARCHAR) AS tok FROM prompts
+        UNION ALL
+        SELECT g.prompt_id, g.step + 1, g.new || c.token, c.token, c.token FROM gen g JOIN cd c ON c.ctx = g.last
+          AND {unit_sql(str(Q.SEED), 'g.prompt_id', 'g.step')} >= c.lo
+          AND {unit_sql(str(Q.SEED), 'g.prompt_id', 'g.step')} < c.hi
+        WHERE g.step < {Q.GEN_STEPS})"""
+
+SQL["generate_greedy"] = "WITH RECURSIVE " + ",\n".join([SEQ, VOCAB, PROMPTS, DIST, GEN_GREEDY]) + f"""
+SELECT CAST(prompt_id AS BIGINT) AS prompt_id, new AS completion FROM gen WHERE step = {Q.GEN_STEPS}"""
+
+SQL["generate_sampled"] = "WITH RECURSIVE " + ",\n".join([SEQ, VOCAB, PROMPTS, DIST, GEN_SAMPLED]) + f"""
+SELECT CAST(prompt_id AS BIGINT) AS prompt_id, new AS completion FROM gen WHERE step = {Q.GEN_STEPS}"""
+
+SQL["token_deltas"] = "WITH RECURSIVE " + ",\n".join([SEQ, VOCAB, PROMPTS, DIST, GEN_SAMPLED]) + f"""
+SELECT CAST(prompt_id AS BIGINT) AS prompt_id, CAST(step - 1 AS BIGINT) AS step, tok AS delta, false AS done
+FROM gen WHERE step >= 1
+UNION ALL
+SELECT CAST(prompt_id AS BIGINT), CAST({Q.GEN_STEPS} AS BIGINT), CAST(NULL AS VARCHAR), true FROM prompts"""
+
+SQL["normalize_requests"] = """
+WITH e AS (SELECT *, event_id % 7 = 6 AS empty, event_id % 5 AS m FROM events)
+SELECT CAST(event_id AS BIGINT) AS req_id,
+  CASE WHEN empty OR m = 0 OR event_type IS NULL OR event_type = '' THEN chr(10) ELSE event_type END AS prompt,
+  round(CASE WHEN empty OR m = 1 THEN 0.8 ELSE coalesce(value / 400.0, 0.8) END, 6) AS temperature,
+  CAST(CASE WHEN empty OR m = 2 THEN 40 ELSE coalesce(user_id % 50, 40) END AS BIGINT) AS top_k,
+  CAST(greatest(1, least(CASE WHEN empty OR m = 3 THEN 240 ELSE coalesce(event_id, 240) END, 600)) AS BIGINT) AS max_new_tokens,
+  false AS bad
+FROM e"""
+
+# ----------------------------------------------------------------------------- H
+HIST = """hist AS (SELECT user_id AS run_id,
+    CAST(250 * (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) AS INTEGER) AS it,
+    0.9::DOUBLE * value AS train_loss, value AS val_loss,
+    (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY user_id)) / 1e6 AS secs FROM events),
+imp AS (SELECT *, val_loss < best_before AND NOT isnan(val_loss) AS improved FROM (
+    SELECT *, coalesce(min(val_loss) OVER (PARTITION BY run_id ORDER BY it
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'inf'::DOUBLE) AS best_before FROM hist)),
+best AS (SELECT run_id, max(it) AS best_it, arg_max(val_loss, it) AS best_val FROM imp WHERE improved GROUP BY run_id),
+grp AS (SELECT *, sum(CAST(improved AS INTEGER)) OVER (PARTITION BY run_id ORDER BY it
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM imp),
+since AS (SELECT *, CASE WHEN g = 0 THEN rn ELSE rn - 1 END AS evals_since FROM (
+    SELECT *, row_number() OVER (PARTITION BY run_id, g ORDER BY it) AS rn FROM grp)),
+stop AS (SELECT run_id, min(it) AS stop_it FROM since WHERE evals_since >= 10 GROUP BY run_id),
+kept AS (SELECT s.*, coalesce(s.it = t.stop_it, false) AS stopped FROM since s LEFT JOIN stop t ON s.run_id = t.run_id
+         WHERE t.stop_it IS NULL OR s.it <= t.stop_it),
+summary AS (SELECT run_id, max(it) AS iters, max(secs) AS elapsed, arg_max(train_loss, it) AS final_train,
+                   arg_max(val_loss, it) AS final_val, min(val_loss) AS best_val FROM kept GROUP BY run_id),
+runs AS (SELECT DISTINCT user_id AS run_id,
+    CASE WHEN user_id & 1 = 1 THEN 'rmsnorm' ELSE 'layernorm' END AS norm,
+    CASE WHEN user_id & 2 = 2 THEN 'rope' ELSE 'learned' END AS pos,
+    CASE WHEN user_id & 4 = 4 THEN 'swiglu' ELSE 'gelu' END AS mlp FROM events)"""
+
+
+def fixed_sql(x: str, d: int) -> str:
+    sc = f"CAST(floor({x} * {10.0 ** d} + 0.5) AS BIGINT)"
+    return (f"(CAST({sc} // {10 ** d} AS VARCHAR) || '.' || lpad(CAST({sc} % {10 ** d} AS VARCHAR), {d}, '0'))")
+
+
+TPS = f"CASE WHEN elapsed > 0 THEN iters * {Q.BATCH_SIZE * Q.BLOCK_SIZE} / elapsed END"
+
+SQL["best_checkpoint"] = with_(HIST) + """
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(best_it AS BIGINT) AS best_it, round(best_val, 6) AS best_val FROM best"""
+
+SQL["early_stop"] = with_(HIST) + """
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, round(train_loss, 6) AS train_loss,
+  round(val_loss, 6) AS val_loss, CAST(evals_since AS BIGINT) AS evals_since, stopped FROM kept"""
+
+SQL["throughput"] = with_(HIST) + f"""
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(iters AS BIGINT) AS iters, round(elapsed, 6) AS elapsed,
+  round({TPS}, 6) AS tokens_per_s FROM summary"""
+
+SQL["report_card"] = with_(HIST) + f"""
+SELECT CAST(s.run_id AS BIGINT) AS run_id, r.norm, r.pos, r.mlp, CAST(s.iters AS BIGINT) AS iters,
+  round(s.elapsed / 60, 6) AS minutes, round(s.final_train, 6) AS final_train, round(s.final_val, 6) AS final_val,
+  round(s.best_val, 6) AS best_val, round({TPS}, 6) AS tokens_per_s,
+  '- **architecture**: norm=' || r.norm || ', pos=' || r.pos || ', mlp=' || r.mlp || ' (Llama-like)' AS architecture_line,
+  '- **loss**: final train ' || {fixed_sql('s.final_train', 4)} || ' / val ' || {fixed_sql('s.final_val', 4)}
+    || ', best val ' || {fixed_sql('s.best_val', 4)} AS loss_line
+FROM summary s JOIN runs r ON s.run_id = r.run_id"""
+
+SQL["loss_curve"] = with_(HIST) + """
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, 'train' AS series, round(train_loss, 6) AS loss FROM hist
+UNION ALL
+SELECT CAST(run_id AS BIGINT), CAST(it AS BIGINT), 'val', round(val_loss, 6) FROM hist"""
+
+_ABL = []
+for _f, _o in [("norm", ("pos", "mlp")), ("pos", ("norm", "mlp")), ("mlp", ("norm", "pos"))]:
+    _ABL.append(f"""SELECT '{_f}' AS flag, '{_o[0]}=' || a.{_o[0]} || ',{_o[1]}=' || a.{_o[1]} AS fixed,
+  a.{_f} AS a_value, b.{_f} AS b_value, CAST(a.runs AS BIGINT) AS a_runs, CAST(b.runs AS BIGINT) AS b_runs,
+  round(b.v - a.v, 6) AS delta
+FROM cfg a JOIN cfg b ON a.{_o[0]} = b.{_o[0]} AND a.{_o[1]} = b.{_o[1]} AND a.{_f} < b.{_f}""")
+SQL["ablation"] = with_(HIST, """cfg AS (SELECT r.norm, r.pos, r.mlp, count(*) AS runs, avg(b.best_val) AS v
+  FROM best b JOIN runs r ON b.run_id = r.run_id GROUP BY 1, 2, 3)""") + "\nUNION ALL\n".join(_ABL)
+
+SQL["progress"] = with_(HIST) + f"""
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, improved,
+  printf('iter %5d', it) || ' | train ' || {fixed_sql('train_loss', 4)} || ' | val ' || {fixed_sql('val_loss', 4)}
+  || ' | ' || {fixed_sql('secs', 1)} || 's' || CASE WHEN improved THEN '  *best' ELSE '' END AS line
+FROM imp"""

@@ -18,6 +18,10 @@ from corpusloom.functions import clean as CL
 from corpusloom.operators import chars as C
 from corpusloom.operators import corpus as B
 from corpusloom.operators import ngram as E
+from corpusloom.functions.det import unit
+from corpusloom.operators import generate as G
+from corpusloom.operators import runs as H
+from corpusloom.operators import sampling as SM
 from corpusloom.operators import sequence as S
 from corpusloom.plans import fixtures as X
 from corpusloom.sources.tables import read_table
@@ -255,6 +259,128 @@ def q_score_documents(spark, sf_dir):
     return ce.select(big("doc_id").alias("item_id"), big("targets").alias("targets"), r6("ce").alias("ce"))
 
 
+# --------------------------------------------------------------------------- F
+TEMPERATURE = 0.8  # the server's default temperature
+TOP_K = 40         # the server's default top-k
+GEN_STEPS = 16     # new tokens per prompt in the registered generation queries
+
+
+def _bigram_dist(spark, sf_dir):
+    cc = char_corpus(spark, sf_dir)
+    _, counts = _model(cc, 1)
+    ctxs = cc.vocab.select(F.col("token").alias("cid"), F.array("token").alias("ctx"))
+    return E.next_dist(counts, ctxs, cc.vocab, PRIOR)
+
+
+def q_temper(spark, sf_dir):
+    d = SM.temper(_bigram_dist(spark, sf_dir), TEMPERATURE)
+    return d.select(F.col("cid").alias("ctx"), big("id").alias("id"), r6("logit").alias("logit"))
+
+
+def q_top_k(spark, sf_dir):
+    d = SM.top_k(SM.temper(_bigram_dist(spark, sf_dir), TEMPERATURE), ["cid"], TOP_K)
+    return d.select(F.col("cid").alias("ctx"), big("id").alias("id"), r6("logit").alias("logit"))
+
+
+def q_softmax(spark, sf_dir):
+    d = SM.softmax(SM.top_k(SM.temper(_bigram_dist(spark, sf_dir), TEMPERATURE), ["cid"], TOP_K), ["cid"])
+    return d.select(F.col("cid").alias("ctx"), big("id").alias("id"), r6("p").alias("p"))
+
+
+def q_draw(spark, sf_dir):
+    d = SM.softmax(SM.top_k(SM.temper(_bigram_dist(spark, sf_dir), TEMPERATURE), ["cid"], TOP_K), ["cid"])
+    r = SM.draw(d, ["cid"], unit(SEED, F.col("cid")))
+    return r.select(F.col("cid").alias("ctx"), big("id").alias("id"))
+
+
+def q_greedy(spark, sf_dir):
+    r = SM.greedy(_bigram_dist(spark, sf_dir), ["cid"])
+    return r.select(F.col("cid").alias("ctx"), big("id").alias("id"))
+
+
+def _prompt_toks(spark, sf_dir):
+    p = X.prompts(spark, sf_dir)
+    toks = F.when(F.length("prompt") == 0, F.array().cast("array<string>")).otherwise(F.split("prompt", "", -1))
+    return p.select("prompt_id", toks.alias("toks"))
+
+
+def _generate(spark, sf_dir, temperature):
+    cc = char_corpus(spark, sf_dir)
+    _, counts = _model(cc, 1)
+    return G.generate(_prompt_toks(spark, sf_dir), counts, cc.vocab, k=1, steps=GEN_STEPS,
+                      temperature=temperature, top_k=TOP_K, seed=SEED, a=PRIOR)
+
+
+def q_generate_greedy(spark, sf_dir):
+    g = _generate(spark, sf_dir, 0.0)
+    return g.select(big("prompt_id").alias("prompt_id"), F.array_join("new_toks", "").alias("completion"))
+
+
+def q_generate_sampled(spark, sf_dir):
+    g = _generate(spark, sf_dir, TEMPERATURE)
+    return g.select(big("prompt_id").alias("prompt_id"), F.array_join("new_toks", "").alias("completion"))
+
+
+def q_token_deltas(spark, sf_dir):
+    d = G.token_deltas(_generate(spark, sf_dir, TEMPERATURE))
+    return d.select(big("prompt_id").alias("prompt_id"), big("step").alias("step"), "delta", "done")
+
+
+def q_normalize_requests(spark, sf_dir):
+    r = SM.normalize_requests(X.requests(spark, sf_dir))
+    return r.select(big("req_id").alias("req_id"), "prompt", r6("temperature").alias("temperature"),
+                    big("top_k").alias("top_k"), big("max_new_tokens").alias("max_new_tokens"), "bad")
+
+
+# --------------------------------------------------------------------------- H
+PATIENCE = 10  # early-stop patience of the published run
+
+
+def _kept(spark, sf_dir):
+    return H.early_stop(X.history(spark, sf_dir), PATIENCE)
+
+
+def q_best_checkpoint(spark, sf_dir):
+    b = H.best_checkpoint(X.history(spark, sf_dir))
+    return b.select(big("run_id").alias("run_id"), big("best_it").alias("best_it"), r6("best_val").alias("best_val"))
+
+
+def q_early_stop(spark, sf_dir):
+    k = _kept(spark, sf_dir)
+    return k.select(big("run_id").alias("run_id"), big("it").alias("it"), r6("train_loss").alias("train_loss"),
+                    r6("val_loss").alias("val_loss"), big("evals_since").alias("evals_since"), "stopped")
+
+
+def q_throughput(spark, sf_dir):
+    t = H.throughput(H.run_summary(_kept(spark, sf_dir)), BATCH_SIZE, BLOCK_SIZE)
+    return t.select(big("run_id").alias("run_id"), big("iters").alias("iters"), r6("elapsed").alias("elapsed"),
+                    r6("tokens_per_s").alias("tokens_per_s"))
+
+
+def q_report_card(spark, sf_dir):
+    r = H.report_card(H.run_summary(_kept(spark, sf_dir)), X.runs(spark, sf_dir), BATCH_SIZE, BLOCK_SIZE)
+    return r.select(big("run_id").alias("run_id"), "norm", "pos", "mlp", big("iters").alias("iters"),
+                    r6("minutes").alias("minutes"), r6("final_train").alias("final_train"),
+                    r6("final_val").alias("final_val"), r6("best_val").alias("best_val"),
+                    r6("tokens_per_s").alias("tokens_per_s"), "architecture_line", "loss_line")
+
+
+def q_loss_curve(spark, sf_dir):
+    c = H.loss_curve(X.history(spark, sf_dir))
+    return c.select(big("run_id").alias("run_id"), big("it").alias("it"), "series", r6("loss").alias("loss"))
+
+
+def q_ablation(spark, sf_dir):
+    a = H.ablation(H.best_checkpoint(X.history(spark, sf_dir)), X.runs(spark, sf_dir))
+    return a.select("flag", "fixed", "a_value", "b_value", big("a_runs").alias("a_runs"),
+                    big("b_runs").alias("b_runs"), r6("delta").alias("delta"))
+
+
+def q_progress(spark, sf_dir):
+    p = H.progress(X.history(spark, sf_dir))
+    return p.select(big("run_id").alias("run_id"), big("it").alias("it"), "improved", "line")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_newlines": q_normalize_newlines,
     "after_start": q_after_start,
@@ -281,4 +407,20 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_entropy_k2": q_cross_entropy_k2,
     "eval_loss": q_eval_loss,
     "score_documents": q_score_documents,
+    "temper": q_temper,
+    "top_k": q_top_k,
+    "softmax": q_softmax,
+    "draw": q_draw,
+    "greedy": q_greedy,
+    "generate_greedy": q_generate_greedy,
+    "generate_sampled": q_generate_sampled,
+    "token_deltas": q_token_deltas,
+    "normalize_requests": q_normalize_requests,
+    "best_checkpoint": q_best_checkpoint,
+    "early_stop": q_early_stop,
+    "throughput": q_throughput,
+    "report_card": q_report_card,
+    "loss_curve": q_loss_curve,
+    "ablation": q_ablation,
+    "progress": q_progress,
 }
