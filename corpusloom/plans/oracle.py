@@ -399,3 +399,31 @@ SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, improved,
   printf('iter %5d', it) || ' | train ' || {fixed_sql('train_loss', 4)} || ' | val ' || {fixed_sql('val_loss', 4)}
   || ' | ' || {fixed_sql('secs', 1)} || 's' || CASE WHEN improved THEN '  *best' ELSE '' END AS line
 FROM imp"""
+
+# ----------------------------------------------------------------------------- C (BPE), A5
+# The GPT-2 pre-tokenizer rewritten for RE2 (no lookahead): a \x01 is put
+# before the last blank of a blank run that precedes a non-blank, so `\s+`
+# stops there; \x01 is then never part of a piece.  RE2's \s is ASCII-only,
+# which is enough for `documents`.
+PRETOK = (r"regexp_extract_all(regexp_replace(t, '(\s+)(\s\S)', '\1' || chr(1) || '\2', 'g'), "
+          r"'''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')")
+
+PIECES_T = f"""pt AS (SELECT doc_id, {PRETOK} AS ps FROM (SELECT doc_id, text || chr(10) AS t FROM documents)),
+pc AS (SELECT p AS piece, count(*) AS n FROM (SELECT unnest(ps) AS p FROM pt) GROUP BY p)"""
+
+SQL["pretokenize"] = with_(PIECES_T) + """
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(i - 1 AS BIGINT) AS pos, p AS piece
+FROM (SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM pt)"""
+
+SQL["piece_counts"] = with_(PIECES_T) + "SELECT piece, CAST(n AS BIGINT) AS n FROM pc"
+
+SQL["pair_counts"] = with_(PIECES_T, """cs AS (SELECT string_split(piece, '') AS c, n FROM pc)""") + """
+SELECT c[i] AS left, c[i + 1] AS right, CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT c, n, unnest(range(1, len(c))) AS i FROM cs) GROUP BY 1, 2"""
+
+SQL["bpe_decode"] = "SELECT CAST(doc_id AS BIGINT) AS doc_id, text || chr(10) AS text FROM documents"
+
+SQL["release_manifest"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS name, CAST(count(*) AS BIGINT) AS rows FROM {t}"
+    for t in ("region nation customer supplier part orders lineitem events documents embeddings "
+              "pages benchmark labels conversations").split())

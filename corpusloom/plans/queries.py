@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import clean as CL
+from corpusloom.operators import bpe as BP
 from corpusloom.operators import chars as C
 from corpusloom.operators import corpus as B
 from corpusloom.operators import ngram as E
@@ -381,6 +382,123 @@ def q_progress(spark, sf_dir):
     return p.select(big("run_id").alias("run_id"), big("it").alias("it"), "improved", "line")
 
 
+# --------------------------------------------------------------------------- C (BPE), A4/A5
+BPE_VOCAB = 256  # target vocabulary of the registered BPE queries
+_BPE_FITS: dict = {}
+
+
+def _corpus_texts(spark, sf_dir):
+    """``documents`` in order, each text followed by a newline."""
+    d = X.documents(spark, sf_dir)
+    return d.select("doc_id", F.concat("text", F.lit("\n")).alias("text"))
+
+
+def bpe_codec(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> BP.Codec:
+    """Fit once per (session, input, size); the fitted codec is vocabulary-sized."""
+    key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
+    if key not in _BPE_FITS:
+        vocab, merges, _ = BP.fit_bpe(BP.piece_counts(_corpus_texts(spark, sf_dir)), vocab_size)
+        _BPE_FITS[key] = BP.Codec.from_frames(vocab, merges)
+    return _BPE_FITS[key]
+
+
+def q_pretokenize(spark, sf_dir):
+    d = _corpus_texts(spark, sf_dir)
+    e = d.select("doc_id", F.posexplode(BP.pretokenize(F.col("text"))).alias("pos", "piece"))
+    return e.select(big("doc_id").alias("doc_id"), big("pos").alias("pos"), "piece")
+
+
+def q_piece_counts(spark, sf_dir):
+    pc = BP.piece_counts(_corpus_texts(spark, sf_dir))
+    return pc.select("piece", big("n").alias("n"))
+
+
+def q_pair_counts(spark, sf_dir):
+    """C7 at character level: adjacent characters inside pieces, weighted by
+    piece count (the same pair-count operator the BPE fit runs each round)."""
+    pc = BP.piece_counts(_corpus_texts(spark, sf_dir))
+    chars = pc.select(F.split("piece", "", -1).alias("cs"), "n")
+    vocab = C.char_vocab(chars.select(F.array_join("cs", "").alias("t")), "t")
+    long = chars.select("n", F.posexplode("cs").alias("pos", "token"), F.col("cs").alias("key"))
+    ids = long.join(F.broadcast(vocab), "token")
+    packed = ids.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("s"))
+    pairs = BP.pair_counts(packed.select(F.col("s.id").alias("ids"), "n"))
+    va = vocab.select(F.col("id").alias("a"), F.col("token").alias("left"))
+    vb = vocab.select(F.col("id").alias("b"), F.col("token").alias("right"))
+    return pairs.join(F.broadcast(va), "a").join(F.broadcast(vb), "b").select("left", "right", big("c").alias("n"))
+
+
+def q_bpe_vocab(spark, sf_dir):
+    codec = bpe_codec(spark, sf_dir)
+    v = BP.vocab_frame(spark, codec.tokens)
+    return C.vocab_listing(v).select(big("id").alias("id"), "token", "type")
+
+
+def q_bpe_merges(spark, sf_dir):
+    codec = bpe_codec(spark, sf_dir)
+    m = spark.createDataFrame([(r, a, b) for r, (a, b) in enumerate(codec.merges)],
+                              "rank int, left string, right string")
+    return C.merge_listing(m).select(big("rank").alias("rank"), "merge")
+
+
+def q_bpe_encode(spark, sf_dir):
+    codec = bpe_codec(spark, sf_dir)
+    e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec)
+    return e.select(big("doc_id").alias("doc_id"), big(F.size("ids")).alias("tokens"),
+                    F.array_join("ids", " ").alias("ids"))
+
+
+def q_bpe_decode(spark, sf_dir):
+    codec = bpe_codec(spark, sf_dir)
+    e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec)
+    return BP.bpe_decode(e.select("doc_id", "ids"), codec).select(big("doc_id").alias("doc_id"), "text")
+
+
+def q_bpe_stats(spark, sf_dir):
+    codec = bpe_codec(spark, sf_dir)
+    d = _corpus_texts(spark, sf_dir)
+    e = BP.bpe_encode(d, codec)
+    st = C.tokenizer_stats(len(codec.tokens), d.select(F.length("text").alias("c")),
+                           e.select(F.size("ids").alias("t")), BLOCK_SIZE, "bpe")
+    return st.select("tokenizer", big("vocab_size").alias("vocab_size"), big("chars").alias("chars"),
+                     big("tokens").alias("tokens"), r6("chars_per_token").alias("chars_per_token"),
+                     big("context_chars").alias("context_chars"))
+
+
+def q_cross_entropy_bpe(spark, sf_dir):
+    """E3 on BPE ids: the count model over byte-level BPE tokens."""
+    codec = bpe_codec(spark, sf_dir)
+    e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec).select("doc_id", F.col("ids").alias("toks"))
+    N = S.total_tokens(e)
+    ntr = S.split_point(N, TRAIN_FRAC)
+    tg = S.targets(S.global_positions(e), 1, ntr)
+    counts = E.fit_counts(tg.filter(F.col("split") == "train").select("ctx", "tgt"))
+    ce = E.cross_entropy(counts, tg.filter(F.col("split") == "val").select("ctx", "tgt"),
+                         len(codec.tokens), PRIOR)
+    return ce.select(F.lit("val").alias("split"), big("targets").alias("targets"), r6("ce").alias("ce"))
+
+
+def _all_tables(spark, sf_dir):
+    from corpusloom.sources.tables import TABLES
+    return {t: read_table(spark, sf_dir, t, spread=False) for t in TABLES}
+
+
+def q_release_manifest(spark, sf_dir):
+    from corpusloom.sources.artifacts import release_manifest, table_manifest
+    m = table_manifest(spark, _all_tables(spark, sf_dir))
+    return release_manifest(spark, m, list(_all_tables(spark, sf_dir))).select("name", big("rows").alias("rows"))
+
+
+def q_release_files(spark, sf_dir):
+    from corpusloom.sources.artifacts import file_manifest, release_manifest, table_manifest
+    files = file_manifest(spark, sf_dir, "*.parquet").withColumn(
+        "name", F.regexp_replace("name", r"\.parquet$", ""))
+    tables = _all_tables(spark, sf_dir)
+    m = release_manifest(spark, files.join(table_manifest(spark, tables), "name"), list(tables))
+    return m.select("name", big("rows").alias("rows"), big("bytes").alias("bytes"),
+                    big("checksum").alias("checksum"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_newlines": q_normalize_newlines,
     "after_start": q_after_start,
@@ -423,4 +541,15 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "loss_curve": q_loss_curve,
     "ablation": q_ablation,
     "progress": q_progress,
+    "pretokenize": q_pretokenize,
+    "piece_counts": q_piece_counts,
+    "pair_counts": q_pair_counts,
+    "bpe_fit": q_bpe_vocab,
+    "bpe_merges": q_bpe_merges,
+    "bpe_encode": q_bpe_encode,
+    "bpe_decode": q_bpe_decode,
+    "bpe_stats": q_bpe_stats,
+    "cross_entropy_bpe": q_cross_entropy_bpe,
+    "release_manifest": q_release_manifest,
+    "release_files": q_release_files,
 }
