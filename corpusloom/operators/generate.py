@@ -1,15 +1,17 @@
 """Stepwise generation with the count model (F6) and text deltas.
 
-State is one row per prompt ``(prompt_id, toks ARRAY<T>, gen INT)``.  Each
-step crops the context to the last ``k`` tokens (``slice`` with an explicit
-start, so prompts shorter than ``k`` keep all their tokens), looks up the
-context's sampling table, draws, and appends.
-
-The model is fixed while generating, so a context's sampling table is built
-once: a per-context table ``(ctx, ids, toks, cum, best)`` (one row per
-distinct context, arrays of at most V entries) is extended each step with
-the contexts not seen before (left-anti join), and the state joins it on
-``ctx``.  Lineage is cut with reliable checkpoints every few steps.
+State is one row per prompt ``(prompt_id, toks, new, t, k, n)``: its own
+temperature, top-k and number of new tokens (so a micro-batch of requests
+with different settings is one job).  Each step crops the context to the last
+``order`` tokens (``slice`` with an explicit start, so prompts shorter than
+that keep all their tokens), looks up the context's sampling table, draws and
+appends; a row stops appending once it has ``n`` new tokens.
+
+The model is fixed while generating, so sampling tables are built once per
+(context, t, k): a table with one row per key holding the kept ids/tokens and
+their CDF (arrays of at most V entries) is extended each step with unseen
+keys (left-anti join), and the state joins it on the key.  Lineage is cut with
+reliable checkpoints every few steps.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from corpusloom.operators import ngram as E
 from corpusloom.operators import sampling as SM
 from corpusloom.session import cut_lineage
 
+KEY = ["ctx", "t", "k"]
+
 
 def crop(toks: Column, k: int) -> Column:
     """Last ``min(k, size)`` tokens."""
@@ -29,50 +33,54 @@ def crop(toks: Column, k: int) -> Column:
     return F.slice(toks, F.greatest(n - k + 1, F.lit(1)), F.least(F.lit(k), n))
 
 
-def sampling_tables(counts: DataFrame, contexts: DataFrame, vocab: DataFrame, a: float,
-                    temperature: float, k: int | None) -> DataFrame:
-    """Per context: kept ids/tokens in id order, their CDF, and the greedy token."""
-    d = E.next_dist(counts, contexts.select(F.col("ctx").alias("cid"), "ctx"), vocab, a)
-    greedy = SM.greedy(d, ["cid"]).join(F.broadcast(vocab), "id").select(
-        "cid", F.col("token").alias("best"))
-    if temperature > 0:
-        kept = SM.softmax(SM.top_k(SM.temper(d, temperature), ["cid"], k), ["cid"])
-        kept = SM.cumulative(kept, ["cid"])
-        arr = kept.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("id", "token", "cum"))).alias("s"))
-        arr = arr.select("cid", F.col("s.id").alias("ids"), F.col("s.token").alias("toks"),
-                         F.col("s.cum").alias("cum"))
-        greedy = greedy.join(arr, "cid")
-    return greedy.withColumnRenamed("cid", "ctx")
+def sampling_tables(counts: DataFrame, need: DataFrame, vocab: DataFrame, a: float) -> DataFrame:
+    """Per (ctx, t, k): greedy token, and for t > 0 the kept ids/tokens in id
+    order with their CDF after temperature and top-k."""
+    ctxs = need.select("ctx").distinct()
+    d = E.next_dist(counts, ctxs.select(F.col("ctx").alias("cid"), "ctx"), vocab, a).withColumnRenamed("cid", "ctx")
+    best = SM.greedy(d, ["ctx"]).join(F.broadcast(vocab), "id").select("ctx", F.col("token").alias("best"))
+    dk = d.join(need.filter(F.col("t") > 0), "ctx")
+    kept = SM.softmax(SM.top_k(SM.temper(dk, "t"), KEY, "k"), KEY)
+    kept = SM.cumulative(kept, KEY)
+    arr = kept.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("id", "token", "cum"))).alias("s"))
+    arr = arr.select(*KEY, F.col("s.token").alias("kt"), F.col("s.cum").alias("cum"))
+    return need.join(best, "ctx").join(arr, KEY, "left")
 
 
 def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int, steps: int,
-             temperature: float = 1.0, top_k: int | None = None, seed: int = 1337,
-             a: float = 1.0, cut_every: int = 4) -> DataFrame:
-    """``prompts(prompt_id, toks)`` -> ``(prompt_id, toks, new_toks)``.
+             temperature: float | str = 1.0, top_k: int | str | None = None, seed: int = 1337,
+             a: float = 1.0, n: str | None = None, cut_every: int = 4) -> DataFrame:
+    """``prompts(prompt_id, toks, ...)`` -> ``(prompt_id, toks, new_toks)``.
 
-    ``temperature <= 0`` is greedy (ties to the lowest id); otherwise the draw
-    for step ``s`` of prompt ``p`` uses ``u = unit(seed, p, s)``.
+    ``temperature``/``top_k`` are numbers or column names; ``n`` names a
+    per-row count of new tokens (default: ``steps`` for every row).
+    ``t <= 0`` is greedy (ties to the lowest id); otherwise the draw for step
+    ``s`` of prompt ``p`` uses ``u = unit(seed, p, s)``.
     """
+    def col(v, typ):
+        return F.col(v).cast(typ) if isinstance(v, str) else F.lit(v).cast(typ)
+
     counts = cut_lineage(counts)
-    state = prompts.select("prompt_id", "toks", F.array().cast(prompts.schema["toks"].dataType).alias("new"))
+    state = prompts.select(
+        "prompt_id", "toks", F.array().cast(prompts.schema["toks"].dataType).alias("new"),
+        col(temperature, "double").alias("t"),
+        F.coalesce(col(top_k, "int") if top_k is not None else F.lit(None).cast("int"), F.lit(0)).alias("k"),
+        (F.col(n).cast("int") if n else F.lit(steps)).alias("n"))
     table = None
     for step in range(steps):
         state = state.withColumn("ctx", crop(F.concat("toks", "new"), k))
-        need = state.select("ctx").distinct()
+        need = state.filter(F.size("new") < F.col("n")).select(*KEY).distinct()
         if table is not None:
-            need = need.join(table.select("ctx"), "ctx", "left_anti")
-        add = sampling_tables(counts, need, vocab, a, temperature, top_k)
-        table = add if table is None else table.unionByName(add)
-        table = cut_lineage(table)
-        if temperature > 0:
-            t = table.select("ctx", F.col("toks").alias("__kt"), "cum")
-            j = state.join(t, "ctx", "left").withColumn("__u", unit(seed, F.col("prompt_id"), F.lit(step)))
-            idx = F.size(F.filter("cum", lambda c: c <= F.col("__u")))
-            pick = F.element_at("__kt", F.least(idx + 1, F.size("__kt")).cast("int"))
-        else:
-            j = state.join(table.select("ctx", "best"), "ctx", "left")
-            pick = F.col("best")
-        state = j.select("prompt_id", "toks", F.concat("new", F.array(pick)).alias("new"))
+            need = need.join(table.select(*KEY), KEY, "left_anti")
+        add = sampling_tables(counts, need, vocab, a)
+        table = cut_lineage(add if table is None else table.unionByName(add))
+        j = state.join(table, KEY, "left").withColumn("__u", unit(seed, F.col("prompt_id"), F.lit(step)))
+        idx = F.size(F.filter("cum", lambda c: c <= F.col("__u")))
+        drawn = F.element_at("kt", F.least(idx + 1, F.size("kt")).cast("int"))
+        pick = F.when(F.col("t") > 0, drawn).otherwise(F.col("best"))
+        grow = F.size("new") < F.col("n")
+        state = j.select("prompt_id", "toks", F.when(grow, F.concat("new", F.array(pick))).otherwise(F.col("new"))
+                         .alias("new"), "t", "k", "n")
         if (step + 1) % cut_every == 0 and step + 1 < steps:
             state = cut_lineage(state)
     return state.select("prompt_id", "toks", F.col("new").alias("new_toks"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +35,19 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and drop its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` reliably and drop its lineage: a Parquet table written
+    under the shared checkpoint folder and read back.
+
+    Survives executor loss (the files are in the shared folder), and unlike an
+    RDD checkpoint the read-back relation carries its real size, so later joins
+    are planned (and broadcast by AQE) from measured statistics instead of an
+    unknown size that compounds across iterations.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
