@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUT_SCHEMA = ("run_id bigint, it int, val_loss double, improved boolean, "
               "evals_since int, stopped boolean")
