@@ -216,7 +216,9 @@ def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 512,
     sym_ids = F.create_map(*[x for s in alphabet for x in (F.lit(s), F.lit(index[s]))]) if alphabet else None
     cur = syms.select(F.transform("syms", lambda s: sym_ids[s]).alias("ids"), "n") if alphabet \
         else syms.select(F.array().cast("array<int>").alias("ids"), "n")
-    cur = cut_lineage(cur)
+    # A piece already merged into one token can never form a pair again: the
+    # working table keeps only pieces of two or more symbols (exact).
+    cur = cut_lineage(cur.filter(F.size("ids") >= 2))
     merges: list[tuple[int, int, int]] = []
     rounds = 0
     prev = None
@@ -252,7 +254,8 @@ def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 512,
                 index[s] = nid
             mapping[(a, b)] = nid
             merges.append((a, b, nid))
-        nxt = cur.mapInPandas(_apply_merges_fn(mapping), "ids array<int>, n long")
+        nxt = (cur.mapInPandas(_apply_merges_fn(mapping), "ids array<int>, n long")
+               .filter(F.size("ids") >= 2))
         rounds += 1
         if rounds % checkpoint_every == 0:
             nxt = cut_lineage(nxt)

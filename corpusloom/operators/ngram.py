@@ -31,12 +31,24 @@ def _expand_orders(df: DataFrame, keep: list) -> DataFrame:
                     F.slice("ctx", L - F.col("j") + 1, F.col("j")).alias("ctx"))
 
 
-def fit_counts(train_targets: DataFrame) -> DataFrame:
+def fit_counts(train_targets: DataFrame, weight: str | None = None) -> DataFrame:
     """Counts of (context suffix of every order -> next token) over the
-    train targets ``(ctx, tgt)``.  Map-side partial aggregation keeps the
-    shuffle at distinct keys per task."""
-    ex = _expand_orders(train_targets, ["tgt"])
-    return ex.groupBy("j", "ctx", "tgt").agg(F.count(F.lit(1)).alias("n"))
+    train targets ``(ctx, tgt)``.
+
+    Targets are first reduced to distinct (full context, token) with their
+    multiplicity (map-side partial aggregation over the raw rows); the orders
+    are expanded only on that small table and summed again.  ``weight`` names
+    a multiplicity column when the targets are already aggregated."""
+    w = F.sum(weight) if weight else F.count(F.lit(1))
+    agg = train_targets.groupBy("ctx", "tgt").agg(w.alias("m"))
+    ex = _expand_orders(agg, ["tgt", "m"])
+    return ex.groupBy("j", "ctx", "tgt").agg(F.sum("m").alias("n"))
+
+
+def aggregate_targets(targets: DataFrame) -> DataFrame:
+    """Distinct (split, ctx, tgt) with multiplicity ``m``: one pass over the
+    targets feeds both the fit (train rows) and the scoring (val rows)."""
+    return targets.groupBy("split", "ctx", "tgt").agg(F.count(F.lit(1)).alias("m"))
 
 
 def context_totals(counts: DataFrame) -> DataFrame:
@@ -70,14 +82,15 @@ def probabilities(counts: DataFrame, pairs: DataFrame, keys: list[str], vocab_si
 
 
 def cross_entropy(counts: DataFrame, targets: DataFrame, vocab_size: int, a: float = 1.0,
-                  group: list[str] | None = None) -> DataFrame:
+                  group: list[str] | None = None, weight: str | None = None) -> DataFrame:
     """Mean negative log-likelihood (nats per target) of ``targets(ctx, tgt, ...)``.
 
     Equal (ctx, tgt) pairs are aggregated first, so each distinct pair is
     scored once.  With ``group`` the mean is taken per group (E6).
     """
     group = group or []
-    agg = targets.groupBy(*group, "ctx", "tgt").agg(F.count(F.lit(1)).alias("m"))
+    w = F.sum(weight) if weight else F.count(F.lit(1))
+    agg = targets.groupBy(*group, "ctx", "tgt").agg(w.alias("m"))
     pk = agg.select("ctx", "tgt").distinct() if group else agg.select("ctx", "tgt")
     scored = probabilities(counts, pk, ["ctx", "tgt"], vocab_size, a)
     j = agg.join(scored, ["ctx", "tgt"])
@@ -97,3 +110,61 @@ def next_dist(counts: DataFrame, contexts: DataFrame, vocab: DataFrame, a: float
            .withColumnRenamed("token", "tgt"))
     pr = probabilities(counts, sup.select(key, "id", "ctx", "tgt"), [key, "id", "tgt"], V, a)
     return pr.select(key, "id", F.col("tgt").alias("token"), F.log("p").alias("logit"))
+
+
+def window_targets(windows: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """Targets of a window table: y[t] with context x[max(0, t-k+1) .. t]
+    (a window-trained model never sees context outside its window)."""
+    z = windows.select(*keys, "x", F.posexplode(F.col("y")).alias("t", "tgt"))
+    lo = F.greatest(F.lit(1), F.col("t") - k + 2)
+    ln = F.least(F.lit(k), F.col("t") + 1)
+    return z.select(*keys, F.slice("x", lo, ln).alias("ctx"), "tgt")
+
+
+def loss_history(positioned: DataFrame, n_train: int, n_total: int, vocab_size: int, *, k: int,
+                 block: int, batch: int, max_iters: int, eval_interval: int, eval_batches: int,
+                 seed: int, a: float = 1.0) -> DataFrame:
+    """E5: ``(it, train_loss, val_loss)`` every ``eval_interval`` steps from 0 to
+    ``max_iters`` inclusive; the model at step ``it`` has counted the targets
+    of the first ``it`` training batches.
+
+    One plan, no loop of jobs: training targets are counted per eval segment
+    ``floor(step / eval_interval)``; each eval pair at eval number ``e`` joins
+    the segment counts of its (order, context, token) and keeps segments
+    ``< e`` (an equi-join plus a filter; at most ``e`` rows per key).
+    """
+    from corpusloom.operators import sequence as S
+
+    spark = positioned.sparkSession
+    n_evals = max_iters // eval_interval + 1
+    tr = S.gather_windows(positioned, S.sample_starts(spark, n_train, block, batch, max_iters, seed, "train"), block)
+    tt = window_targets(tr, k, ["it"]).withColumn("seg", F.floor(F.col("it") / eval_interval).cast("int"))
+    seg = _expand_orders(tt, ["seg", "tgt"]).groupBy("seg", "j", "ctx", "tgt").agg(F.count(F.lit(1)).alias("n"))
+    seg_tot = seg.groupBy("seg", "j", "ctx").agg(F.sum("n").alias("nc"))
+    parts = []
+    for split, length, base in (("train", n_train, 0), ("val", n_total - n_train, n_train)):
+        st = S.sample_starts(spark, length, block, batch, n_evals * eval_batches, seed, f"eval-{split}")
+        w = S.gather_windows(positioned, st, block, split_base=base)
+        parts.append(window_targets(w, k, ["it"]).select(
+            F.lit(split).alias("split"), (F.floor(F.col("it") / eval_batches)).cast("int").alias("e"),
+            (F.col("it") % eval_batches).alias("b"), "ctx", "tgt"))
+    ev = parts[0].unionByName(parts[1])
+    m = ev.groupBy("split", "e", "b", "ctx", "tgt").agg(F.count(F.lit(1)).alias("m"))
+    keys = m.select("e", "ctx", "tgt").distinct()
+    ex = _expand_orders(keys.withColumn("__q", F.col("ctx")), ["e", "__q", "tgt"])
+    seen = F.col("seg") < F.col("e")  # segments the model at eval e has counted
+    hit = (ex.join(seg, ["j", "ctx", "tgt"], "left")
+           .groupBy("e", "__q", "tgt", "j", "ctx")
+           .agg(F.sum(F.when(seen, F.col("n")).otherwise(F.lit(0))).alias("n")))
+    tot = (ex.select("e", "j", "ctx").distinct().join(seg_tot, ["j", "ctx"], "left")
+           .groupBy("e", "j", "ctx").agg(F.sum(F.when(seen, F.col("nc")).otherwise(F.lit(0))).alias("nc")))
+    j = hit.join(tot, ["e", "j", "ctx"])
+    fold = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("j", "n", "nc"))), F.lit(1.0 / vocab_size),
+        lambda acc, x: (x["n"].cast("double") + F.lit(a) * acc) / (x["nc"].cast("double") + F.lit(a)))
+    probs = j.groupBy("e", "__q", "tgt").agg(fold.alias("p")).withColumnRenamed("__q", "ctx")
+    per_batch = (m.join(probs, ["e", "ctx", "tgt"])
+                 .groupBy("split", "e", "b").agg((F.sum(F.col("m") * -F.log("p")) / F.sum("m")).alias("l")))
+    per_eval = per_batch.groupBy("e").pivot("split", ["train", "val"]).agg(F.avg("l"))
+    return per_eval.select((F.col("e") * eval_interval).cast("int").alias("it"),
+                           F.col("train").alias("train_loss"), F.col("val").alias("val_loss"))

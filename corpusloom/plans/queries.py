@@ -192,9 +192,10 @@ def q_next_token(spark, sf_dir):
 
 # --------------------------------------------------------------------------- E
 def _model(cc: CharCorpus, k: int):
-    tg = S.targets(cc.pos, k, cc.ntr)
-    counts = E.fit_counts(tg.filter(F.col("split") == "train").select("ctx", "tgt"))
-    return tg, counts
+    """Targets aggregated once by (split, ctx, tgt); counts from the train rows."""
+    agg = E.aggregate_targets(S.targets(cc.pos, k, cc.ntr))
+    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
+    return agg, counts
 
 
 def q_fit_counts(spark, sf_dir):
@@ -213,8 +214,8 @@ def q_next_dist(spark, sf_dir):
 
 def _ce(spark, sf_dir, k):
     cc = char_corpus(spark, sf_dir)
-    tg, counts = _model(cc, k)
-    ce = E.cross_entropy(counts, tg.filter(F.col("split") == "val").select("ctx", "tgt"), cc.V, PRIOR)
+    agg, counts = _model(cc, k)
+    ce = E.cross_entropy(counts, agg.filter(F.col("split") == "val"), cc.V, PRIOR, weight="m")
     return ce.select(F.lit("val").alias("split"), big("targets").alias("targets"), r6("ce").alias("ce"))
 
 
@@ -226,12 +227,7 @@ def q_cross_entropy_k2(spark, sf_dir):
     return _ce(spark, sf_dir, 2)
 
 
-def window_targets(windows: DataFrame, k: int, keys: list[str]) -> DataFrame:
-    """Targets of a window table: y[t] with context x[max(0, t-k+1) .. t]."""
-    z = windows.select(*keys, "x", F.posexplode(F.col("y")).alias("t", "tgt"))
-    lo = F.greatest(F.lit(1), F.col("t") - k + 2)
-    ln = F.least(F.lit(k), F.col("t") + 1)
-    return z.select(*keys, F.slice("x", lo, ln).alias("ctx"), "tgt")
+window_targets = E.window_targets
 
 
 def q_eval_loss(spark, sf_dir):
@@ -471,10 +467,9 @@ def q_cross_entropy_bpe(spark, sf_dir):
     e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec).select("doc_id", F.col("ids").alias("toks"))
     N = S.total_tokens(e)
     ntr = S.split_point(N, TRAIN_FRAC)
-    tg = S.targets(S.global_positions(e), 1, ntr)
-    counts = E.fit_counts(tg.filter(F.col("split") == "train").select("ctx", "tgt"))
-    ce = E.cross_entropy(counts, tg.filter(F.col("split") == "val").select("ctx", "tgt"),
-                         len(codec.tokens), PRIOR)
+    agg = E.aggregate_targets(S.targets(S.global_positions(e), 1, ntr))
+    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
+    ce = E.cross_entropy(counts, agg.filter(F.col("split") == "val"), len(codec.tokens), PRIOR, weight="m")
     return ce.select(F.lit("val").alias("split"), big("targets").alias("targets"), r6("ce").alias("ce"))
 
 
@@ -548,6 +543,16 @@ def q_generate_with_checkpoint(spark, sf_dir):
     return g.select(big("prompt_id").alias("prompt_id"), text.alias("completion"))
 
 
+def q_loss_history(spark, sf_dir):
+    """E5 with the reference's schedule (eval every 250 of 2,000 steps, 20
+    eval batches of 32 x 64) for the char count model."""
+    cc = char_corpus(spark, sf_dir)
+    h = E.loss_history(cc.pos, cc.ntr, cc.N, cc.V, k=1, block=BLOCK_SIZE, batch=BATCH_SIZE,
+                       max_iters=MAX_ITERS, eval_interval=EVAL_INTERVAL, eval_batches=EVAL_BATCHES,
+                       seed=SEED, a=PRIOR)
+    return h.select(big("it").alias("it"), r6("train_loss").alias("train_loss"), r6("val_loss").alias("val_loss"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_newlines": q_normalize_newlines,
     "after_start": q_after_start,
@@ -574,6 +579,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_entropy_k2": q_cross_entropy_k2,
     "eval_loss": q_eval_loss,
     "score_documents": q_score_documents,
+    "loss_history": q_loss_history,
     "temper": q_temper,
     "top_k": q_top_k,
     "softmax": q_softmax,
