@@ -369,3 +369,53 @@ def bpe_decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "text")
         return pd.Series([c.decode(x) for x in s])
 
     return df.withColumn(out, dec(F.col(ids)))
+
+
+# ---------------------------------------------------------------------------
+# F7 for BPE tokens
+# ---------------------------------------------------------------------------
+def _deltas(codec: Codec, ids, reference_compat: bool) -> list[tuple[int, str | None, bool]]:
+    """(step, delta, done) rows for one request's generated ids."""
+    import codecs
+    out: list[tuple[int, str | None, bool]] = []
+    if reference_compat:  # re-decode all, emit the new suffix when the text changed
+        prev = ""
+        for i in range(len(ids)):
+            text = codec.decode(ids[: i + 1])
+            if text != prev:
+                out.append((i, text[len(prev):], False))
+                prev = text
+        out.append((len(ids), None, True))
+        return out
+    dec = codecs.getincrementaldecoder("utf-8")(errors="replace")
+    for i, t in enumerate(ids):
+        tok = codec.tokens[int(t)]
+        piece = dec.decode(b"" if tok == UNK else from_symbols(tok))
+        if piece:
+            out.append((i, piece, False))
+    tail = dec.decode(b"", final=True)
+    out.append((len(ids), tail or None, True))
+    return out
+
+
+def bpe_token_deltas(generated: DataFrame, codec: Codec, key: str = "prompt_id", ids: str = "new_ids",
+                     reference_compat: bool = False) -> DataFrame:
+    """text deltas of generated BPE ids: ``(key, step, delta, done)``.
+
+    Default: an incremental UTF-8 decoder holds back incomplete byte
+    sequences, so no text is lost; ``reference_compat=True`` re-decodes all
+    ids each step with replacement characters and emits ``text[len(prev):]``
+    when the text changed, which loses text when a partial sequence first
+    decodes to U+FFFD.  The final row has ``done`` true (its delta is any
+    flushed tail)."""
+    bc = generated.sparkSession.sparkContext.broadcast((list(codec.tokens), list(codec.merges)))
+    kt = generated.schema[key].dataType.simpleString()
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = Codec(*bc.value)
+        for pdf in it:
+            rows = [(k, s, d, done) for k, seq in zip(pdf[key], pdf[ids])
+                    for s, d, done in _deltas(c, [int(x) for x in seq], reference_compat)]
+            yield pd.DataFrame(rows, columns=[key, "step", "delta", "done"])
+
+    return generated.select(key, ids).mapInPandas(run, f"`{key}` {kt}, step int, delta string, done boolean")

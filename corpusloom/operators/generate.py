@@ -27,17 +27,24 @@ from corpusloom.session import cut_lineage
 KEY = ["ctx", "t", "k"]
 
 
+def _unseen(elem) -> object:
+    """A token no vocabulary holds: char tokens are single code points, ids are >= 0."""
+    return "\u0000<unseen>" if elem.typeName() == "string" else -1
+
+
 def crop(toks: Column, k: int) -> Column:
     """Last ``min(k, size)`` tokens."""
     n = F.size(toks)
     return F.slice(toks, F.greatest(n - k + 1, F.lit(1)), F.least(F.lit(k), n))
 
 
-def sampling_tables(counts: DataFrame, need: DataFrame, vocab: DataFrame, a: float) -> DataFrame:
+def sampling_tables(counts: DataFrame, need: DataFrame, vocab: DataFrame, a: float,
+                    vocab_size: int | None = None) -> DataFrame:
     """Per (ctx, t, k): greedy token, and for t > 0 the kept ids/tokens in id
     order with their CDF after temperature and top-k."""
     ctxs = need.select("ctx").distinct()
-    d = E.next_dist(counts, ctxs.select(F.col("ctx").alias("cid"), "ctx"), vocab, a).withColumnRenamed("cid", "ctx")
+    d = E.next_dist(counts, ctxs.select(F.col("ctx").alias("cid"), "ctx"), vocab, a,
+                    vocab_size=vocab_size).withColumnRenamed("cid", "ctx")
     best = SM.greedy(d, ["ctx"]).join(F.broadcast(vocab), "id").select("ctx", F.col("token").alias("best"))
     dk = d.join(need.filter(F.col("t") > 0), "ctx")
     kept = SM.softmax(SM.top_k(SM.temper(dk, "t"), KEY, "k"), KEY)
@@ -61,21 +68,40 @@ def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int,
         return F.col(v).cast(typ) if isinstance(v, str) else F.lit(v).cast(typ)
 
     counts = cut_lineage(counts)
+    vocab = cut_lineage(vocab)  # vocabulary-sized; read many times below
+    V = vocab.count()
     state = prompts.select(
         "prompt_id", "toks", F.array().cast(prompts.schema["toks"].dataType).alias("new"),
         col(temperature, "double").alias("t"),
         F.coalesce(col(top_k, "int") if top_k is not None else F.lit(None).cast("int"), F.lit(0)).alias("k"),
         (F.col(n).cast("int") if n else F.lit(steps)).alias("n"))
+    elem = prompts.schema["toks"].dataType.elementType
+    seen = None
+    if k == 1:
+        # Order-1 contexts the model has seen (at most V rows: broadcast).  Any
+        # other one-token context has the same distribution, (0 + a p0)/(0 + a),
+        # so it maps to one shared key whose token no vocabulary holds.
+        seen = cut_lineage(counts.filter(F.col("j") == 1).select(F.col("ctx").alias("__sc")).distinct())
     table = None
     for step in range(steps):
-        state = state.withColumn("ctx", crop(F.concat("toks", "new"), k))
+        c = crop(F.concat("toks", "new"), k)
+        if seen is not None:
+            st = state.withColumn("__c", c)
+            st = st.join(F.broadcast(seen), st["__c"] == seen["__sc"], "left")
+            key = (F.when(F.size("__c") == 0, F.col("__c"))
+                   .when(F.col("__sc").isNotNull(), F.col("__c"))
+                   .otherwise(F.array(F.lit(_unseen(elem)).cast(elem))))
+            state = st.withColumn("ctx", key).drop("__c", "__sc")
+        else:
+            state = state.withColumn("ctx", c)
         need = state.filter(F.size("new") < F.col("n")).select(*KEY).distinct()
         if table is not None:
             need = need.join(table.select(*KEY), KEY, "left_anti")
-        add = sampling_tables(counts, need, vocab, a)
-        table = cut_lineage(add if table is None else table.unionByName(add))
+        if table is None or not need.isEmpty():
+            add = sampling_tables(counts, need, vocab, a, vocab_size=V)
+            table = cut_lineage(add if table is None else table.unionByName(add))
         j = state.join(table, KEY, "left").withColumn("__u", unit(seed, F.col("prompt_id"), F.lit(step)))
-        idx = F.size(F.filter("cum", lambda c: c <= F.col("__u")))
+        idx = F.size(F.filter("cum", lambda x: x <= F.col("__u")))
         drawn = F.element_at("kt", F.least(idx + 1, F.size("kt")).cast("int"))
         pick = F.when(F.col("t") > 0, drawn).otherwise(F.col("best"))
         grow = F.size("new") < F.col("n")

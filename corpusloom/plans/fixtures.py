@@ -103,17 +103,25 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     The rank is a two-level running count (hour chunks of ``ts``), so one run
     holding a third of all events is spread over its chunks.
     """
-    e = read_table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value")
-    chunk = F.floor(F.unix_micros("ts") / F.lit(HISTORY_CHUNK_MICROS))
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    e = e.withColumn("__us", epoch_micros(e, "ts"))
+    chunk = F.floor(F.col("__us") / F.lit(HISTORY_CHUNK_MICROS))
     r = running_agg(e, F.lit(1), ["ts", "event_id"], "__rn", chunk, keys=["user_id"])
-    first = e.groupBy("user_id").agg(F.min(F.unix_micros("ts")).alias("__t0"))
+    first = e.groupBy("user_id").agg(F.min("__us").alias("__t0"))
     r = r.join(first, "user_id")
     return r.select(F.col("user_id").alias("run_id"),
                     (F.lit(250) * (F.col("__rn") - 1)).cast("int").alias("it"),
                     (F.lit(0.9) * F.col("value")).alias("train_loss"),
                     F.col("value").alias("val_loss"),
-                    ((F.unix_micros("ts") - F.col("__t0")) / F.lit(1e6)).alias("secs"))
+                    ((F.col("__us") - F.col("__t0")) / F.lit(1e6)).alias("secs"))
+
+
+def epoch_micros(df: DataFrame, col: str):
+    """Microseconds since 1970-01-01 00:00:00 of a timestamp column, without
+    the session time zone for wall-clock (NTZ) timestamps."""
+    if df.schema[col].dataType.typeName() == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+    return F.unix_micros(F.col(col))
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

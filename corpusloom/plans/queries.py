@@ -553,6 +553,23 @@ def q_loss_history(spark, sf_dir):
     return h.select(big("it").alias("it"), r6("train_loss").alias("train_loss"), r6("val_loss").alias("val_loss"))
 
 
+def q_bpe_token_deltas(spark, sf_dir):
+    """F6 + F7 on BPE ids: the count model over BPE tokens continues each user
+    prompt (sampled), and the ids are turned into text deltas."""
+    codec = bpe_codec(spark, sf_dir)
+    e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec).select("doc_id", F.col("ids").alias("toks"))
+    N = S.total_tokens(e)
+    agg = E.aggregate_targets(S.targets(S.global_positions(e), 1, S.split_point(N, TRAIN_FRAC)))
+    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
+    vocab = spark.range(len(codec.tokens)).select(F.col("id").cast("int").alias("id"),
+                                                  F.col("id").cast("int").alias("token"))
+    p = BP.bpe_encode(X.prompts(spark, sf_dir).withColumnRenamed("prompt", "text"), codec)
+    g = G.generate(p.select("prompt_id", F.col("ids").alias("toks")), counts, vocab, k=1, steps=GEN_STEPS,
+                   temperature=TEMPERATURE, top_k=TOP_K, seed=SEED, a=PRIOR)
+    d = BP.bpe_token_deltas(g.select("prompt_id", F.col("new_toks").alias("new_ids")), codec)
+    return d.select(big("prompt_id").alias("prompt_id"), big("step").alias("step"), "delta", "done")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_newlines": q_normalize_newlines,
     "after_start": q_after_start,
@@ -588,6 +605,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "generate_greedy": q_generate_greedy,
     "generate_sampled": q_generate_sampled,
     "token_deltas": q_token_deltas,
+    "bpe_token_deltas": q_bpe_token_deltas,
     "normalize_requests": q_normalize_requests,
     "best_checkpoint": q_best_checkpoint,
     "early_stop": q_early_stop,

@@ -16,7 +16,7 @@ def read_works(spark: SparkSession, path: str, works: DataFrame,
     Returns ``(work_id, title, ord, text)``.  Files whose id has no work are
     dropped by the inner join.
     """
-    raw = (spark.read.option("wholetext", "true").text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.regexp_extract(F.input_file_name(), id_pattern, 1).cast("bigint").alias("work_id"),
                    F.col("value").alias("text")))
     return raw.join(works, "work_id").select("work_id", "title", "ord", "text")
@@ -31,7 +31,7 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "text":
-        df = (spark.read.option("wholetext", "true").text(path)
+        df = (spark.read.text(path, wholetext=True)
               .select(F.xxhash64(F.input_file_name()).alias("doc_id"), F.col("value").alias(text_col)))
     else:
         raise ValueError(fmt)

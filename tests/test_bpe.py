@@ -74,3 +74,15 @@ def test_choose_batching_rules():
     assert BP._choose([(3, 4, 10), (1, 2, 9)], {}, {}, toks2, idx2, 10) == [(3, 4, 10)]
     # no room left in the vocabulary
     assert BP._choose([(3, 4, 10)], {}, {}, toks, idx, 0) == []
+
+
+def test_bpe_deltas_hold_back_and_compat(spark):
+    codec = BP.Codec(["<unk>"] + BP.byte_symbols(), [])
+    ids = [1 + b for b in "aé😀b".encode()]
+    df = spark.createDataFrame([(1, ids)], "prompt_id long, new_ids array<int>")
+    held = BP.bpe_token_deltas(df, codec).orderBy("step").collect()
+    assert "".join(r["delta"] or "" for r in held) == "aé😀b"
+    assert held[-1]["done"] and sum(r["done"] for r in held) == 1
+    compat = BP.bpe_token_deltas(df, codec, reference_compat=True).orderBy("step").collect()
+    text = "".join(r["delta"] or "" for r in compat)
+    assert text != "aé😀b" and text.startswith("a")  # the re-decode rule loses text

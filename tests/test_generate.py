@@ -52,10 +52,11 @@ def _greedy_loop(seq, chars, k, prompt, n, a=1.0):
 def test_greedy_equals_loop_and_short_prompts(spark):
     for k in (1, 2):
         seq, chars, counts, vocab = _model(spark, k)
-        prompts = spark.createDataFrame([(1, list("ab")), (2, list("c")), (3, [])], "prompt_id long, toks array<string>")
+        prompts = spark.createDataFrame([(1, list("ab")), (2, list("c")), (3, []), (4, list("zq"))],
+                                        "prompt_id long, toks array<string>")
         g = {r["prompt_id"]: "".join(r["new_toks"]) for r in
              G.generate(prompts, counts, vocab, k=k, steps=5, temperature=0.0).collect()}
-        for pid, p in [(1, "ab"), (2, "c"), (3, "")]:
+        for pid, p in [(1, "ab"), (2, "c"), (3, ""), (4, "zq")]:
             assert g[pid] == _greedy_loop(seq, chars, k, p, 5), (k, pid)
 
 
