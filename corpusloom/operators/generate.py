@@ -83,6 +83,18 @@ def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int,
         # so it maps to one shared key whose token no vocabulary holds.
         seen = cut_lineage(counts.filter(F.col("j") == 1).select(F.col("ctx").alias("__sc")).distinct())
     table = None
+    fixed = seen is not None and not isinstance(temperature, str) and not isinstance(top_k, str)
+    if fixed:
+        # Same settings for every row: every key is known up front (the seen
+        # contexts, the empty context, the shared unseen key), so the whole
+        # table is built once, before the first step.
+        spark = prompts.sparkSession
+        at = prompts.schema["toks"].dataType
+        special = spark.createDataFrame([([],), ([_unseen(elem)],)], f"ctx {at.simpleString()}")
+        keys = (seen.select(F.col("__sc").alias("ctx")).unionByName(special)
+                .withColumn("t", F.lit(float(temperature)).cast("double"))
+                .withColumn("k", F.lit(int(top_k or 0)).cast("int")))
+        table = cut_lineage(sampling_tables(counts, keys, vocab, a, vocab_size=V))
     for step in range(steps):
         c = crop(F.concat("toks", "new"), k)
         if seen is not None:
@@ -94,12 +106,13 @@ def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int,
             state = st.withColumn("ctx", key).drop("__c", "__sc")
         else:
             state = state.withColumn("ctx", c)
-        need = state.filter(F.size("new") < F.col("n")).select(*KEY).distinct()
-        if table is not None:
-            need = need.join(table.select(*KEY), KEY, "left_anti")
-        if table is None or not need.isEmpty():
-            add = sampling_tables(counts, need, vocab, a, vocab_size=V)
-            table = cut_lineage(add if table is None else table.unionByName(add))
+        if not fixed:
+            need = state.filter(F.size("new") < F.col("n")).select(*KEY).distinct()
+            if table is not None:
+                need = need.join(table.select(*KEY), KEY, "left_anti")
+            if table is None or not need.isEmpty():
+                add = sampling_tables(counts, need, vocab, a, vocab_size=V)
+                table = cut_lineage(add if table is None else table.unionByName(add))
         j = state.join(table, KEY, "left").withColumn("__u", unit(seed, F.col("prompt_id"), F.lit(step)))
         idx = F.size(F.filter("cum", lambda x: x <= F.col("__u")))
         drawn = F.element_at("kt", F.least(idx + 1, F.size("kt")).cast("int"))
