@@ -132,6 +132,24 @@ def lag_tail_across(
     return d.withColumn(out, res).drop(_CHUNK, _LOCAL, _BASE)
 
 
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+                partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based rank of each row along ``order`` within ``keys``
+    (ties must not exist in ``order``), skew-proof.
+
+    ``repartitionByRange`` samples balanced ranges of (keys, order), so even a
+    key holding a third of all rows is cut into many partitions; the partition
+    id is non-decreasing along the order within a key and serves as the chunk
+    of the two-level count.  The id is stored with the rows (a table in the
+    checkpoint folder) before use: read twice from a live shuffle, adaptive
+    coalescing could number the partitions differently for each reader.
+    """
+    from corpusloom.session import cut_lineage
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = cut_lineage(df.repartitionByRange(n, *keys, *order).withColumn("__pid", F.spark_partition_id()))
+    return running_agg(r, F.lit(1), list(order), out, F.col("__pid"), keys=list(keys)).drop("__pid")
+
+
 def id_chunk(col: str, width: int) -> Column:
     """Chunk of an integer id: ``floor(id / width)``; at most ``width`` ids each."""
     return F.floor(F.col(col) / F.lit(width))

@@ -23,6 +23,8 @@ from corpusloom.functions.scan import id_chunk, lag_tail_across, lead_across, ru
 
 #: documents per chunk for the two-level scans over the document table
 DOC_CHUNK = 4096
+#: largest window-bucket table D4 broadcasts
+WINDOW_BROADCAST_ROWS = 1 << 21
 
 
 def pack_chars(docs: DataFrame, text: str = "text", terminator: str | None = "\n",
@@ -171,8 +173,10 @@ def gather_windows(positioned: DataFrame, starts: DataFrame, block: int, split_b
         "doc_id", "off", "n",
         F.explode(F.sequence(F.floor(F.col("off") / W),
                              F.floor((F.col("off") + F.col("n") - 1) / W))).alias("b"))
-    # The window side is bounded by batch*steps*2 rows: broadcast it.
-    hits = (spans.join(F.broadcast(win_b), "b")
+    # The window side has at most 2 rows per window (batch * steps windows):
+    # broadcast it when that count is below the limit, else a shuffle join.
+    small = 2 * starts.count() <= WINDOW_BROADCAST_ROWS
+    hits = (spans.join(F.broadcast(win_b) if small else win_b, "b")
             .filter((F.col("off") <= F.col("s") + block) & (F.col("off") + F.col("n") > F.col("s")))
             .select("split", "it", "row", "s", "doc_id", "off", "n").distinct())
     toks = positioned.select("doc_id", "toks")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.scan import running_agg
+from corpusloom.functions.scan import rank_within
 from corpusloom.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -27,10 +27,6 @@ CREDIT_PGDP = "\nProduced by J. Roe at https://www.pgdp.net online\n(This file w
 PREFACE = "Preface\n"
 # ---------------------------------------------------------------------------
 
-#: events per history chunk of one run (a run may hold a third of all events)
-HISTORY_CHUNK_MICROS = 3600 * 1_000_000
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
@@ -100,13 +96,13 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     it = 250 * (rank by (ts, event_id) - 1), val = value, train = 0.9 * value,
     secs = seconds since the run's first eval.
 
-    The rank is a two-level running count (hour chunks of ``ts``), so one run
-    holding a third of all events is spread over its chunks.
+    The rank is a two-level running count over range partitions of
+    (user_id, ts, event_id), so one run holding a third of all events is cut
+    into balanced chunks.
     """
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     e = e.withColumn("__us", epoch_micros(e, "ts"))
-    chunk = F.floor(F.col("__us") / F.lit(HISTORY_CHUNK_MICROS))
-    r = running_agg(e, F.lit(1), ["ts", "event_id"], "__rn", chunk, keys=["user_id"])
+    r = rank_within(e, ["user_id"], ["ts", "event_id"], "__rn")
     first = e.groupBy("user_id").agg(F.min("__us").alias("__t0"))
     r = r.join(first, "user_id")
     return r.select(F.col("user_id").alias("run_id"),

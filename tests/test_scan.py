@@ -49,3 +49,13 @@ def test_lead_and_carry(spark):
         for d, t in rows:
             assert carry[d] == seq[-1:]
             seq += t
+
+
+def test_rank_within_hot_key(spark):
+    from corpusloom.functions.scan import rank_within
+    rows, df = _data(spark, n=500, seed=5)
+    got = {r["o"]: r["rn"] for r in rank_within(df, ["k"], ["v", "o"], "rn", partitions=9).collect()}
+    seen = {}
+    for k, o, v in sorted(rows, key=lambda x: (x[0], x[2], x[1])):
+        seen[k] = seen.get(k, 0) + 1
+        assert got[o] == seen[k]
