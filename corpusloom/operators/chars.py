@@ -61,18 +61,14 @@ def char_decode(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id") -> Dat
                                  lambda x: x["token"]), "").alias("text"))
 
 
-def tokenizer_stats(vocab_size: int, chars: DataFrame, tokens: DataFrame, block_size: int,
-                    kind: str = "char") -> DataFrame:
-    """C11: (tokenizer, vocab_size, chars, tokens, chars_per_token, context_chars).
-
-    ``chars`` is a one-column table of text lengths, ``tokens`` of token
-    counts; both are reduced by plain aggregates and joined on a constant key
-    (both sides are one row).
-    """
-    c = chars.agg(F.sum(F.col(chars.columns[0])).cast("bigint").alias("chars")).withColumn("__k", F.lit(1))
-    t = tokens.agg(F.sum(F.col(tokens.columns[0])).cast("bigint").alias("tokens")).withColumn("__k", F.lit(1))
+def tokenizer_stats(vocab_size: int, per_doc: DataFrame, block_size: int, kind: str = "char",
+                    chars: str = "chars", tokens: str = "tokens") -> DataFrame:
+    """C11: (tokenizer, vocab_size, chars, tokens, chars_per_token, context_chars)
+    from one table of per-document character and token counts, in one
+    aggregate (map-side partial sums)."""
+    t = per_doc.agg(F.sum(chars).cast("bigint").alias("chars"), F.sum(tokens).cast("bigint").alias("tokens"))
     cpt = F.col("chars") / F.col("tokens")
-    return c.join(t, "__k").select(
+    return t.select(
         F.lit(kind).alias("tokenizer"), F.lit(vocab_size).cast("bigint").alias("vocab_size"),
         "chars", "tokens", F.round(cpt, 6).alias("chars_per_token"),
         F.round(F.lit(block_size) * cpt, 0).cast("bigint").alias("context_chars"))

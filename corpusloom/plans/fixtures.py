@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scan import rank_within
+from corpusloom.session import cut_lineage
 from corpusloom.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -98,18 +99,19 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The rank is a two-level running count over range partitions of
     (user_id, ts, event_id), so one run holding a third of all events is cut
-    into balanced chunks.
+    into balanced chunks.  The result is materialised as a table in the
+    checkpoint folder, as a history table would be.
     """
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     e = e.withColumn("__us", epoch_micros(e, "ts"))
     r = rank_within(e, ["user_id"], ["ts", "event_id"], "__rn")
     first = e.groupBy("user_id").agg(F.min("__us").alias("__t0"))
     r = r.join(first, "user_id")
-    return r.select(F.col("user_id").alias("run_id"),
+    return cut_lineage(r.select(F.col("user_id").alias("run_id"),
                     (F.lit(250) * (F.col("__rn") - 1)).cast("int").alias("it"),
                     (F.lit(0.9) * F.col("value")).alias("train_loss"),
                     F.col("value").alias("val_loss"),
-                    ((F.col("__us") - F.col("__t0")) / F.lit(1e6)).alias("secs"))
+                    ((F.col("__us") - F.col("__t0")) / F.lit(1e6)).alias("secs")))
 
 
 def epoch_micros(df: DataFrame, col: str):

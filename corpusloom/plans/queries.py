@@ -25,6 +25,7 @@ from corpusloom.operators import runs as H
 from corpusloom.operators import sampling as SM
 from corpusloom.operators import sequence as S
 from corpusloom.plans import fixtures as X
+from corpusloom.session import cut_lineage
 from corpusloom.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -64,13 +65,22 @@ class CharCorpus:
     ntr: int
 
 
+_CHAR_FITS: dict = {}
+
+
 def char_corpus(spark: SparkSession, sf_dir: str) -> CharCorpus:
-    """``documents`` in doc_id order, each text followed by a newline, as chars."""
+    """``documents`` in doc_id order, each text followed by a newline, as chars.
+
+    The vocabulary (a small table in the checkpoint folder), its size and the
+    corpus length are fitted once per (session, input), like the BPE codec.
+    """
     docs = X.documents(spark, sf_dir)
     packed = S.pack_chars(docs)
-    vocab = C.char_vocab(docs, terminator="\n")
-    V = vocab.count()
-    N = S.total_tokens(packed)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CHAR_FITS:
+        vocab = cut_lineage(C.char_vocab(docs, terminator="\n"))
+        _CHAR_FITS[key] = (vocab, vocab.count(), S.total_tokens(packed))
+    vocab, V, N = _CHAR_FITS[key]
     return CharCorpus(docs, packed, S.global_positions(packed), vocab, V, N,
                       S.split_point(N, TRAIN_FRAC))
 
@@ -133,9 +143,9 @@ def q_char_decode(spark, sf_dir):
 
 def q_tokenizer_stats(spark, sf_dir):
     cc = char_corpus(spark, sf_dir)
-    chars = cc.docs.select(F.length(F.concat("text", F.lit("\n"))).alias("c"))
-    toks = cc.packed.select(F.size("toks").alias("t"))
-    st = C.tokenizer_stats(cc.V, chars, toks, BLOCK_SIZE, "char")
+    per_doc = cc.docs.select(F.length(F.concat("text", F.lit("\n"))).alias("chars"),
+                             F.size(F.split(F.concat("text", F.lit("\n")), "", -1)).alias("tokens"))
+    st = C.tokenizer_stats(cc.V, per_doc, BLOCK_SIZE, "char")
     return st.select("tokenizer", big("vocab_size").alias("vocab_size"), big("chars").alias("chars"),
                      big("tokens").alias("tokens"), r6("chars_per_token").alias("chars_per_token"),
                      big("context_chars").alias("context_chars"))
@@ -453,9 +463,8 @@ def q_bpe_decode(spark, sf_dir):
 def q_bpe_stats(spark, sf_dir):
     codec = bpe_codec(spark, sf_dir)
     d = _corpus_texts(spark, sf_dir)
-    e = BP.bpe_encode(d, codec)
-    st = C.tokenizer_stats(len(codec.tokens), d.select(F.length("text").alias("c")),
-                           e.select(F.size("ids").alias("t")), BLOCK_SIZE, "bpe")
+    e = BP.bpe_encode(d, codec).select(F.length("text").alias("chars"), F.size("ids").alias("tokens"))
+    st = C.tokenizer_stats(len(codec.tokens), e, BLOCK_SIZE, "bpe")
     return st.select("tokenizer", big("vocab_size").alias("vocab_size"), big("chars").alias("chars"),
                      big("tokens").alias("tokens"), r6("chars_per_token").alias("chars_per_token"),
                      big("context_chars").alias("context_chars"))

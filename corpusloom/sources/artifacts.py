@@ -83,14 +83,19 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
 
 
 def release_manifest(spark: SparkSession, manifest: DataFrame, required: list[str]) -> DataFrame:
-    """A5: fail naming every required artifact that is missing; otherwise return
-    the manifest restricted to the required names (each exactly once)."""
-    req = spark.createDataFrame([(r,) for r in required], "name string")
-    missing = [r["name"] for r in req.join(manifest, "name", "left_anti").collect()]
+    """A5: fail naming every required artifact that is missing (or listed
+    twice); otherwise return the manifest rows of the required names.
+
+    The manifest has one row per artifact; it is materialised once (the
+    per-table aggregates run once) and its names are checked on the driver.
+    """
+    from corpusloom.session import cut_lineage
+    m = cut_lineage(manifest)
+    names = [r["name"] for r in m.select("name").collect()]
+    missing = sorted(set(required) - set(names))
     if missing:
-        raise FileNotFoundError(f"missing artifacts: {', '.join(sorted(missing))}")
-    dup = manifest.join(req, "name", "left_semi").groupBy("name").count().filter("count > 1")
-    dups = [r["name"] for r in dup.collect()]
+        raise FileNotFoundError(f"missing artifacts: {', '.join(missing)}")
+    dups = sorted({n for n in names if n in set(required) and names.count(n) > 1})
     if dups:
-        raise ValueError(f"artifacts listed more than once: {', '.join(sorted(dups))}")
-    return manifest.join(req, "name", "left_semi")
+        raise ValueError(f"artifacts listed more than once: {', '.join(dups)}")
+    return m.filter(F.col("name").isin(list(required)))
