@@ -427,3 +427,54 @@ SQL["release_manifest"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS name, CAST(count(*) AS BIGINT) AS rows FROM {t}"
     for t in ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split())
+
+# ----------------------------------------------------------------------------- E5
+# Loss history of the char bigram: training windows of every step counted per
+# eval segment (step // interval); the model at eval e has the segments < e.
+_NE = Q.MAX_ITERS // Q.EVAL_INTERVAL + 1
+
+
+def _h60(split: str, it: str, row: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {Q.SEED}, '{split}', {it}, {row})), 1, 15))::BIGINT AS BIGINT)"
+
+
+SQL["loss_history"] = with_(SEQ, f"""tst AS (SELECT it.range AS it, {_h60('train', 'it.range', 'rw.range')} % (s.ntr - {Q.BLOCK_SIZE}) AS start
+  FROM range({Q.MAX_ITERS}) it, range({Q.BATCH_SIZE}) rw, stats s),
+tp AS (SELECT t.it // {Q.EVAL_INTERVAL} AS seg, q1.c AS c1, q2.c AS w
+  FROM tst t, range({Q.BLOCK_SIZE}) k, seq q1, seq q2
+  WHERE q1.gpos = t.start + k.range AND q2.gpos = t.start + k.range + 1),
+segc AS (SELECT seg, c1, w, count(*) AS n FROM tp GROUP BY ALL),
+segc1 AS (SELECT seg, c1, count(*) AS n FROM tp GROUP BY ALL),
+segw AS (SELECT seg, w, count(*) AS n FROM tp GROUP BY ALL),
+segt AS (SELECT seg, count(*) AS n FROM tp GROUP BY ALL),
+est AS (
+  SELECT 'train' AS split, it.range // {Q.EVAL_BATCHES} AS e, it.range % {Q.EVAL_BATCHES} AS b, 0 AS base,
+         {_h60('eval-train', 'it.range', 'rw.range')} % (s.ntr - {Q.BLOCK_SIZE}) AS start
+  FROM range({_NE * Q.EVAL_BATCHES}) it, range({Q.BATCH_SIZE}) rw, stats s
+  UNION ALL
+  SELECT 'val', it.range // {Q.EVAL_BATCHES}, it.range % {Q.EVAL_BATCHES}, s.ntr,
+         {_h60('eval-val', 'it.range', 'rw.range')} % (s.n_all - s.ntr - {Q.BLOCK_SIZE})
+  FROM range({_NE * Q.EVAL_BATCHES}) it, range({Q.BATCH_SIZE}) rw, stats s),
+ep AS (SELECT t.split, t.e, t.b, q1.c AS c1, q2.c AS w
+  FROM est t, range({Q.BLOCK_SIZE}) k, seq q1, seq q2
+  WHERE q1.gpos = t.base + t.start + k.range AND q2.gpos = q1.gpos + 1),
+keys AS (SELECT DISTINCT e, c1, w FROM ep),
+n_cw AS (SELECT k.e, k.c1, k.w, sum(CASE WHEN x.seg < k.e THEN x.n ELSE 0 END) AS n
+  FROM keys k LEFT JOIN segc x ON x.c1 = k.c1 AND x.w = k.w GROUP BY ALL),
+n_c AS (SELECT k.e, k.c1, sum(CASE WHEN x.seg < k.e THEN x.n ELSE 0 END) AS n
+  FROM (SELECT DISTINCT e, c1 FROM keys) k LEFT JOIN segc1 x ON x.c1 = k.c1 GROUP BY ALL),
+n_w AS (SELECT k.e, k.w, sum(CASE WHEN x.seg < k.e THEN x.n ELSE 0 END) AS n
+  FROM (SELECT DISTINCT e, w FROM keys) k LEFT JOIN segw x ON x.w = k.w GROUP BY ALL),
+n_t AS (SELECT k.e, sum(CASE WHEN x.seg < k.e THEN x.n ELSE 0 END) AS n
+  FROM (SELECT DISTINCT e FROM keys) k, segt x GROUP BY ALL),
+pr AS (SELECT a.e, a.c1, a.w,
+    (coalesce(a.n, 0) + (coalesce(w.n, 0) + 1.0 / s.v) / (coalesce(t.n, 0) + 1.0)) / (coalesce(c.n, 0) + 1.0) AS p
+  FROM n_cw a JOIN n_c c ON c.e = a.e AND c.c1 = a.c1 JOIN n_w w ON w.e = a.e AND w.w = a.w
+  LEFT JOIN n_t t ON t.e = a.e, stats s),
+pb AS (SELECT ep.split, ep.e, ep.b, avg(-ln(pr.p)) AS l FROM ep JOIN pr ON pr.e = ep.e AND pr.c1 = ep.c1 AND pr.w = ep.w
+  GROUP BY ALL),
+pe AS (SELECT e, split, avg(l) AS l FROM pb GROUP BY ALL)""") + f"""
+SELECT CAST(e * {Q.EVAL_INTERVAL} AS BIGINT) AS it,
+  round(max(CASE WHEN split = 'train' THEN l END), 6) AS train_loss,
+  round(max(CASE WHEN split = 'val' THEN l END), 6) AS val_loss
+FROM pe GROUP BY e"""
