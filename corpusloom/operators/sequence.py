@@ -42,8 +42,11 @@ def global_positions(packed: DataFrame, width: int = DOC_CHUNK) -> DataFrame:
     """Add ``n`` (tokens in the document) and ``off`` (global position of its
     first token).  Empty documents are dropped; they hold no position."""
     d = packed.withColumn("n", F.size("toks").cast("bigint")).filter(F.col("n") > 0)
-    return running_agg(d, "n", ["doc_id"], "off", id_chunk("doc_id", width),
-                       inclusive=False).withColumn("off", F.col("off").cast("bigint"))
+    # The scan runs on the narrow (doc_id, n) projection; its one-row-per-document
+    # result is joined back, so token arrays never ride through the scan's shuffles.
+    offs = running_agg(d.select("doc_id", "n"), "n", ["doc_id"], "off", id_chunk("doc_id", width),
+                       inclusive=False)
+    return d.join(offs.select("doc_id", F.col("off").cast("bigint").alias("off")), "doc_id")
 
 
 def total_tokens(packed: DataFrame) -> int:
@@ -77,9 +80,10 @@ def split_by_position(positioned: DataFrame, n_train: int) -> DataFrame:
 def with_carry(positioned: DataFrame, k: int, width: int = DOC_CHUNK) -> DataFrame:
     """Add ``carry``: the last ``k`` tokens of the sequence before each document."""
     n = F.size("toks")
-    d = positioned.withColumn(
-        "__tail", F.when(n <= k, F.col("toks")).otherwise(F.slice("toks", n - k + 1, k)))
-    return lag_tail_across(d, "__tail", ["doc_id"], "carry", id_chunk("doc_id", width), k).drop("__tail")
+    tails = positioned.select(
+        "doc_id", F.when(n <= k, F.col("toks")).otherwise(F.slice("toks", n - k + 1, k)).alias("__tail"))
+    carry = lag_tail_across(tails, "__tail", ["doc_id"], "carry", id_chunk("doc_id", width), k)
+    return positioned.join(carry.select("doc_id", "carry"), "doc_id")
 
 
 def targets(positioned: DataFrame, k: int, n_train: int, width: int = DOC_CHUNK) -> DataFrame:
@@ -115,8 +119,9 @@ def next_token(positioned: DataFrame, n_train: int, width: int = DOC_CHUNK) -> D
     """(gpos, tok, nxt, split) for every adjacent pair of the sequence.  The
     last token of a document pairs with the first of the next; a pair belongs
     to a split only if both ends do (pairs across the split are dropped)."""
-    d = lead_across(positioned, F.element_at("toks", 1), ["doc_id"], "__next_first",
-                    id_chunk("doc_id", width))
+    firsts = positioned.select("doc_id", F.element_at("toks", 1).alias("__first"))
+    nxt_first = lead_across(firsts, "__first", ["doc_id"], "__next_first", id_chunk("doc_id", width))
+    d = positioned.join(nxt_first.select("doc_id", "__next_first"), "doc_id")
     nxt = F.concat(F.slice("toks", 2, F.greatest(F.col("n") - 1, F.lit(0)).cast("int")),
                    F.when(F.col("__next_first").isNull(), F.array())
                    .otherwise(F.array("__next_first")))
