@@ -40,3 +40,18 @@ def test_artifacts_round_trip(spark, tmpdir_path):
     after = BP.bpe_encode(docs, BP.Codec.from_frames(v2, m2)).orderBy("doc_id").collect()
     assert [list(r["ids"]) for r in before] == [list(r["ids"]) for r in after]
     assert os.path.exists(os.path.join(tmpdir_path, "tokenizer.json"))
+
+
+def test_release_manifest_names_missing(spark):
+    import pytest
+
+    from corpusloom.sources.artifacts import release_manifest, table_manifest
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string")
+    m = table_manifest(spark, {"vocab": a, "merges": a.limit(1)})
+    got = {r["name"]: r["rows"] for r in release_manifest(spark, m, ["vocab", "merges"]).collect()}
+    assert got == {"vocab": 2, "merges": 1}
+    with pytest.raises(FileNotFoundError, match="config.json, model.safetensors"):
+        release_manifest(spark, m, ["vocab", "model.safetensors", "config.json"])
+    dup = m.unionByName(m)
+    with pytest.raises(ValueError, match="more than once: merges, vocab"):
+        release_manifest(spark, dup, ["vocab", "merges"])
