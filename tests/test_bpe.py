@@ -86,3 +86,17 @@ def test_bpe_deltas_hold_back_and_compat(spark):
     compat = BP.bpe_token_deltas(df, codec, reference_compat=True).orderBy("step").collect()
     text = "".join(r["delta"] or "" for r in compat)
     assert text != "aé😀b" and text.startswith("a")  # the re-decode rule loses text
+
+
+def test_pretokenize_equals_tokenizers(spark):
+    from tokenizers import pre_tokenizers
+    pt = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    texts = ["héllo wörld ½ ³² 😀", "it's  we'll\tthey'VE", " x　y​z\u001c\r\n", "   tabs\t\tand   spaces  ",
+             "a1b22 c333!!", "\n\n\nend.\n"]
+    docs = read_table(spark, SF001, "documents").select("text").limit(40).collect()
+    texts += [r["text"] + "\n" for r in docs]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r["i"]: list(r["p"]) for r in df.select("i", BP.pretokenize(F.col("t")).alias("p")).collect()}
+    for i, t in enumerate(texts):
+        want = [p for p, _ in pt.pre_tokenize_str(t)]
+        assert [BP.to_symbols(p) for p in got[i]] == want, t
