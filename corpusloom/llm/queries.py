@@ -7,9 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
+from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
-from corpusloom.llm.common import table
+from corpusloom.llm.common import held_out, table
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = D.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda s, r: s + r["to"] - r["from"])
+    return c.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                    (F.size("hit_words") > 0).alias("contaminated"))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +31,41 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = L.fit(docs.where(~held_out()))
+    return L.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_language_id": op6_language_id,
 }
 
 SQL: dict[str, str] = {
+    "op1_decontamination": r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, list_slice(w, i, i + least(len(w), 10) - 1) AS g
+  FROM iw, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS r(i) WHERE len(w) > 0),
+hit AS (
+  SELECT DISTINCT doc_id, item_id, i, z.k
+  FROM (SELECT DISTINCT k FROM win) z, dw, unnest(range(1, len(w) - z.k + 2)) AS r(i)
+  JOIN win ON win.k = z.k AND win.g = list_slice(dw.w, i, i + z.k - 1)),
+pos AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit FROM hit, unnest(range(i, i + k)) AS r(p) GROUP BY doc_id),
+it AS (SELECT doc_id, count(DISTINCT item_id)::BIGINT AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+       FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
     "op3_mixing": r"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS sn, coalesce(source, '') AS s,
