@@ -11,6 +11,8 @@ from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
 from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
+from corpusloom.llm import sanitise as P
+from corpusloom.llm import toxicity as T
 from corpusloom.llm.common import held_out, table
 
 
@@ -22,6 +24,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.size("hit_words") > 0).alias("contaminated"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = T.fit(docs, table(spark, sf_dir, "labels"), usable=~held_out())
+    return T.score(docs, model).select("doc_id", held_out().alias("held_out"), "score",
+                                       (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = M.mix(table(spark, sf_dir, "documents")).drop("readings")
     return m.withColumn("position", F.round("position", 9)).orderBy("position", "doc_id")
@@ -31,6 +40,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = P.personal_data(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in P.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = L.fit(docs.where(~held_out()))
@@ -39,8 +57,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sanitisation": op5_sanitisation,
     "op6_language_id": op6_language_id,
 }
 
