@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import map_batches
 
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 5_000
 LEARNED_VOTERS = 48
 FEATURES = 1_000
 STEMS = (4, 5, 6, 7)
@@ -115,6 +115,11 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 2.0, steps: int = 12) ->
     return w[:-1], float(w[-1])
 
 
+def with_stems(seen: tuple[set[str], np.ndarray]) -> tuple[set[str], np.ndarray]:
+    words, votes = seen
+    return words.union(*(stems(words, k) for k in STEMS)), votes
+
+
 class Model:
     """A linear model over words and the fixed voters."""
 
@@ -150,13 +155,19 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     if len(rows) == 0 or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return Model({}, np.zeros(n_votes), float(np.log(share / (1 - share))))
-    seen = [(words.union(*(stems(words, k) for k in STEMS)), v) for words, v in (observed(r[0] or "") for r in rows)]
-    df, df1 = Counter(), Counter()
-    for (words, _), label in zip(seen, y):
+    df, df1, feats = Counter(), Counter(), lambda t: with_stems(observed(t or ""))
+    for (text, _), label in zip(rows, y):  # features are made twice, so that only the frequent ones are kept
+        words, _ = feats(text)
         df.update(words)
         if label:
             df1.update(words)
-    vocab = distinct_features(seen, {w for w, c in df.items() if c >= MIN_DF})
+    df = Counter({w: c for w, c in df.items() if c >= MIN_DF})
+    frequent = set(df)
+    seen = []
+    for text, _ in rows:
+        words, v = feats(text)
+        seen.append((words & frequent, v))
+    vocab = distinct_features(seen, frequent)
     c, c1, n, n1 = np.array([df[w] for w in vocab], float), np.array([df1[w] for w in vocab], float), len(y), y.sum()
     expect = c * n1 / n
     z = (c1 - expect) / np.sqrt(np.maximum(expect * (1 - c / n), 0.25))  # how far from chance the word's toxic rows are
@@ -186,7 +197,8 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
     first = lab.orderBy(F.xxhash64(F.col("__id").cast("string"), F.lit(2)), "__id").limit(sample_rows).collect()
     spark = docs.sparkSession
     few = spark.createDataFrame([(r["__id"], int(r["__y"])) for r in first], lab.withColumn("__y", F.col("__y").cast("int")).schema)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(few, "__id").collect()
+    rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
+            .join(F.broadcast(few), "__id").collect())  # at most sample_rows ids
     best: dict = {}
     for r in rows:
         t = r["__t"] or ""
