@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.llm import chat_format as C
 from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
 from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
 from corpusloom.llm import sanitise as P
+from corpusloom.llm import token_counts as K
 from corpusloom.llm import toxicity as T
 from corpusloom.llm.common import held_out, table
 
@@ -55,6 +57,19 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder = K.load_encoder(K.vocabulary_path(spark.sparkContext))
+    return (K.token_counts(table(spark, sf_dir, "documents"), encoder, rule="majority").drop("name")
+            .withColumn("tokens", F.col("tokens").cast("long")))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = C.gather_turns(table(spark, sf_dir, "conversations"))
+    pairs = conv.select(F.col("conv").alias("pair_id"), F.col("turns").alias("chosen"), C.echo_negative(F.col("turns")).alias("rejected"))
+    mask = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return C.format_pairs(pairs).select("pair_id", "n_prefix", "prompt", "chosen", "rejected", mask("chosen_mask"), mask("rejected_mask"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -62,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sanitisation": op5_sanitisation,
     "op6_language_id": op6_language_id,
+    "op8_token_counts": op8_token_counts,
+    "op10_chat_format": op10_chat_format,
 }
 
 SQL: dict[str, str] = {
@@ -122,5 +139,30 @@ g AS (
          count(*) OVER (PARTITION BY norm)::BIGINT AS group_size
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op10_chat_format": r"""
+WITH c AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations GROUP BY conv_id),
+l AS (SELECT conv_id, t, coalesce(list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')), 0) AS la FROM c),
+u AS (SELECT *, list_max(list_filter(range(1, la), lambda i: t[i].role = 'user')) AS lu FROM l),
+x AS (
+  SELECT conv_id, t AS a, list_transform(t, lambda e, i: CASE WHEN i = la THEN {'role': e.role, 'text':
+         CASE WHEN lu IS NULL THEN '' ELSE t[lu].text END} ELSE e END) AS b FROM u),
+n AS (SELECT *, coalesce(list_min(list_filter(range(1, len(a) + 1), lambda i: a[i] != b[i])) - 1, len(a)) AS n FROM x),
+r AS (
+  SELECT conv_id, n, list_transform(a, lambda e: '<|' || e.role || '|>' || chr(10) || e.text || '<|end|>' || chr(10)) AS ra,
+         list_transform(b, lambda e: '<|' || e.role || '|>' || chr(10) || e.text || '<|end|>' || chr(10)) AS rb, a, b FROM n),
+m AS (
+  SELECT *, list_transform(list_filter(range(n + 1, len(a) + 1), lambda i: a[i].role = 'assistant'),
+    lambda i: {'e': list_sum(list_transform(ra[n + 1 : i], lambda s: length(s))), 'k': length(a[i].text) + 8}) AS ma,
+    list_transform(list_filter(range(n + 1, len(b) + 1), lambda i: b[i].role = 'assistant'),
+    lambda i: {'e': list_sum(list_transform(rb[n + 1 : i], lambda s: length(s))), 'k': length(b[i].text) + 8}) AS mb FROM r)
+SELECT conv_id AS pair_id, n::BIGINT AS n_prefix, array_to_string(ra[1 : n], '') AS prompt,
+       array_to_string(ra[n + 1 :], '') AS chosen, array_to_string(rb[n + 1 :], '') AS rejected,
+       array_to_string(list_transform(ma, lambda s: (s.e - s.k)::BIGINT || ':' || s.e::BIGINT), ',') AS chosen_mask,
+       array_to_string(list_transform(mb, lambda s: (s.e - s.k)::BIGINT || ':' || s.e::BIGINT), ',') AS rejected_mask
+FROM m
 """,
 }
