@@ -12,6 +12,7 @@ from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
 from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
+from corpusloom.llm import ngram_join as J
 from corpusloom.llm import sanitise as P
 from corpusloom.llm import token_counts as K
 from corpusloom.llm import toxicity as T
@@ -63,6 +64,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("tokens", F.col("tokens").cast("long")))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = C.gather_turns(table(spark, sf_dir, "conversations"))
     pairs = conv.select(F.col("conv").alias("pair_id"), F.col("turns").alias("chosen"), C.echo_negative(F.col("turns")).alias("rejected"))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sanitisation": op5_sanitisation,
     "op6_language_id": op6_language_id,
     "op8_token_counts": op8_token_counts,
+    "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
 }
 
