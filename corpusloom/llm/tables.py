@@ -14,4 +14,5 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of the finished job now
     return spark.read.schema(df.schema).parquet(path)
