@@ -14,6 +14,7 @@ from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
 from corpusloom.llm import ngram_join as J
 from corpusloom.llm import sanitise as P
+from corpusloom.llm import suffix_dedup as S
 from corpusloom.llm import token_counts as K
 from corpusloom.llm import toxicity as T
 from corpusloom.llm.common import held_out, table
@@ -58,6 +59,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = S.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = K.load_encoder(K.vocabulary_path(spark.sparkContext))
     return (K.token_counts(table(spark, sf_dir, "documents"), encoder, rule="majority").drop("name")
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sanitisation": op5_sanitisation,
     "op6_language_id": op6_language_id,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
