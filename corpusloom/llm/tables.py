@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame
@@ -14,5 +15,6 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of the finished job now
+    gc.collect()  # with both, Spark drops the shuffle files of finished jobs now and not some time later
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
