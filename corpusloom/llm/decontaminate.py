@@ -14,7 +14,6 @@ in the same job, so a benchmark of any size is handled.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from itertools import chain
 
@@ -96,6 +95,16 @@ def find_hits(ws: list[bytes], index: dict, hit: np.ndarray, items: set) -> None
                     items.update(found)
 
 
+def shared_indexes(docs: DataFrame, benchmark: DataFrame, text_col: str, item_id: str, item_text: str,
+                   window: int, block_windows: int) -> list:
+    """The broadcast prefix index of each block of windows."""
+    out = []
+    for b in benchmark_blocks(benchmark, item_id, item_text, window, block_windows):
+        df = document_frequency(docs, set(chain.from_iterable(b)), text_col)
+        out.append(docs.sparkSession.sparkContext.broadcast(prefix_index(b, df)))
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -105,12 +114,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``items``: the items with such windows, as sorted strings.  Null texts have no words and items
     without words have no windows.  Repeated documents or items repeat or merge their results.
     """
-    blocks = list(benchmark_blocks(benchmark, item_id, item_text, window, block_windows))
     id_type = dict(docs.dtypes)[id_col]
-    indexes = []
-    for b in blocks:
-        df = document_frequency(docs, set(chain.from_iterable(b)), text_col)
-        indexes.append(docs.sparkSession.sparkContext.broadcast(prefix_index(b, df)))
+    indexes = shared_indexes(docs, benchmark, text_col, item_id, item_text, window, block_windows)
 
     def run(b: pa.RecordBatch) -> dict:
         n, runs, found = [], [], []
@@ -129,12 +134,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        f"`{id_col}` {id_type}, n_words long, hit_words array<struct<from:long,to:long>>, items array<string>")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without any benchmark window, with their columns."""
-    bad = (contamination(docs, benchmark, id_col, text_col).where(F.size("hit_words") > 0)
-           .select(F.col(id_col).alias("__bad")).distinct())
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__bad"]), "left_anti")
-
-
-def items_sha256(items) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                      item_text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The documents without any benchmark window, with all their columns; no shuffle."""
+    indexes = shared_indexes(docs, benchmark, text_col, item_id, item_text, window, block_windows)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for t in b.column(at).to_pylist():
+                ws, items = words(t), set()
+                hit = np.zeros(len(ws), bool)
+                for ix in indexes:
+                    find_hits(ws, ix.value, hit, items)
+                keep.append(not items)
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -54,6 +54,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    kept = (exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__keep")).distinct())
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["__keep"]), "left_semi")
+    """The rows of ``docs`` that stay, with their columns (repeated rows with the id that stays all do)."""
+    gone = (exact_dedup(docs, id_col, text_col).where("not kept")
+            .select(F.col(id_col).alias("__gone"), F.col("text_sha256").alias("__sha")).distinct())
+    same = docs[id_col].eqNullSafe(F.col("__gone")) & (F.sha2(normalised(docs[text_col]), 256) == F.col("__sha"))
+    return docs.join(gone, same, "left_anti")

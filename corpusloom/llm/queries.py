@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusloom.llm import chat_format as C
 from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
@@ -92,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
@@ -179,3 +181,6 @@ SELECT conv_id AS pair_id, n::BIGINT AS n_prefix, array_to_string(ra[1 : n], '')
 FROM m
 """,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,11 +9,20 @@ from pyspark.sql import DataFrame
 from corpusloom.session import checkpoint_dir
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # shuffle files go with the job that made them
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared checkpoint folder and read back; it survives lost executors."""
+    """``df`` written as Parquet to the shared checkpoint folder and read back; it survives lost executors.
+
+    The shuffle files of the writing job, which the table replaces, are dropped at its end.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    gc.collect()  # with both, Spark drops the shuffle files of finished jobs now and not some time later
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
