@@ -73,7 +73,7 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 class Model:
     """The automata of all languages as one table: entry ``state * classes + class`` is the next state
-    (times classes), with the top bit set where a phrase ends and the next one begins at this character."""
+    (times classes); the top two bits say how many phrases begin at or right after this character."""
 
     def __init__(self, reference: dict[str, str]):
         self.langs = sorted(reference)
@@ -91,13 +91,17 @@ class Model:
                 for c, to in out.items():
                     t[s, c] = to
             start = np.where(t[0] < 0, 0, t[0])
-            step = np.where(t < 0, (start + base) | (1 << 40), t + base)
+            ends = np.where(t[0] < 0, 2, 1)[None, :].repeat(len(t), 0)  # a letter the reference lacks is a phrase of its own
+            ends[0] = 1
+            step = np.where(t < 0, (start + base) | (ends << 40), t + base)
             tables.append(step)
             roots.append(base)
             base += len(nxt)
         step = np.concatenate(tables) if tables else np.zeros((0, self.classes), np.int64)
         ends = step >> 40
-        self.step = (((step & ((1 << 40) - 1)) * self.classes) | (ends << 31)).astype(np.uint32).ravel()
+        if base * self.classes >= 1 << 30:
+            raise ValueError("too many languages or letters for one table: lower ref_chars")
+        self.step = (((step & ((1 << 40) - 1)) * self.classes) | (ends << 30)).astype(np.uint32).ravel()
         self.roots = np.array(roots, np.uint32) * np.uint32(self.classes)
         self.log_n = np.array([math.log(max(2, len(texts[k]))) for k in self.langs])
 
@@ -138,8 +142,8 @@ class Model:
         for j in range(int(size[0]) if len(size) else 0):
             m = int(live[j])
             v = self.step[state[:m] + s[begin[:m] + j][:, None]]
-            phrases[:m] += (v >> 31).astype(np.int32)
-            state[:m] = v & 0x7FFFFFFF
+            phrases[:m] += (v >> 30).astype(np.int32)
+            state[:m] = v & 0x3FFFFFFF
         total = np.zeros((len(texts), k), np.int64)
         np.add.at(total, owner, phrases)
         return letters, total

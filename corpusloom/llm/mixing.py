@@ -115,7 +115,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     d = d.withColumn("__q", whole).withColumn("__r", F.floor(F.col("target") - F.col("__q") * F.col("source_size") + 0.5).cast("long"))
     d = d.withColumn("taken", F.col("__q") * F.col("size")
                      + F.least(F.greatest(F.col("__r") - F.col("__cum"), F.lit(0)), F.col("size")))
-    total = F.col("__q") * F.col("source_size") + F.col("__r")
+    total = F.greatest(F.col("__q") * F.col("source_size") + F.col("__r"), F.lit(1))
     return d.select(
         F.col("__id").alias(id_col), "size", "source_size", "target", "taken",
         F.when(F.col("taken") > 0, time_of(F.col("segs"), F.col("__cum") / total)).alias("position"),

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import map_batches
 
-SAMPLE_ROWS = 5_000
-LEARNED_VOTERS = 48
+SAMPLE_ROWS = 4_000
+LEARNED_VOTERS = 96
 FEATURES = 1_000
 STEMS = (4, 5, 6, 7)
 MIN_DF = 5
@@ -69,13 +69,14 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 40) -> np.nda
     """
     v = np.column_stack([votes, gold]).astype(np.float64)
     post = np.where(gold > 0, 0.9, 0.1)
+    silent = votes.sum(1) == 0
+    pi = np.clip(gold.mean(), 1e-3, 1 - 1e-3)  # the labels give the class share; left free, it drifts to one class
     prior = np.full(v.shape[1], 0.5)
-    prior[-1] = 0.02 * len(v)  # the label: as if seen right on one row in 50 beforehand
+    prior[-1] = 0.1 * len(v)  # the label: as if seen right on 97 of 100 rows, a tenth of the sample, beforehand
     for _ in range(rounds):
-        pi = np.clip(post.mean(), 1e-3, 1 - 1e-3)
         base = (v.mean(0) * prior * 2 + 0.5) / (2 * prior + 1)
         up1, up0 = base * 2 * prior, base * 2 * prior
-        up1[-1], up0[-1] = 1.8 * prior[-1], 0.2 * prior[-1]
+        up1[-1], up0[-1] = 1.94 * prior[-1], 0.06 * prior[-1]
         r1 = (post @ v + up1) / (post.sum() + 2 * prior)
         r0 = ((1 - post) @ v + up0) / ((1 - post).sum() + 2 * prior)
         r1, r0 = np.clip(r1, 1e-4, 1 - 1e-4), np.clip(r0, 1e-4, 1 - 1e-4)
@@ -88,6 +89,8 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 40) -> np.nda
         weight[-1] = 1
         evidence = v * (np.log(r1 / r0) * weight)
         evidence[:, -1] += (1 - v[:, -1]) * np.log((1 - r1[-1]) / (1 - r0[-1]))  # only the label says no; other voters abstain
+        q1, q0 = (post @ silent + 0.5) / (post.sum() + 1), ((1 - post) @ silent + 0.5) / ((1 - post).sum() + 1)
+        evidence[:, 0] += silent * np.log(q1 / q0)  # that all of them abstain is evidence once
         post = 1 / (1 + np.exp(-np.clip(evidence.sum(1) + np.log(pi / (1 - pi)), -30, 30)))
     return post
 
