@@ -103,7 +103,7 @@ def fixed(c: Column | str, d: int) -> Column:
 def report_card(summary: DataFrame, runs: DataFrame, batch_size: int, block_size: int) -> DataFrame:
     """H4: one row per run with the report-card figures and its lines."""
     s = throughput(summary, batch_size, block_size).join(runs, "run_id")
-    arch = _fmt("- **architecture**: norm=%s, pos=%s, mlp=%s (Llama-like)", "norm", "pos", "mlp")
+    arch = _fmt("- **architecture**: norm=%s, pos=%s, mlp=%s", "norm", "pos", "mlp")
     loss = F.concat(F.lit("- **loss**: final train "), fixed("final_train", 4), F.lit(" / val "),
                     fixed("final_val", 4), F.lit(", best val "), fixed("best_val", 4))
     return s.select("run_id", "norm", "pos", "mlp", "iters",

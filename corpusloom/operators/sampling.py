@@ -94,29 +94,42 @@ def sample_next(dist: DataFrame, keys: Sequence[str], temperature: float, k: int
 # ---------------------------------------------------------------------------
 # F8: requests
 # ---------------------------------------------------------------------------
-_NUM = {"temperature": "double", "top_k": "bigint", "max_new_tokens": "bigint"}
+_INTEGER_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+
+
+def _field(value, kind, name: str, whole: bool):
+    """(number, bad) of a JSON field: numbers and booleans count (whole ones cut toward zero), and strings that
+    are written as such a number; null, arrays and objects are bad.  A missing field is null and not bad."""
+    path, typ = F.lit(f"$.{name}"), "bigint" if whole else "double"
+    text = F.try_variant_get(value, path, "string")
+    number = F.try_variant_get(value, path, "double")
+    parsed = F.when(text.rlike(_INTEGER_TEXT), F.regexp_replace(F.trim(text), "[_+]", "")) if whole else F.trim(text)
+    plain = F.coalesce(F.try_variant_get(value, path, "bigint"), number.try_cast(typ)) if whole else number
+    out = (F.when(kind == "BOOLEAN", F.try_variant_get(value, path, "boolean").cast("int").cast(typ))
+           .when(kind == "STRING", parsed.try_cast(typ))
+           .when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), plain))
+    return out, kind.isNotNull() & out.isNull()
 
 
 def normalize_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     """F8: parse JSON bodies into typed requests with the server's defaults.
 
     Empty body = ``{}``; prompt "" -> "\\n"; temperature 0.8; top_k 40;
-    max_new_tokens 240 clamped to [1, 600].  A body that is not a JSON
-    object, or a key that is present but null or not a number, marks the row
-    ``bad`` (the reference raises); bad rows carry nulls.
+    max_new_tokens 240 clamped to [1, 600].  Whole numbers are cut toward zero
+    (3.7 -> 3, 1e2 -> 100, true -> 1).  A body that is not a JSON object (blanks
+    are none), a number that is null or not a number, or a prompt that is no
+    string marks the row ``bad``; bad rows carry nulls.
     """
-    b = F.when(F.trim(F.col(body)) == "", F.lit("{}")).otherwise(F.col(body))
-    m = F.from_json(b, "map<string,string>")
-    r = requests.withColumn("__m", m)
-    bad = F.col("__m").isNull()
-    vals = {}
-    for key, typ in _NUM.items():
-        present = F.map_contains_key("__m", key)
-        raw = F.try_element_at("__m", F.lit(key))
-        v = raw.try_cast(typ)
-        bad = bad | (present & v.isNull())
-        vals[key] = v
-    prompt = F.coalesce(F.try_element_at("__m", F.lit("prompt")), F.lit(DEFAULT_PROMPT))
+    v = F.try_parse_json(F.when(F.coalesce(body, F.lit("")) == "", F.lit("{}")).otherwise(F.col(body)))
+    kind = lambda name: F.schema_of_variant(F.try_variant_get(v, F.lit(f"$.{name}"), "variant"))
+    bad = ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    r, vals = requests, {}
+    for key, whole in (("temperature", False), ("top_k", True), ("max_new_tokens", True)):
+        vals[key], wrong = _field(v, kind(key), key, whole)
+        bad = bad | wrong
+    bad = bad | ~F.coalesce(kind("prompt").isin("STRING", "VOID"), F.lit(True))
+    prompt = F.when(kind("prompt").isNull(), F.lit(DEFAULT_PROMPT)).otherwise(
+        F.coalesce(F.try_variant_get(v, F.lit("$.prompt"), "string"), F.lit("")))
     prompt = F.when(prompt == "", F.lit(EMPTY_PROMPT)).otherwise(prompt)
     n = F.coalesce(vals["max_new_tokens"], F.lit(DEFAULT_MAX_NEW_TOKENS))
     out = r.withColumn("bad", F.coalesce(bad, F.lit(False)))

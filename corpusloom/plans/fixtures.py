@@ -34,7 +34,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """works(work_id BIGINT, title STRING, ord INT): distinct sources ranked by name."""
-    src = read_table(spark, sf_dir, "documents", spread=False).select("source").distinct()
+    src = read_table(spark, sf_dir, "documents").select("source").distinct()
     r = F.row_number().over(Window.orderBy("source"))
     return src.select(r.cast("bigint").alias("work_id"), F.col("source").alias("title"),
                       r.cast("int").alias("ord"))
@@ -124,7 +124,7 @@ def epoch_micros(df: DataFrame, col: str):
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """runs(run_id, norm, pos, mlp): architecture flags from the bits of user_id."""
-    e = read_table(spark, sf_dir, "events", spread=False).select("user_id").distinct()
+    e = read_table(spark, sf_dir, "events").select("user_id").distinct()
     u = F.col("user_id")
     return e.select(
         u.alias("run_id"),

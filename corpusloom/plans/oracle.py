@@ -375,7 +375,7 @@ SQL["report_card"] = with_(HIST) + f"""
 SELECT CAST(s.run_id AS BIGINT) AS run_id, r.norm, r.pos, r.mlp, CAST(s.iters AS BIGINT) AS iters,
   round(s.elapsed / 60, 6) AS minutes, round(s.final_train, 6) AS final_train, round(s.final_val, 6) AS final_val,
   round(s.best_val, 6) AS best_val, round({TPS}, 6) AS tokens_per_s,
-  '- **architecture**: norm=' || r.norm || ', pos=' || r.pos || ', mlp=' || r.mlp || ' (Llama-like)' AS architecture_line,
+  '- **architecture**: norm=' || r.norm || ', pos=' || r.pos || ', mlp=' || r.mlp || '' AS architecture_line,
   '- **loss**: final train ' || {fixed_sql('s.final_train', 4)} || ' / val ' || {fixed_sql('s.final_val', 4)}
     || ', best val ' || {fixed_sql('s.best_val', 4)} AS loss_line
 FROM summary s JOIN runs r ON s.run_id = r.run_id"""

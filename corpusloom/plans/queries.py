@@ -484,7 +484,7 @@ def q_cross_entropy_bpe(spark, sf_dir):
 
 def _all_tables(spark, sf_dir):
     from corpusloom.sources.tables import TABLES
-    return {t: read_table(spark, sf_dir, t, spread=False) for t in TABLES}
+    return {t: read_table(spark, sf_dir, t) for t in TABLES}
 
 
 def q_release_manifest(spark, sf_dir):
@@ -503,55 +503,6 @@ def q_release_files(spark, sf_dir):
                     big("checksum").alias("checksum"))
 
 
-# --------------------------------------------------------------------------- G
-CKPT_SEED = 1337
-
-
-def _char_checkpoint(spark, cc: "CharCorpus"):
-    """A seeded checkpoint over the corpus's char vocabulary (width 16, 2 heads,
-    2 layers), written to the shared checkpoint folder and read back through
-    the validating loader (G3)."""
-    import os
-
-    from corpusloom.operators import checkpoint as CK
-    from corpusloom.session import checkpoint_dir
-    cfg = CK.config_for(cc.V, block_size=BLOCK_SIZE)
-    path = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"model-{cc.V}-{CKPT_SEED}")
-    if not os.path.exists(os.path.join(path, "config.json")):
-        CK.save_checkpoint(path, cfg, CK.random_weights(cfg, CKPT_SEED))
-    return CK.load_checkpoint(path)
-
-
-def _char_ids(vocab: DataFrame, col: str) -> Column:
-    """Chars -> ids through a literal map of the vocabulary (bounded by the
-    code-point count); unknown chars are dropped."""
-    pairs = [(r["token"], r["id"]) for r in vocab.collect()]
-    m = F.create_map(*[F.lit(x) for p in pairs for x in p])
-    return F.filter(F.transform(F.col(col), lambda c: m[c]), lambda i: i.isNotNull())
-
-
-def q_score_with_checkpoint(spark, sf_dir):
-    from corpusloom.operators import checkpoint as CK
-    cc = char_corpus(spark, sf_dir)
-    cfg, w = _char_checkpoint(spark, cc)
-    win = _windows(spark, cc, "train").unionByName(_windows(spark, cc, "val"))
-    win = win.select("split", "it", "row", _char_ids(cc.vocab, "x").alias("x"), _char_ids(cc.vocab, "y").alias("y"))
-    sc = CK.score_with_checkpoint(win, cfg, w, ["split", "it", "row"])
-    return sc.select("split", big("it").alias("it"), big("row").alias("row"), r6("loss").alias("loss"))
-
-
-def q_generate_with_checkpoint(spark, sf_dir):
-    from corpusloom.operators import checkpoint as CK
-    cc = char_corpus(spark, sf_dir)
-    cfg, w = _char_checkpoint(spark, cc)
-    p = _prompt_toks(spark, sf_dir).select("prompt_id", _char_ids(cc.vocab, "toks").alias("ids"))
-    g = CK.generate_with_checkpoint(p, cfg, w, steps=GEN_STEPS, temperature=0.0)
-    toks = [r["token"] for r in cc.vocab.orderBy("id").collect()]
-    arr = F.array(*[F.lit(t) for t in toks])
-    text = F.array_join(F.transform("new_ids", lambda i: F.element_at(arr, i + 1)), "")
-    return g.select(big("prompt_id").alias("prompt_id"), text.alias("completion"))
-
-
 def q_loss_history(spark, sf_dir):
     """E5 with the reference's schedule (eval every 250 of 2,000 steps, 20
     eval batches of 32 x 64) for the char count model."""
@@ -634,6 +585,4 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_entropy_bpe": q_cross_entropy_bpe,
     "release_manifest": q_release_manifest,
     "release_files": q_release_files,
-    "score_with_checkpoint": q_score_with_checkpoint,
-    "generate_with_checkpoint": q_generate_with_checkpoint,
 }

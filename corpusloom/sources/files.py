@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions.clean import normalize_newlines
@@ -13,13 +14,17 @@ def read_works(spark: SparkSession, path: str, works: DataFrame,
     """A1: one UTF-8 text per file (whole file as one row), its work id parsed
     from the file name, joined to ``works(work_id, title, ord)``.
 
-    Returns ``(work_id, title, ord, text)``.  Files whose id has no work are
-    dropped by the inner join.
+    Returns ``(work_id, title, ord, text)``.  Files whose name holds no known
+    work id are no works.  A work without a file fails the job by its title.
     """
     raw = (spark.read.text(path, wholetext=True)
-           .select(F.regexp_extract(F.input_file_name(), id_pattern, 1).cast("bigint").alias("work_id"),
-                   F.col("value").alias("text")))
-    return raw.join(works, "work_id").select("work_id", "title", "ord", "text")
+           .select(F.regexp_extract(F.input_file_name(), id_pattern, 1).try_cast("bigint").alias("work_id"),
+                   F.col("value").alias("text"), F.lit(True).alias("__found")))
+    text = F.when(F.col("__found"), F.col("text")).otherwise(
+        F.raise_error(F.concat(F.lit("no file for work "), F.col("work_id").cast("string"), F.lit(": "),
+                               F.coalesce("title", F.lit("")))))
+    return (works.join(raw, "work_id", "left")
+            .select("work_id", "title", "ord", text.alias("text")))
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -31,8 +36,10 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "text":
-        df = (spark.read.text(path, wholetext=True)
-              .select(F.xxhash64(F.input_file_name()).alias("doc_id"), F.col("value").alias(text_col)))
+        raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("__file"), F.col("value").alias(text_col))
+        # ids in the order of the file names: the list of files is small beside their texts
+        ids = raw.select("__file").distinct().withColumn("doc_id", F.row_number().over(W.orderBy("__file")).cast("bigint") - 1)
+        df = raw.join(ids, "__file").select("doc_id", text_col)
     else:
         raise ValueError(fmt)
     if normalize:

@@ -1,10 +1,7 @@
 """Reading the input tables.
 
 Parquet is read with its own schema; Catalyst prunes columns and pushes
-filters into the scan.  When a table arrives in fewer splits than the cluster
-has cores (a small single-file table), it is spread round-robin so the
-per-row work (explode, regex) is not a single task; large inputs already
-arrive in many splits and are left alone (no extra shuffle).
+filters into the scan.  Splits follow the session's scan settings.
 """
 
 from __future__ import annotations
@@ -17,18 +14,5 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if spread:
-        df = spread_partitions(df)
-    return df
-
-
-def spread_partitions(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the scan has fewer splits than cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n < cores:
-        return df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
