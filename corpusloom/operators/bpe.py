@@ -1,17 +1,14 @@
 """Byte-level BPE (C4-C10, C12 for BPE).
 
-Fitting keeps the corpus distributed as a table of *distinct pieces* with
-their counts; each round counts adjacent symbol pairs with NumPy partial
-counts per partition (``mapInPandas``) and a ``groupBy`` sum, picks merges,
-and rewrites the pieces.  Only bounded data reaches the driver: the top
-ranked pairs and per-symbol maxima of the round, and the vocabulary itself
-(at most the target size).
-
-Exact batching: after the best pair, the next ranked pair is merged in the
-same round iff it shares no symbol with an accepted pair, its count is
-strictly above the largest count any pair created this round could reach,
-and neither it nor any accepted merge re-uses an existing token.  Under
-these conditions the result equals merging one pair per round.
+Fitting keeps the corpus distributed as blocks of *distinct pieces* with
+their counts.  A round is one Arrow pass over flat symbol arrays, which merges
+and counts what remains, and one ``groupBy`` sum of those partial counts; the
+driver picks the next merges.  Only bounded data reaches it: the top ranked
+pairs of the round and the vocabulary itself (at most the target size).
+
+Exact batching: for the pairs ranked next, the pass also counts each neighbour.
+From these the driver follows bounds of the counts through several merges and
+takes those that merging one pair per round would surely take (``_choose``).
 
 Rules (matching the public ``tokenizers`` BPE trainer with a byte-level
 pre-tokenizer): id 0 is ``<unk>``; then the byte symbols seen in the corpus
@@ -27,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,137 +131,224 @@ def pair_counts(pieces: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # fit
 # ---------------------------------------------------------------------------
-def _apply_merges_fn(merges: dict[tuple[int, int], int]):
-    def apply(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            out = []
-            for ids in pdf["ids"]:
-                ids = list(ids)
-                if len(ids) < 2:
-                    out.append(ids)
+# The working table holds blocks of pieces: ``ids`` are the int32 symbols of all
+# its pieces, each ended by -1, and ``n`` the int64 count of each piece.
+BLOCKS = "ids binary, n binary"
+ROUND = BLOCKS + ", a int, b int, x int, c long"
+PIECES_PER_TASK = 1 << 16
+_END = -1
+_PAIR = -1  # x of a pair's own count; a left neighbour x >= 0, a right neighbour y is -2 - y
+
+
+def _to_blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        pieces = [p.encode("utf-8") for p in batch.column(0).to_pylist()]
+        if not pieces:
+            continue
+        ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
+        flat = np.full(int(ends[-1]) + 1, _END, np.int32)
+        inside = np.ones(len(flat), bool)
+        inside[ends] = False
+        flat[inside] = np.frombuffer(b"".join(pieces), np.uint8)
+        n = np.asarray(batch.column(1), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                                         ["ids", "n"])
+
+
+def _bytes_seen(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        for blob in batch.column(0).to_pylist():
+            seen = np.unique(np.frombuffer(blob, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(seen[seen != _END], pa.int32())], ["byte"])
+
+
+def _merged(flat: np.ndarray, a: int, b: int, new: int) -> np.ndarray:
+    """``flat`` with the pair (a, b) replaced by ``new``; in a run of one symbol every second position matches."""
+    at = np.flatnonzero((flat[:-1] == a) & (flat[1:] == b))
+    if not len(at):
+        return flat
+    if a == b:
+        first = np.r_[True, np.diff(at) != 1]
+        begin = at[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+        at = at[(at - begin) % 2 == 0]
+    out = flat.copy()
+    out[at] = new
+    return np.delete(out, at + 1)
+
+
+def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    uniq, inv = np.unique(keys, return_inverse=True)
+    return uniq, np.bincount(inv, weights=weights, minlength=len(uniq)).astype(np.int64)
+
+
+def _round_fn(translate: np.ndarray | None, merges: list[tuple[int, int, int]], watched: list[tuple[int, int]]):
+    """One pass over the blocks: merge, drop pieces of one symbol, count the pairs that remain and the
+    neighbours of the ``watched`` pairs.  Gives the new blocks and the counts as rows of one table."""
+    watch = np.sort(np.array([(a << 32) | b for a, b in watched], np.int64))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for ids, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                flat, n = np.frombuffer(ids, np.int32), np.frombuffer(counts, np.int64)
+                if translate is not None:
+                    flat = translate[flat]
+                for merge in merges:
+                    flat = _merged(flat, *merge)
+                length = np.diff(np.flatnonzero(flat == _END), prepend=-1)  # with the end mark
+                long = length > 2
+                flat, n, length = flat[np.repeat(long, length)], n[long], length[long]
+                if not len(flat):
                     continue
-                res, i, n = [], 0, len(ids)
-                while i < n:
-                    if i + 1 < n:
-                        m = merges.get((ids[i], ids[i + 1]))
-                        if m is not None:
-                            res.append(m)
-                            i += 2
-                            continue
-                    res.append(ids[i])
-                    i += 1
-                out.append(res)
-            yield pd.DataFrame({"ids": out, "n": pdf["n"]})
-    return apply
-
-
-def _choose(top: list[tuple[int, int, int]], max_left: dict[int, int], max_right: dict[int, int],
+                w = np.repeat(n, length)
+                at = np.flatnonzero((flat[:-1] != _END) & (flat[1:] != _END))
+                key = (flat[at].astype(np.int64) << 32) | flat[at + 1]
+                pairs, c = _summed(key, w[at])
+                cols = [(pairs >> 32, pairs & 0xFFFFFFFF, np.full(len(pairs), _PAIR), c)]
+                near = np.searchsorted(watch, key)
+                ok = near < len(watch)
+                ok[ok] = watch[near[ok]] == key[ok]
+                at, near = at[ok], near[ok]
+                for side, other in ((0, np.where(at > 0, flat[at - 1], _END)), (1, flat[at + 2])):
+                    there = other != _END
+                    k, c = _summed((near[there] << 32) | other[there], w[at[there]])
+                    pair, x = watch[k >> 32], k & 0xFFFFFFFF
+                    cols.append((pair >> 32, pair & 0xFFFFFFFF, -2 - x if side else x, c))
+                a, b, x, c = (np.concatenate(z) for z in zip(*cols))
+                none = [None] * len(a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([flat.astype(np.int32).tobytes(), *none], pa.binary()), pa.array([n.tobytes(), *none], pa.binary())]
+                    + [pa.concat_arrays([pa.nulls(1, t), pa.array(v, t)])
+                       for v, t in ((a, pa.int32()), (b, pa.int32()), (x, pa.int32()), (c, pa.int64()))],
+                    ["ids", "n", "a", "b", "x", "c"])
+
+    return run
+
+
+def _choose(top: list[tuple[int, int, int]], near: dict[tuple[int, int], list[tuple[int, int]]], floor: int,
             tokens: list[str], index: dict[str, int], room: int) -> list[tuple[int, int, int]]:
-    """Exact batch of merges from the ranked prefix ``top`` (see module doc).
-    Returns (a, b, count) in merge order."""
-    acc: list[tuple[int, int, int]] = []
-    used: set[int] = set()
-    bound = -1
-    new = 0
-    for a, b, c in top:
-        if c < 1:
-            break
-        reuse = (tokens[a] + tokens[b]) in index
-        if acc and (reuse or a in used or b in used or not c > bound):
+    """Merges (a, b, new id), in order, that merging one pair at a time would surely make next.
+
+    ``top`` holds the ranked pairs with their counts; no other pair counts more than ``floor``.
+    ``near`` holds, for the watched pairs, the count of the pair with each neighbour (x >= 0 on the
+    left, -2 - y on the right).  Each pair has a lower and an upper bound of its count, which the
+    merges accepted so far move.  The pair of the greatest upper bound is accepted if its lower bound is
+    above all other upper bounds, or if its count is exact (then ties are settled by the ids).
+    """
+    high, low = ({(a, b): c for a, b, c in top} for _ in range(2))
+    out: list[tuple[int, int, int]] = []
+    fresh: set[str] = set()
+    made: dict[int, str] = {}
+    used: set[int] = set()  # symbols that an accepted merge has taken from or made
+    begins: dict[int, set[int]] = {}  # symbols that a new token begins with, at any depth
+    ends: dict[int, set[int]] = {}
+
+    def less(pair, c, exact):
+        if pair in high:
+            low[pair] = max(0, low[pair] - c)
+            high[pair] -= c if exact else 0
+
+    def more(pair, c, exact):
+        low[pair] = low.get(pair, 0) + (c if exact else 0)
+        high[pair] = high.get(pair, 0) + c
+
+    while high:
+        pair = min(high, key=lambda p: (-high[p], p))
+        a, b = pair
+        others = max((c for p, c in high.items() if p != pair), default=0)
+        sure = low[pair] > floor and (low[pair] == high[pair] or low[pair] > others)
+        string = (tokens[a] if a < len(tokens) else made[a]) + (tokens[b] if b < len(tokens) else made[b])
+        reuse = string in index or string in fresh
+        if out and (not sure or reuse) or high[pair] < 1:
             break
-        if not reuse:
-            if new >= room:
-                break
-            new += 1
-        acc.append((a, b, c))
         if reuse:
+            return [(a, b, index[string])]
+        if len(out) >= room:
             break
-        used.update((a, b))
-        bound = max(bound, min(c, max(max_left.get(a, 0), max_right.get(b, 0))))
-    return acc
-
-
-class _Bound(dict):
-    """Per-symbol count bounds with a default for symbols not listed."""
-
-    def __init__(self, d: dict, default: int):
-        super().__init__(d)
-        self.default = default
-
-    def get(self, k, _=None):  # noqa: D401 - dict protocol
-        return super().get(k, self.default)
+        new = len(tokens) + len(out)
+        out.append((a, b, new))
+        fresh.add(string)
+        made[new] = string
+        most = high.pop(pair)
+        low.pop(pair)
+        begins[new], ends[new] = {a} | begins.get(a, set()), {b} | ends.get(b, set())
+        if pair in near and a != b:
+            clean = a not in used and b not in used
+            for code, c in near[pair]:
+                x = code if code >= 0 else -2 - code
+                exact = clean and x not in used and x != a and x != b
+                left = code >= 0
+                less((x, a) if left else (b, x), c, exact)
+                more((x, new) if left else (new, x), c, exact)
+                if x == (b if left else a):
+                    more((new, new), c, False)
+                for t, inner in (ends if left else begins).items():  # tokens of this batch that x may be part of by now
+                    if t != new and x in inner:
+                        less((t, a) if left else (b, t), c, False)
+                        more((t, new) if left else (new, t), c, False)
+        else:  # nothing is known of the neighbours: only that they are no more than the pair, nor than their own pairs
+            beside = max((c for p, c in high.items() if p[1] == a or p[0] == b), default=0)
+            floor = max(floor, min(most, max(beside, floor)))
+            for p in low:
+                if p[1] == a or p[0] == b:
+                    low[p] = 0
+        used.update((a, b, new))
+    return out
 
 
-def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 512,
-            max_rounds: int | None = None, checkpoint_every: int = 8) -> tuple[DataFrame, DataFrame, dict]:
+def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 1024, max_rounds: int | None = None,
+            checkpoint_every: int = 16, watch: int = 256) -> tuple[DataFrame, DataFrame, dict]:
     """Fit byte-level BPE on ``pieces(piece, n)`` up to ``vocab_size``.
 
     Returns ``(vocab(id, token, bytes, type), merges(rank, left, right, new_id),
     info)``.  The vocabulary may end smaller than the target when no pair is
-    left.
+    left.  ``top_n`` (ranked pairs that reach the driver in a round) and
+    ``watch`` (pairs whose neighbours the next round counts) change the number
+    of rounds, not the result.
     """
     spark = pieces.sparkSession
-    sym_schema = "syms array<string>, n long"
-
-    def to_syms(it):
-        for pdf in it:
-            yield pd.DataFrame({"syms": [list(to_symbols(p)) for p in pdf["piece"]], "n": pdf["n"]})
-
-    syms = cut_lineage(pieces.select("piece", "n").mapInPandas(to_syms, sym_schema))
-    alphabet = sorted(r["s"] for r in syms.select(F.explode("syms").alias("s")).distinct().collect())
-    tokens = [UNK] + alphabet
+    pieces = cut_lineage(pieces.select("piece", "n"))
+    tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
+    cur = cut_lineage(pieces.repartition(tasks).mapInArrow(_to_blocks, BLOCKS))
+    seen = [r["byte"] for r in cur.select("ids").mapInArrow(_bytes_seen, "byte int").distinct().collect()]
+    tokens = [UNK] + sorted(_SYM[b] for b in seen)
     index = {t: i for i, t in enumerate(tokens)}
-    sym_ids = F.create_map(*[x for s in alphabet for x in (F.lit(s), F.lit(index[s]))]) if alphabet else None
-    cur = syms.select(F.transform("syms", lambda s: sym_ids[s]).alias("ids"), "n") if alphabet \
-        else syms.select(F.array().cast("array<int>").alias("ids"), "n")
-    # A piece already merged into one token can never form a pair again: the
-    # working table keeps only pieces of two or more symbols (exact).
-    cur = cut_lineage(cur.filter(F.size("ids") >= 2))
+    translate = np.full(257, _END, np.int32)  # the last entry is the end mark's
+    for b in seen:
+        translate[b] = index[_SYM[b]]
     merges: list[tuple[int, int, int]] = []
-    rounds = 0
-    prev = None
+    batch: list[tuple[int, int, int]] = []
+    watched: list[tuple[int, int]] = []
+    rounds, prev = 0, None
     while len(tokens) < vocab_size and (max_rounds is None or rounds < max_rounds):
-        top = [(r["a"], r["b"], r["c"]) for r in
-               pair_counts(cur).orderBy(F.col("c").desc(), "a", "b").limit(top_n).collect()]
-        if prev is not None:  # ``cur`` is materialised now; drop the round before
+        out = cur.mapInArrow(_round_fn(translate, batch, watched), ROUND).persist()
+        own = F.col("x") == _PAIR
+        ranked = (out.where("a IS NOT NULL").select("a", "b", "x", "c").repartition("a", "b")
+                  .groupBy("a", "b", "x").agg(F.sum("c").alias("c"))
+                  .groupBy("a", "b").agg(F.max(F.when(own, F.col("c"))).alias("c"),
+                                         F.collect_list(F.when(~own, F.struct("x", "c"))).alias("near"))
+                  .orderBy(F.col("c").desc(), "a", "b").limit(top_n).collect())
+        if prev is not None:  # ``out`` is materialised now; drop the round before
             prev.unpersist()
-            prev = None
-        if not top or top[0][2] < 1:
-            break
-        # Upper bounds of max_x count(x, s) / max_y count(s, y): the first listed
-        # pair with that symbol, else the last listed count (no unlisted pair
-        # can exceed it).  Upper bounds keep the batch exact.
-        floor_c = top[-1][2] if len(top) == top_n else 0
-        max_left: dict[int, int] = {}
-        max_right: dict[int, int] = {}
-        for a, b, c in top:
-            max_left.setdefault(b, c)
-            max_right.setdefault(a, c)
-        max_left = _Bound(max_left, floor_c)
-        max_right = _Bound(max_right, floor_c)
-        batch = _choose(top, max_left, max_right, tokens, index, vocab_size - len(tokens))
+        prev, translate = out, None
+        top = [(r["a"], r["b"], r["c"]) for r in ranked]
+        known = set(watched)
+        near = {(r["a"], r["b"]): [(x, c) for x, c in r["near"]] for r in ranked if (r["a"], r["b"]) in known}
+        batch = _choose(top, near, top[-1][2] if len(top) == top_n else 0, tokens, index, vocab_size - len(tokens))
         if not batch:
             break
-        mapping = {}
-        for a, b, _ in batch:
-            s = tokens[a] + tokens[b]
-            nid = index.get(s)
-            if nid is None:
-                nid = len(tokens)
-                tokens.append(s)
-                index[s] = nid
-            mapping[(a, b)] = nid
-            merges.append((a, b, nid))
-        nxt = (cur.mapInPandas(_apply_merges_fn(mapping), "ids array<int>, n long")
-               .filter(F.size("ids") >= 2))
+        for a, b, new in batch:
+            if new == len(tokens):
+                tokens.append(tokens[a] + tokens[b])
+                index[tokens[-1]] = new
+        merges += batch
+        gone = {(a, b) for a, b, _ in batch}
+        watched = [(a, b) for a, b, _ in top if (a, b) not in gone][:watch]
+        cur = out.where("a IS NULL").select("ids", "n")
         rounds += 1
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-            cur.unpersist()
-        else:
-            nxt = nxt.persist()
-            prev = cur
-        cur = nxt
+            cur = cut_lineage(cur)
+    if prev is not None:
+        prev.unpersist()
     vocab = vocab_frame(spark, tokens)
     mdf = spark.createDataFrame(
         [(r, tokens[a], tokens[b], nid) for r, (a, b, nid) in enumerate(merges)],
@@ -331,6 +416,9 @@ class Codec:
         return bs.decode("utf-8", errors="replace")
 
 
+MEMO = 1 << 16  # pieces whose ids a task remembers
+
+
 def bpe_encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
     """Ids of each text (pieces by the native pre-tokenizer, merges by rank
     in an Arrow-batched pandas UDF with a per-task piece memo)."""
@@ -349,8 +437,9 @@ def bpe_encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "id
                     e = memo.get(p)
                     if e is None:
                         e = c.encode_piece(p)
-                        if len(memo) < 1_000_000:
-                            memo[p] = e
+                        if len(memo) >= MEMO:
+                            memo.clear()
+                        memo[p] = e
                     ids.extend(e)
                 res.append(ids)
             yield pd.Series(res)
