@@ -12,12 +12,22 @@ The model is fixed while generating, so sampling tables are built once per
 their CDF (arrays of at most V entries) is extended each step with unseen
 keys (left-anti join), and the state joins it on the key.  Lineage is cut with
 reliable checkpoints every few steps.
+
+An order-1 model with the same settings for every prompt has its whole sampling
+table up front.  If that table is small (its size is counted), it is broadcast
+and each task makes all tokens of its prompts, a step of a batch at a time:
+one map-only job however many tokens are asked for.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusloom.functions.det import unit
 from corpusloom.operators import ngram as E
@@ -25,6 +35,7 @@ from corpusloom.operators import sampling as SM
 from corpusloom.session import cut_lineage
 
 KEY = ["ctx", "t", "k"]
+TABLE_CELLS = 2_000_000  # a sampling table of at most so many cells (16 bytes each) is broadcast
 
 
 def _unseen(elem) -> object:
@@ -45,15 +56,69 @@ def sampling_tables(counts: DataFrame, need: DataFrame, vocab: DataFrame, a: flo
     ctxs = need.select("ctx").distinct()
     d = E.next_dist(counts, ctxs.select(F.col("ctx").alias("cid"), "ctx"), vocab, a,
                     vocab_size=vocab_size).withColumnRenamed("cid", "ctx")
-    best = SM.greedy(d, ["ctx"]).join(F.broadcast(vocab), "id").select("ctx", F.col("token").alias("best"))
+    best = SM.greedy(d, ["ctx"]).join(F.broadcast(vocab), "id").select("ctx", F.col("token").alias("best"), F.col("id").alias("best_id"))
     dk = d.join(need.filter(F.col("t") > 0), "ctx")
     kept = SM.softmax(SM.top_k(SM.temper(dk, "t"), KEY, "k"), KEY)
     kept = SM.cumulative(kept, KEY)
     arr = kept.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("id", "token", "cum"))).alias("s"))
-    arr = arr.select(*KEY, F.col("s.token").alias("kt"), F.col("s.cum").alias("cum"))
+    arr = arr.select(*KEY, F.col("s.token").alias("kt"), F.col("s.id").alias("ki"), F.col("s.cum").alias("cum"))
     return need.join(best, "ctx").join(arr, KEY, "left")
 
 
+def _small(table: DataFrame, vocab: DataFrame) -> bool:
+    """Whether the padded sampling table stays below ``TABLE_CELLS``."""
+    r = table.agg(F.count("*"), F.max(F.size("ki"))).first()
+    return (r[0] + vocab.count()) * max(r[1] or 1, 1) <= TABLE_CELLS
+
+
+def _in_tasks(prompts: DataFrame, table: DataFrame, vocab: DataFrame, steps: int, sampled: bool, seed: int,
+              n: str | None) -> DataFrame:
+    """All tokens of each prompt from a broadcast order-1 sampling table (see module doc)."""
+    spark, elem = prompts.sparkSession, prompts.schema["toks"].dataType.elementType
+    ids = vocab.select("id", "token").orderBy("id").collect()
+    tokens, place = [r["token"] for r in ids], {r["id"]: i for i, r in enumerate(ids)}
+    entries = {r["ctx"][0] if r["ctx"] else None: r for r in table.select("ctx", "best_id", "ki", "cum").collect()}
+    unseen = entries[_unseen(elem)]
+    rows = [entries.get(t, unseen) for t in tokens] + [unseen, entries[None]]
+    wide = max(len(r["ki"] or ()) for r in rows) if sampled else 0
+    best = np.array([place[r["best_id"]] for r in rows], np.int64)
+    kept, cum = np.zeros((len(rows), wide), np.int64), np.full((len(rows), wide), np.inf)
+    last = np.zeros(len(rows), np.int64)
+    for i, r in enumerate(rows if sampled else ()):
+        m = len(r["ki"])
+        kept[i, :m], cum[i, :m], last[i] = [place[x] for x in r["ki"]], r["cum"], m - 1
+    bc = spark.sparkContext.broadcast((tokens, best, kept, cum, last))
+    arrow = to_arrow_type(elem)
+
+    def run(batches):
+        tokens, best, kept, cum, last = bc.value
+        slot = {t: i for i, t in enumerate(tokens)}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ends = [t[-1] if t else None for t in b.column("toks").to_pylist()]
+            at = np.array([len(tokens) + 1 if t is None else slot.get(t, len(tokens)) for t in ends], np.int64)
+            keys, want = b.column("__key").to_pylist(), np.asarray(b.column("__n").to_pylist(), np.int64)
+            made = np.zeros((b.num_rows, int(want.max(initial=0))), np.int64)
+            for step in range(made.shape[1]):
+                if sampled:
+                    u = np.array([int(hashlib.md5(f"{k}|{step}".encode()).hexdigest()[:13], 16) for k in keys]) / 2.0 ** 52
+                    at = kept[at, np.minimum((cum[at] <= u[:, None]).sum(axis=1), last[at])]
+                else:
+                    at = best[at]
+                made[:, step] = at
+            flat = made[np.arange(made.shape[1]) < want[:, None]]
+            new = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(want)], pa.int32()),
+                                           pa.array(tokens, arrow).take(pa.array(flat)))
+            yield pa.RecordBatch.from_arrays([b.column("prompt_id"), b.column("toks"), new], ["prompt_id", "toks", "new_toks"])
+
+    count = F.greatest(F.coalesce(F.col(n).cast("int"), F.lit(0)), F.lit(0)) if n else F.lit(steps)
+    kinds = {f.name: f.dataType.simpleString() for f in prompts.schema.fields}
+    return (prompts.select("prompt_id", "toks", F.concat_ws("|", F.lit(str(seed)), F.col("prompt_id").cast("string")).alias("__key"),
+                           F.least(count, F.lit(steps)).alias("__n"))
+            .mapInArrow(run, f"prompt_id {kinds['prompt_id']}, toks {kinds['toks']}, new_toks {kinds['toks']}"))
+
+
 def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int, steps: int,
              temperature: float | str = 1.0, top_k: int | str | None = None, seed: int = 1337,
              a: float = 1.0, n: str | None = None, cut_every: int = 4) -> DataFrame:
@@ -95,6 +160,8 @@ def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int,
                 .withColumn("t", F.lit(float(temperature)).cast("double"))
                 .withColumn("k", F.lit(int(top_k or 0)).cast("int")))
         table = cut_lineage(sampling_tables(counts, keys, vocab, a, vocab_size=V))
+        if V and _small(table, vocab):
+            return _in_tasks(prompts, table, vocab, steps, float(temperature) > 0, seed, n)
     for step in range(steps):
         c = crop(F.concat("toks", "new"), k)
         if seen is not None:

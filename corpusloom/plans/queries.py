@@ -269,7 +269,7 @@ def q_score_documents(spark, sf_dir):
 # --------------------------------------------------------------------------- F
 TEMPERATURE = 0.8  # the server's default temperature
 TOP_K = 40         # the server's default top-k
-GEN_STEPS = 16     # new tokens per prompt in the registered generation queries
+GEN_STEPS = 300    # the reference's default number of new tokens
 
 
 def _bigram_dist(spark, sf_dir):
@@ -389,7 +389,7 @@ def q_progress(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- C (BPE), A4/A5
-BPE_VOCAB = 256  # target vocabulary of the registered BPE queries
+BPE_VOCAB = 2048  # the reference's default vocabulary
 _BPE_FITS: dict = {}
 
 

@@ -103,3 +103,18 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmpdir_path):
     q2 = generate_stream(spark, src, out, ck, counts, vocab)
     q2.awaitTermination(300)
     assert spark.read.parquet(os.path.join(out, "completions")).count() == n
+
+
+def test_tasks_and_joins_generate_the_same(spark, monkeypatch):
+    """The broadcast sampling table and the stepwise joins give the same tokens: empty, unseen and repeated prompts."""
+    seq, chars, counts, vocab = _model(spark, 1)
+    prompts = spark.createDataFrame([(1, list("ab"), 9), (2, [], 7), (3, ["z"], 0), (3, ["z"], 4), (None, list("c"), 5)],
+                                    "prompt_id long, toks array<string>, n int")
+    for t, k in ((0.0, None), (0.8, 3)):
+        got = []
+        for cells in (G.TABLE_CELLS, 0):
+            monkeypatch.setattr(G, "TABLE_CELLS", cells)
+            out = G.generate(prompts, counts, vocab, k=1, steps=5, temperature=t, top_k=k, seed=3, n="n")
+            got.append(sorted((r["prompt_id"] or 0, "".join(r["toks"]), "".join(r["new_toks"])) for r in out.collect()))
+            monkeypatch.undo()
+        assert got[0] == got[1] and len(got[0]) == 5
