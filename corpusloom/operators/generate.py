@@ -49,13 +49,30 @@ def crop(toks: Column, k: int) -> Column:
     return F.slice(toks, F.greatest(n - k + 1, F.lit(1)), F.least(F.lit(k), n))
 
 
+def _candidates(counts: DataFrame, ctxs: DataFrame, vocab: DataFrame, a: float, vocab_size: int, k: int) -> DataFrame:
+    """(cid, ctx, id): every token that can be among the ``k`` likeliest (ties too) after an order-1 context.
+
+    Tokens that never follow the context keep the order of the order-0 distribution, so the first
+    ``k`` of that and the successors seen are enough, instead of contexts x vocabulary.
+    """
+    start = ctxs.sparkSession.createDataFrame([(0,)], "cid int").select("cid", F.array().cast(ctxs.schema["ctx"].dataType).alias("ctx"))
+    first = SM.top_k(E.next_dist(counts, start, vocab, a, vocab_size=vocab_size), ["cid"], k)
+    first = [r["id"] for r in first.select("id").collect()]  # at most the vocabulary
+    after = (counts.where("j = 1").select("ctx", F.col("tgt").alias("token")).join(ctxs, "ctx")
+             .join(F.broadcast(vocab.select("id", "token")), "token").select("ctx", "id"))
+    both = after.unionByName(ctxs.select("ctx", F.explode(F.lit(first).cast(f"array<{dict(vocab.dtypes)['id']}>")).alias("id"))).distinct()
+    return both.select(F.col("ctx").alias("cid"), "ctx", "id")
+
+
 def sampling_tables(counts: DataFrame, need: DataFrame, vocab: DataFrame, a: float,
-                    vocab_size: int | None = None) -> DataFrame:
+                    vocab_size: int | None = None, likeliest: int | None = None) -> DataFrame:
     """Per (ctx, t, k): greedy token, and for t > 0 the kept ids/tokens in id
-    order with their CDF after temperature and top-k."""
+    order with their CDF after temperature and top-k.  ``likeliest``: no row asks
+    for more than so many tokens (order-1 contexts only), so no others are scored."""
     ctxs = need.select("ctx").distinct()
+    support = _candidates(counts, ctxs, vocab, a, vocab_size, likeliest) if likeliest else None
     d = E.next_dist(counts, ctxs.select(F.col("ctx").alias("cid"), "ctx"), vocab, a,
-                    vocab_size=vocab_size).withColumnRenamed("cid", "ctx")
+                    vocab_size=vocab_size, support=support).withColumnRenamed("cid", "ctx")
     best = SM.greedy(d, ["ctx"]).join(F.broadcast(vocab), "id").select("ctx", F.col("token").alias("best"), F.col("id").alias("best_id"))
     dk = d.join(need.filter(F.col("t") > 0), "ctx")
     kept = SM.softmax(SM.top_k(SM.temper(dk, "t"), KEY, "k"), KEY)
@@ -159,7 +176,8 @@ def generate(prompts: DataFrame, counts: DataFrame, vocab: DataFrame, *, k: int,
         keys = (seen.select(F.col("__sc").alias("ctx")).unionByName(special)
                 .withColumn("t", F.lit(float(temperature)).cast("double"))
                 .withColumn("k", F.lit(int(top_k or 0)).cast("int")))
-        table = cut_lineage(sampling_tables(counts, keys, vocab, a, vocab_size=V))
+        likeliest = 1 if float(temperature) <= 0 else int(top_k or 0)  # 0: the whole vocabulary
+        table = cut_lineage(sampling_tables(counts, keys, vocab, a, vocab_size=V, likeliest=likeliest if V else None))
         if V and _small(table, vocab):
             return _in_tasks(prompts, table, vocab, steps, float(temperature) > 0, seed, n)
     for step in range(steps):

@@ -100,13 +100,15 @@ def cross_entropy(counts: DataFrame, targets: DataFrame, vocab_size: int, a: flo
 
 
 def next_dist(counts: DataFrame, contexts: DataFrame, vocab: DataFrame, a: float = 1.0,
-              key: str = "cid", vocab_size: int | None = None) -> DataFrame:
+              key: str = "cid", vocab_size: int | None = None, support: DataFrame | None = None) -> DataFrame:
     """Full next-token distribution for each context row ``(key, ctx)``:
     ``(key, id, token, logit = ln p)``.  The support is generated per row by
-    ``explode(sequence(0, V-1))`` (V bounded by the vocabulary), not a join."""
+    ``explode(sequence(0, V-1))`` (V bounded by the vocabulary), not a join,
+    unless ``support`` names the rows ``(key, ctx, id)`` that are wanted."""
     V = vocab_size if vocab_size is not None else vocab.count()
-    sup = (contexts.select(key, "ctx", F.explode(F.sequence(F.lit(0), F.lit(V - 1))).alias("id"))
-           .join(F.broadcast(vocab), "id")
+    if support is None:
+        support = contexts.select(key, "ctx", F.explode(F.sequence(F.lit(0), F.lit(V - 1))).alias("id"))
+    sup = (support.join(F.broadcast(vocab), "id")
            .withColumnRenamed("token", "tgt"))
     pr = probabilities(counts, sup.select(key, "id", "ctx", "tgt"), [key, "id", "tgt"], V, a)
     return pr.select(key, "id", F.col("tgt").alias("token"), F.log("p").alias("logit"))

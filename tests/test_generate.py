@@ -118,3 +118,12 @@ def test_tasks_and_joins_generate_the_same(spark, monkeypatch):
             got.append(sorted((r["prompt_id"] or 0, "".join(r["toks"]), "".join(r["new_toks"])) for r in out.collect()))
             monkeypatch.undo()
         assert got[0] == got[1] and len(got[0]) == 5
+
+
+def test_candidates_hold_the_likeliest(spark):
+    """Sampling tables from the candidates equal those from the whole vocabulary."""
+    seq, chars, counts, vocab = _model(spark, 1)
+    keys = spark.createDataFrame([([c], 0.8, 3) for c in chars] + [([], 0.8, 3), (["?"], 0.8, 3)], "ctx array<string>, t double, k int")
+    got = [sorted(map(repr, G.sampling_tables(counts, keys, vocab, 1.0, vocab_size=len(chars), likeliest=k).collect()))
+           for k in (3, None)]
+    assert got[0] == got[1] and len(got[0]) == len(chars) + 2
