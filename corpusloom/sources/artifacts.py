@@ -28,6 +28,21 @@ CONFIG_SCHEMA = T.StructType([
 ])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, whichever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    at, fs = _hadoop(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def save_artifacts(out_dir: str, vocab: DataFrame, merges: DataFrame | None, config: dict) -> None:
     """A4: vocab / merges as Parquet (one file each, vocabulary-sized), the
     config as JSON, and ``tokenizer.json``."""
@@ -36,9 +51,8 @@ def save_artifacts(out_dir: str, vocab: DataFrame, merges: DataFrame | None, con
     if merges is not None:
         merges.select("rank", "left", "right", "new_id").coalesce(1).write.mode("overwrite").parquet(
             os.path.join(out_dir, "merges"))
-    os.makedirs(out_dir, exist_ok=True)
-    with open(os.path.join(out_dir, "config.json"), "w") as f:
-        json.dump(config, f, indent=2, sort_keys=True)
+    spark = vocab.sparkSession
+    _write_text(spark, os.path.join(out_dir, "config.json"), json.dumps(config, indent=2, sort_keys=True))
     toks = vocab.orderBy("id").select("id", "token", "type").collect()
     mg = [] if merges is None else [f"{r['left']} {r['right']}" for r in merges.orderBy("rank").collect()]
     tj = {
@@ -47,17 +61,16 @@ def save_artifacts(out_dir: str, vocab: DataFrame, merges: DataFrame | None, con
         "model": {"type": "BPE" if merges is not None else "char", "unk_token": "<unk>",
                   "vocab": {r["token"]: r["id"] for r in toks}, "merges": mg},
     }
-    with open(os.path.join(out_dir, "tokenizer.json"), "w", encoding="utf-8") as f:
-        json.dump(tj, f, ensure_ascii=False)
+    _write_text(spark, os.path.join(out_dir, "tokenizer.json"), json.dumps(tj, ensure_ascii=False))
 
 
 def load_artifacts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame | None, dict]:
     """A4: read back with the fixed schemas (no inference)."""
     vocab = spark.read.schema(VOCAB_SCHEMA).parquet(os.path.join(out_dir, "vocab"))
     mpath = os.path.join(out_dir, "merges")
-    merges = spark.read.schema(MERGES_SCHEMA).parquet(mpath) if os.path.exists(mpath) else None
-    with open(os.path.join(out_dir, "config.json")) as f:
-        config = json.load(f)
+    at, fs = _hadoop(spark, mpath)
+    merges = spark.read.schema(MERGES_SCHEMA).parquet(mpath) if fs.exists(at) else None
+    config = json.loads(spark.read.text(os.path.join(out_dir, "config.json"), wholetext=True).first()["value"])
     return vocab, merges, config
 
 

@@ -55,3 +55,15 @@ def test_release_manifest_names_missing(spark):
     dup = m.unionByName(m)
     with pytest.raises(ValueError, match="more than once: merges, vocab"):
         release_manifest(spark, dup, ["vocab", "merges"])
+
+
+def test_artifacts_on_a_uri(spark, tmp_path):
+    from corpusloom.operators.bpe import vocab_frame
+    from corpusloom.sources.artifacts import load_artifacts, save_artifacts
+    uri = f"file://{tmp_path}/model"
+    merges = spark.createDataFrame([(0, "a", "b", 3)], "rank int, left string, right string, new_id int")
+    save_artifacts(uri, vocab_frame(spark, ["<unk>", "a", "b", "ab"]), merges, {"tokenizer": "bpe", "note": "\u03b1"})
+    vocab, back, config = load_artifacts(spark, uri)
+    assert vocab.count() == 4 and [tuple(r) for r in back.collect()] == [(0, "a", "b", 3)]
+    assert config == {"tokenizer": "bpe", "note": "\u03b1"}
+    assert (tmp_path / "model" / "tokenizer.json").is_file()
