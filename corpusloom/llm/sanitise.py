@@ -5,14 +5,17 @@ mention, the words within ``REACH`` characters are its terms.  Over the whole
 corpus, document frequencies say how strongly a term t reveals an entity e:
 
     disclosure(t, e) = PMI(t; e) / IC(e)
-                     = log(N * df(e, t) / (df(e) * df(t))) / log(N / df(e))
+                     = log(N * df(e, t) / (df(e) * (df(t) + SMOOTH))) / log(N / df(e))
 
-which is 1 where t occurs only beside e.  A term seen beside e in two different
-contexts or more whose disclosure reaches ``GENERALISE`` is replaced by a
-general word there; from ``REMOVE`` on it is removed.
+which without smoothing is 1 where t occurs only beside e.  Half a document is
+added to every term's frequency, so that a term seen once says a little less
+than its count.  A term whose disclosure of any entity reaches ``GENERALISE`` is
+replaced by a general word wherever it stands in any text; from ``REMOVE`` on it
+is removed.
 
-No text is shuffled: texts are read twice (mentions; term frequencies), and
-only mentions, 64-bit term hashes with counts, and spans move.
+No text is shuffled: texts are read three times (mentions; term frequencies;
+occurrences of the disclosing terms), and only mentions, 64-bit term hashes with
+counts, and spans move.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ from corpusloom.llm.tables import stored
 
 REACH = 120
 GENERALISE, REMOVE = 0.8, 0.95
-MIN_CONTEXTS = 2
+SMOOTH = 0.5
+FILTER_BITS = 23  # a filter of 1 MB, whatever the number of disclosing terms
 KINDS = ("email", "ip", "card", "phone")
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -104,7 +108,7 @@ def terms_near(text: str, start: int, end: int, taken: list[tuple[str, int, int]
     return out
 
 
-MENTION = "array<struct<entity:long,context:long,term:long,start:int,end:int>>"
+MENTION = "array<struct<entity:long,term:long>>"
 
 
 def base_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -116,17 +120,15 @@ def base_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         spans, mentions = [], []
         for t in b.column(2).fill_null("").to_pylist():
             base = base_spans(t)
-            ents, ctxs, words, places = [], [], [], []
+            ents, words = [], []
             near = sorted(base, key=lambda x: x[1]) if len(base) < 64 else base
             for kind, a, z in base:
                 ws = terms_near(t, a, z, near)
                 ents += [_entity(kind, t[a:z])] * len(ws)
-                ctxs += [t[max(0, a - REACH): z + REACH]] * len(ws)
                 words += [t[x:y].lower() for x, y in ws]
-                places += ws
             spans.append([{"kind": k, "start": a, "end": z} for k, a, z in base])
-            mentions.append([{"entity": e, "context": c, "term": w, "start": x, "end": y} for e, c, w, (x, y) in
-                             zip(_hash(ents).tolist(), _hash(ctxs).tolist(), _hash(words).tolist(), places)])
+            found = set(zip(_hash(ents).tolist(), _hash(words).tolist()))
+            mentions.append([{"entity": e, "term": w} for e, w in found])
         return {id_col: b.column(0), "row_key": b.column(1), "spans": spans, "mentions": mentions}
 
     return map_batches(keyed, run, f"`{id_col}` {id_type}, row_key long, spans array<struct<kind:string,start:int,end:int>>, mentions {MENTION}")
@@ -138,29 +140,69 @@ def term_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(b: pa.RecordBatch) -> dict:
         c: Counter = Counter()
         for t in b.column(0).fill_null("").to_pylist():
-            c.update(set(TERM.findall(t.lower())))
+            c.update({w.lower() for w in set(TERM.findall(t))})
         return {"term": _hash(list(c)), "df": list(c.values())}
 
     return map_batches(docs.select(text_col), run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", min_contexts: int = MIN_CONTEXTS,
-                     generalise: float = GENERALISE) -> DataFrame:
+def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach the threshold."""
     n = found.count()
     m = found.select("row_key", F.inline("mentions"))
-    pairs = (m.groupBy("entity", "term", "row_key").agg(F.min("context").alias("context"))
-             .groupBy("entity", "term", "context").agg(F.count("*").alias("c"))
-             .groupBy("entity", "term").agg(F.sum("c").alias("df_et"), F.count("*").alias("contexts"))
-             .where(F.col("contexts") >= min_contexts))
+    pairs = m.distinct().groupBy("entity", "term").agg(F.count("*").alias("df_et"))
     entities = m.select("entity", "row_key").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
     pairs = pairs.join(entities, "entity").where(F.col("df_e") < n)
-    pmi = F.log(F.lit(float(n)) * F.col("df_et") / (F.col("df_e") * F.greatest("df", "df_et")))
+    pmi = F.log(F.lit(float(n)) * F.col("df_et") / (F.col("df_e") * (F.greatest("df", "df_et") + F.lit(SMOOTH))))
     return (pairs.join(term_frequencies(docs, text_col), "term")
             .withColumn("disclosure", pmi / F.log(F.lit(float(n)) / F.col("df_e")))
             .where(F.col("disclosure") >= generalise).select("entity", "term", "disclosure"))
 
 
+def _filter(terms: DataFrame) -> np.ndarray:
+    """One bit per value of the lowest FILTER_BITS bits of a term: set where a term of ``terms`` has it."""
+    slot = F.col("term").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = (terms.select(F.shiftright(slot, 6).alias("w"), F.expr("shiftleft(1L, cast(term & 63 as int))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())  # at most 2^17 rows
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[[r["w"] for r in words]] = [r["b"] for r in words]
+    return out
+
+
+def occurrences(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row_key, start, end, action) wherever one of ``terms`` (term, action) stands in a text, outside base spans.
+
+    A filter of fixed size keeps most other words from moving; the join decides.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(terms))
+    keyed = docs.select(F.xxhash64(F.col(id_col).cast("string"), text_col).alias("row_key"), text_col)
+
+    def run(b: pa.RecordBatch) -> dict:
+        keys, texts = b.column(0).to_pylist(), b.column(1).fill_null("").to_pylist()
+        each = [set(TERM.findall(t)) for t in texts]
+        words = list(set().union(*each))
+        h = _hash([w.lower() for w in words])
+        slot = h & ((1 << FILTER_BITS) - 1)
+        hit = np.flatnonzero((bits.value[slot >> 6] >> (slot & 63)) & 1)
+        wanted = {words[i]: int(h[i]) for i in hit}
+        out = {"row_key": [], "term": [], "start": [], "end": []}
+        for key, t, have in zip(keys, texts, each):
+            if wanted.keys().isdisjoint(have):
+                continue
+            base, at = sorted((a, z) for _, a, z in base_spans(t)), 0
+            reach = np.maximum.accumulate([z for _, z in base]).tolist() if base else []  # the ends of spans so far
+            for m in TERM.finditer(t):
+                x, y = m.span()
+                while at < len(base) and base[at][0] < y:
+                    at += 1
+                if m[0] in wanted and not (at and reach[at - 1] > x):
+                    for k, v in zip(out, (key, wanted[m[0]], x, y)):
+                        out[k].append(v)
+        return out
+
+    return map_batches(keyed, run, "row_key long, term long, start int, end int").join(terms, "term").select("row_key", "start", "end", "action")
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
     """One row per document: (id, row_key, spans), spans of kind, start, end and action.
 
@@ -170,10 +212,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nothing.  Other columns are not read.
     """
     found = stored(base_mentions(docs, id_col, text_col))
-    risky = disclosing_terms(docs, found, text_col, **thresholds)
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    extra = (found.select("row_key", F.inline("mentions")).join(risky, ["entity", "term"])
-             .groupBy("row_key", "start", "end").agg(F.max(action).alias("action"))
+    action = F.when(F.max("disclosure") >= REMOVE, "remove").otherwise("generalise")
+    risky = stored(disclosing_terms(docs, found, text_col, **thresholds).groupBy("term").agg(action.alias("action")))
+    extra = (occurrences(docs, risky, id_col, text_col).distinct()
              .groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("terms")))
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit("remove").alias("action")))
     term = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["action"].alias("action")))

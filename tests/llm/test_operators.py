@@ -119,6 +119,23 @@ def test_sanitise_removes_disclosing_terms(make_docs):
     assert P.personal_data(make_docs([])).count() == 0
 
 
+def test_one_context_discloses_in_whole_texts(make_docs):
+    """An entity of one document discloses its terms; they go wherever they stand, beyond REACH and in other texts."""
+    rows = [(1, "Quark " + "common words " * 20 + "Zebulon Quark q@mail.example.org common words Quarks", None, None), (2, "common Zebulon words", None, None)]
+    rows += [(10 + i, "common words everywhere", None, None) for i in range(60)] + [(80, None, None, None)]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["action"]) for s in r["spans"]] for r in P.personal_data(make_docs(rows)).collect()}
+    at = rows[0][1].index("Zebulon")
+    n = len(rows)
+    assert np.log(n / 1.5) / np.log(n) >= P.GENERALISE > np.log(n / 2.5) / np.log(n)  # Zebulon stands in two documents
+    end = len(rows[0][1])
+    mail = rows[0][1].index("q@mail")
+    assert got[1] == [("email", mail, mail + 18, "remove"), ("term", 0, 5, "generalise"), ("term", at + 8, at + 13, "generalise"), ("term", end - 6, end, "generalise")]
+    assert not any(v for k, v in got.items() if k != 1)
+    rows += [(100 + i, "common words everywhere", None, None) for i in range(200)]
+    got = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"] for r in P.personal_data(make_docs(rows)).collect()}
+    assert got[2] == [(7, 14)] and (at, at + 7) in got[1] and not got[10] and not got[80]
+
+
 def test_suffix_automaton_accepts_substrings_only():
     s = "abcbcabbac"
     nxt = L.suffix_automaton([ord(c) for c in s])
