@@ -9,13 +9,14 @@ their weight.  A logistic regression on words and voters is then trained on the
 posterior labels and scores every whole text.
 
 Fitting uses a bounded sample of labelled rows (``SAMPLE_ROWS``, in the order of
-a hash); scoring reads every document and needs only the small linear model.
+a hash).  Words are found and counted in tasks; the driver gets the chosen
+features and sparse rows of them.  Scoring reads every document and needs only
+the small linear model.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import map_batches
+from corpusloom.llm.tables import stored
 
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 8_000
 LEARNED_VOTERS = 96
 FEATURES = 1_000
 STEMS = (4, 5, 6, 7)
@@ -98,18 +100,22 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 40) -> np.nda
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 2.0, steps: int = 12) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the log loss plus l2 * |w|^2 / 2, by Newton's method."""
     n, k = x.shape
-    x1 = np.column_stack([x, np.ones(n, x.dtype)]).astype(np.float64)
+    parts = [(np.column_stack([x[i:i + 512], np.ones(len(x[i:i + 512]), x.dtype)]), slice(i, i + 512)) for i in range(0, n, 512)]
     w = np.zeros(k + 1)
     w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
     ridge = np.full(k + 1, l2)
     ridge[-1] = 1e-6
-    loss = lambda w: float((np.logaddexp(0, x1 @ w) - y * (x1 @ w)).sum() + (ridge * w * w).sum() / 2)
+    margin = lambda w: x @ w[:-1] + w[-1]
+    loss = lambda w: float((np.logaddexp(0, m := margin(w)) - y * m).sum() + (ridge * w * w).sum() / 2)
     at = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        h = (x1 * (p * (1 - p))[:, None]).T @ x1
-        h[np.diag_indices(k + 1)] += ridge
-        move, step = np.linalg.solve(h, x1.T @ (p - y) + ridge * w), 1.0
+        p = 1 / (1 + np.exp(-np.clip(margin(w), -30, 30)))
+        h, slope = np.diag(ridge), ridge * w
+        for part, at_rows in parts:  # float64 for some rows at a time
+            b, q = part.astype(np.float64), p[at_rows]
+            h += (b * (q * (1 - q))[:, None]).T @ b
+            slope += b.T @ (q - y[at_rows])
+        move, step = np.linalg.solve(h, slope), 1.0
         while (to := loss(w - step * move)) > at and step > 1e-3:
             step /= 2
         if at - to < 1e-6 * at:
@@ -137,55 +143,82 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def distinct_features(seen: list[tuple[set[str], np.ndarray]], frequent: set[str]) -> list[str]:
-    """Of features that the same rows have, such as a word and its stems, the shortest one."""
-    codes = np.random.default_rng(7).integers(0, 1 << 62, len(seen))
-    rows: dict[str, int] = dict.fromkeys(frequent, 0)
-    for (words, _), code in zip(seen, codes.tolist()):
-        for w in words & frequent:
-            rows[w] ^= code
-    best: dict[int, str] = {}
-    for w, sig in rows.items():
-        if sig not in best or (len(w), w) < (len(best[sig]), best[sig]):
-            best[sig] = w
-    return sorted(best.values())
+def share_model(y: np.ndarray) -> Model:
+    """The smoothed share of the labels, for rows without both labels."""
+    share = (y.sum() + 1) / (len(y) + 2)
+    return Model({}, np.zeros(len(LEXICONS) + len(PATTERNS)), float(np.log(share / (1 - share))))
+
+
+def train(y: np.ndarray, votes: np.ndarray, found: list, chosen: list[str], telling: list[str]) -> Model:
+    """A model from labels, fixed votes and, per row, the places in ``chosen`` + ``telling`` of the features it has."""
+    has = np.zeros((len(y), len(chosen) + len(telling)), np.float32)
+    for i, at in enumerate(found):
+        has[i, at] = 1
+    post = label_model(np.column_stack([votes, has[:, len(chosen):]]), y)
+    w, b = logistic(np.column_stack([has[:, :len(chosen)], votes.astype(np.float32)]), post)
+    return Model({k: float(w[i]) for i, k in enumerate(chosen) if abs(w[i]) > 1e-4}, w[len(chosen):].astype(float), b)
 
 
 def fit_rows(rows: list[tuple[str, int]]) -> Model:
-    """A model from (text, label) rows; without both labels it is their smoothed share."""
-    n_votes = len(LEXICONS) + len(PATTERNS)
+    """A model from (text, label) rows held in memory; without both labels it is their smoothed share."""
     y = np.array([r[1] for r in rows], np.float64)
     if len(rows) == 0 or y.min() == y.max():
-        share = (y.sum() + 1) / (len(y) + 2)
-        return Model({}, np.zeros(n_votes), float(np.log(share / (1 - share))))
-    df, df1, feats = Counter(), Counter(), lambda t: with_stems(observed(t or ""))
-    for (text, _), label in zip(rows, y):  # features are made twice, so that only the frequent ones are kept
-        words, _ = feats(text)
-        df.update(words)
-        if label:
-            df1.update(words)
-    df = Counter({w: c for w, c in df.items() if c >= MIN_DF})
-    frequent = set(df)
-    seen = []
-    for text, _ in rows:
-        words, v = feats(text)
-        seen.append((words & frequent, v))
-    vocab = distinct_features(seen, frequent)
-    c, c1, n, n1 = np.array([df[w] for w in vocab], float), np.array([df1[w] for w in vocab], float), len(y), y.sum()
-    expect = c * n1 / n
-    z = (c1 - expect) / np.sqrt(np.maximum(expect * (1 - c / n), 0.25))  # how far from chance the word's toxic rows are
-    order = np.lexsort((np.array(vocab, dtype=object), -np.abs(z))) if len(vocab) else np.zeros(0, int)
-    telling = [vocab[i] for i in order if z[i] >= 4][:LEARNED_VOTERS]
-    votes = np.array([[*v, *(w in words for w in telling)] for words, v in seen], np.float64)
-    post = label_model(votes, y)
-    chosen = [vocab[i] for i in order[:FEATURES]]
-    at = {w: i for i, w in enumerate(chosen)}
-    x = np.zeros((n, len(chosen) + n_votes), np.float32)
-    for i, (words, v) in enumerate(seen):
-        x[i, [at[w] for w in words & at.keys()]] = 1
-        x[i, len(chosen):] = v
-    w, b = logistic(x, post)
-    return Model({k: float(w[i]) for k, i in at.items() if abs(w[i]) > 1e-4}, w[len(chosen):].astype(float), b)
+        return share_model(y)
+    codes = np.random.default_rng(7).integers(0, 1 << 62, len(rows)).tolist()
+    count: dict[str, list] = {}
+    for (text, label), code in zip(rows, codes):
+        for w in with_stems(observed(text or ""))[0]:
+            c = count.setdefault(w, [0, 0, 0])
+            c[0], c[1], c[2] = c[0] + 1, c[1] + int(label > 0), c[2] ^ code
+    best: dict[int, str] = {}  # of features that the same rows have, such as a word and its stems, the shortest one
+    for w, (c, _, sig) in count.items():
+        if c >= MIN_DF and (sig not in best or (len(w), w) < (len(best[sig]), best[sig])):
+            best[sig] = w
+    n, n1 = len(y), y.sum()
+    far = lambda c, c1: (c1 - c * n1 / n) / np.sqrt(max(c * n1 / n * (1 - c / n), 0.25))
+    z = {w: far(count[w][0], count[w][1]) for w in best.values()}
+    order = sorted(z, key=lambda w: (-abs(z[w]), w))
+    chosen, telling = order[:FEATURES], [w for w in order if z[w] >= 4][:LEARNED_VOTERS]
+    seen = [with_stems(observed(r[0] or "")) for r in rows]
+    return train(y, np.array([v for _, v in seen]), [_places(words, chosen, telling) for words, _ in seen], chosen, telling)
+
+
+def _places(words: set[str], chosen: list[str], telling: list[str]) -> list[int]:
+    return [i for i, w in enumerate(chosen + telling) if w in words]
+
+
+def sampled_rows(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id", text_col: str = "text",
+                 label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(id, y, t) of at most ``sample_rows`` labelled rows, those first by a hash of the id; one row per id."""
+    lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+    lab = lab if usable is None else lab.where(usable)
+    lab = lab.groupBy(F.col(id_col).alias("id")).agg(F.min(F.col(label_col)).cast("int").alias("y"))
+    few = lab.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit(2)), "id").limit(sample_rows)  # broadcast: ids only
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("t"))
+    return texts.join(F.broadcast(few), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("t").alias("t"))
+
+
+def features(rows: DataFrame) -> DataFrame:
+    """(w, z) of the features of (id, y, t) rows: of those that the same rows have the shortest, and how far from chance its toxic rows are."""
+    n, n1 = rows.agg(F.count("*"), F.sum((F.col("y") > 0).cast("long"))).first()
+
+    def run(b: pa.RecordBatch) -> dict:
+        count: dict[str, list] = {}
+        for code, y, t in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for w in with_stems(observed(t))[0]:
+                c = count.setdefault(w, [0, 0, 0])
+                c[0], c[1], c[2] = c[0] + 1, c[1] + int(y > 0), c[2] ^ code
+        c = list(count.values())
+        return {"w": list(count), "c": [x[0] for x in c], "c1": [x[1] for x in c], "sig": [x[2] for x in c]}
+
+    coded = rows.select(F.xxhash64(F.col("id").cast("string"), F.lit(7)).alias("code"), "y", "t")
+    words = (map_batches(coded, run, "w string, c long, c1 long, sig long")
+             .groupBy("w").agg(F.sum("c").alias("c"), F.sum("c1").alias("c1"), F.bit_xor("sig").alias("sig"))
+             .where(F.col("c") >= MIN_DF))
+    best = words.groupBy("sig").agg(F.min(F.struct(F.char_length("w").alias("l"), "w", "c", "c1")).alias("b")).select("b.*")
+    expect = F.col("c") * F.lit(n1 / max(n, 1))
+    z = (F.col("c1") - expect) / F.sqrt(F.greatest(expect * (1 - F.col("c") / F.lit(max(n, 1))), F.lit(0.25)))
+    return best.select("w", z.alias("z"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id", text_col: str = "text",
@@ -194,20 +227,22 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
 
     Null ids and null labels teach nothing; a repeated id teaches once, by its smallest label and text.
     """
-    lab = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    lab = lab if usable is None else lab.where(usable)
-    lab = lab.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.col(label_col)).alias("__y"))
-    first = lab.orderBy(F.xxhash64(F.col("__id").cast("string"), F.lit(2)), "__id").limit(sample_rows).collect()
-    spark = docs.sparkSession
-    few = spark.createDataFrame([(r["__id"], int(r["__y"])) for r in first], lab.withColumn("__y", F.col("__y").cast("int")).schema)
-    rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"))
-            .join(F.broadcast(few), "__id").collect())  # at most sample_rows ids
-    best: dict = {}
-    for r in rows:
-        t = r["__t"] or ""
-        if r["__id"] not in best or t < best[r["__id"]][0]:
-            best[r["__id"]] = (t, r["__y"])
-    return fit_rows([best[k] for k in sorted(best)])
+    rows = stored(sampled_rows(docs, labels, usable, id_col, text_col, label_col, sample_rows))
+    if len(shares := rows.groupBy("y").count().collect()) < 2:
+        return share_model(np.concatenate([np.zeros(0)] + [np.full(r["count"], float(r["y"])) for r in shares]))
+    words = stored(features(rows))
+    chosen = [r["w"] for r in words.orderBy(F.abs("z").desc(), "w").limit(FEATURES).collect()]
+    telling = [r["w"] for r in words.where("z >= 4").orderBy(F.desc("z"), "w").limit(LEARNED_VOTERS).collect()]
+
+    def run(b: pa.RecordBatch) -> dict:
+        seen = [with_stems(observed(t)) for t in b.column(2).to_pylist()]
+        return {"id": b.column(0), "y": b.column(1), "votes": [v for _, v in seen],
+                "found": [_places(words, chosen, telling) for words, _ in seen]}
+
+    id_type = dict(rows.dtypes)["id"]
+    out = map_batches(rows, run, f"id {id_type}, y int, votes array<double>, found array<int>").orderBy("id").toArrow()
+    return train(out.column("y").to_numpy().astype(float), np.array(out.column("votes").to_pylist()),
+                 [x.values.to_numpy() for c in out.column("found").chunks for x in c], chosen, telling)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,6 +6,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm import chat_format as C
 from corpusloom.llm import decontaminate as D
 from corpusloom.llm import language_id as L
@@ -43,6 +45,22 @@ def test_toxicity_learns_and_scores_edges(spark, make_docs):
     assert T.fit_rows([]).score("x") == 0.5 and T.fit_rows([("a", 1), (None, 1)]).score("x") > 0.5
 
 
+def test_toxicity_sample_is_8000_rows_and_tasks_choose_the_features(spark, make_docs):
+    assert T.SAMPLE_ROWS == 8_000
+    ids = spark.range(9_000).withColumnRenamed("id", "doc_id")
+    labels = ids.withColumn("toxic", (F.col("doc_id") % 5 == 0).cast("int"))
+    assert T.sampled_rows(ids.withColumn("text", F.lit("x")), labels).count() == 8_000
+    rng = np.random.default_rng(4)
+    some = lambda n: " ".join(f"word{w}" for w in rng.integers(0, 40, n))
+    rows = [(i, some(12) + (" grumblewort" if i % 4 == 0 and i % 3 else ""), None, None) for i in range(600)]
+    y = {i: int(i % 4 == 0) for i, *_ in rows}
+    a = T.fit(make_docs(rows), spark.createDataFrame(list(y.items()), "doc_id long, toxic int"))
+    b = T.fit_rows([(t, y[i]) for i, t, _, _ in rows])
+    assert a.score("a grumblewort") > 0.5 > a.score("word1")
+    for t in ("a grumblewort", "word1 word2", "", "you idiot"):
+        assert abs(a.score(t) - b.score(t)) < 1e-3
+
+
 def test_label_model_trusts_good_voters():
     rng = np.random.default_rng(0)
     y = (rng.random(3000) < 0.2).astype(float)
