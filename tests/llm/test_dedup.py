@@ -87,6 +87,23 @@ def test_near_duplicates(make_docs):
     assert J.near_duplicates(make_docs([])).count() == 0
 
 
+def test_near_duplicates_with_null_and_shared_ids(make_docs):
+    words = lambda s, n=60: [f"{s}{i}" for i in range(n)]
+    a, b, c = words("a"), words("b"), words("c")
+    near = lambda w, *at: " ".join("x" if i in at else x for i, x in enumerate(w))
+    rows = [(1, near(a)), (None, near(a).upper()), (None, near(b)), (None, "some clean text of its own"), (None, None),
+            (2, near(c)), (3, near(c, 59)), (3, "another text with the same id"), (None, near(b).replace(" ", "  "))]
+    kept = J.drop_near_duplicates(make_docs([(i, t, None, None) for i, t in rows])).collect()
+    got = [(r["doc_id"], r["text"]) for r in kept]
+    assert len([t for i, t in got if t and t.split() == b]) == 1  # of rows without ids one stays
+    rest = {x for x in got if not (x[1] and x[1].split() == b)}
+    assert rest == {rows[0], rows[3], rows[4], rows[5], rows[7]} and len(got) == 6
+    # a class of rows without ids bridges two documents: 7 ~ null ~ 8, but not 7 ~ 8
+    chain = [(7, near(a)), (None, near(a, 59)), (8, near(a, 0, 1, 2, 59))]
+    assert len({r["component_id"] for r in J.near_duplicates(make_docs([(i, t, None, None) for i, t in chain[::2]]), k=5, percent=88).collect()}) == 2
+    assert {r["component_id"] for r in J.near_duplicates(make_docs([(i, t, None, None) for i, t in chain]), k=5, percent=88).collect()} == {7}
+
+
 def test_signatures_of_linked_sets_meet():
     rng = np.random.default_rng(3)
     for n in (1, 2, 5, 7, 20, 55, 140, 400):
