@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.tables import stored
+
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -53,6 +55,33 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
+def one_row_per_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of ``docs`` per group of equal texts, with its columns.
+
+    It is the one that ``exact_dedup`` keeps.  Where several rows carry the kept id (rows ingested
+    twice, groups without ids), the one with the most code points stays, then the least text, then
+    the least by all columns.
+    """
+    decided = stored(exact_dedup(docs, id_col, text_col).select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"), "kept"))
+    gone = decided.where("not kept").select("__id", "__sha").distinct()
+    again = stored(decided.where("kept").groupBy("__id", "__sha").count().where("count > 1").select("__id", "__sha"))
+    sha = F.sha2(normalised(docs[text_col]), 256)
+
+    def same(keys: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(keys["__id"]) & (sha == keys["__sha"])
+
+    single = docs.join(gone, same(gone), "left_anti")
+    if again.isEmpty():
+        return single
+    single = docs.join(decided.where("not kept").select("__id", "__sha").unionByName(again).distinct().alias("out"),
+                       docs[id_col].eqNullSafe(F.col("out.__id")) & (sha == F.col("out.__sha")), "left_anti")
+    row = F.struct(*[docs[c] for c in docs.columns])
+    order = F.struct(-F.char_length(F.coalesce(docs[text_col], F.lit(""))), docs[text_col], F.to_json(row))
+    first = (docs.join(again, same(again), "left_semi").groupBy(sha.alias("__sha"))  # a kept text has one id
+             .agg(F.min_by(row, order).alias("__row")).select("__row.*"))
+    return single.unionByName(first)
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their columns (repeated rows with the id that stays all do)."""
     gone = (exact_dedup(docs, id_col, text_col).where("not kept")

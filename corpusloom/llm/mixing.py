@@ -83,7 +83,7 @@ def source_plan(sizes: DataFrame, weight=cycle_weight, knots=ramp_knots, max_rep
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None,
-        weight=cycle_weight, knots=ramp_knots, max_repeats: int = 3) -> DataFrame:
+        weight=cycle_weight, knots=ramp_knots, max_repeats: int = 3, row_key: Column | None = None) -> DataFrame:
     """One row per document: (id, size, source_size, target, taken, position).
 
     ``size`` is the number of words by default; null texts have 0 and are never
@@ -92,13 +92,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     r words, in the order of md5(id); the document at the end of r gives just
     the words that are left, so the words taken are the target, rounded.
     ``position`` is the training time of the first reading (null if nothing is
-    taken).  Rows with equal id and size are interchangeable.  Other columns of
+    taken).  Rows with equal id and size are interchangeable, unless
+    ``row_key`` tells them apart: it then comes last in their order and is returned as ``row_key``.  Other columns of
     ``docs`` are not read, so their names cannot clash.
     """
     size = word_count("text") if size is None else size
     u = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
     base = docs.select(F.col(id_col).alias("__id"), F.col(source_col).isNull().alias("__null"),
-                       F.coalesce(F.col(source_col), F.lit("")).alias("__s"), size.alias("size"), u.alias("__u"))
+                       F.coalesce(F.col(source_col), F.lit("")).alias("__s"), size.alias("size"), u.alias("__u"), *([] if row_key is None else [row_key.alias("row_key")]))
+    tell = [] if row_key is None else ["row_key"]
     rows = docs.select(id_col).count()
     buckets = max(1, ceil(rows / max(BUCKET_ROWS, sqrt(rows))))
     base = base.withColumn("__k", F.floor(F.col("__u") * buckets / F.lit(2.0 ** 32)).cast("long"))
@@ -107,7 +109,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     plan = source_plan(per_bucket.groupBy("__null", "__s").agg(F.sum("__sum").alias("source_size")), weight, knots, max_repeats)
     before = W.partitionBy("__null", "__s").orderBy("__k").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    inside = W.partitionBy(*key).orderBy("__u", "__id", "size").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*key).orderBy("__u", "__id", "size", *tell).rowsBetween(W.unboundedPreceding, -1)
     d = (base.withColumn("__in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
          .join(offsets, key).join(plan, ["__null", "__s"])
          .withColumn("__cum", F.col("__in") + F.col("__off")))
@@ -117,7 +119,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
                      + F.least(F.greatest(F.col("__r") - F.col("__cum"), F.lit(0)), F.col("size")))
     total = F.greatest(F.col("__q") * F.col("source_size") + F.col("__r"), F.lit(1))
     return d.select(
-        F.col("__id").alias(id_col), "size", "source_size", "target", "taken",
+        F.col("__id").alias(id_col), *tell, "size", "source_size", "target", "taken",
         F.when(F.col("taken") > 0, time_of(F.col("segs"), F.col("__cum") / total)).alias("position"),
         F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))) - 1).cast("int")),
                     lambda i: F.struct((i + 1).alias("reading"),

@@ -27,6 +27,18 @@ def test_stages_keep_what_they_should(spark, sample):
     assert {r["doc_id"] for r in five} <= ids and [r["position"] for r in five] == sorted(r["position"] for r in five)
 
 
+def test_repeated_rows_and_shared_ids_are_read_once(spark, make_docs):
+    rows = [(7, "c d", "en", "s"), (7, "c d", "en", "s"), (7, "c  d", "en", "s"), (None, "e f g", "en", "s"), (None, "e f g", "en", "s"),
+            (5, "one two three", "en", "s"), (5, "six seven eight", "en", "s"), (None, "cd", "en", "s"), (1, "h", "en", "s")]
+    one = dict(P.STAGES)["exact_dedup"](spark, make_docs(rows), SF001)
+    want = sorted([(7, "c  d"), (None, "e f g"), (5, "one two three"), (5, "six seven eight"), (1, "h")], key=str)
+    assert sorted([(r["doc_id"], r["text"]) for r in one.collect()], key=str) == want and one.columns == make_docs(rows).columns
+    out = dict(P.STAGES)["mixing"](spark, one, SF001).collect()
+    assert len({(r["doc_id"], r["text"], r["reading"]) for r in out}) == len(out) == len({r["position"] for r in out})
+    assert sorted({(r["doc_id"], r["text"]) for r in out}, key=str) == want
+    assert sum(r["words"] for r in out) == 12 * len({r["reading"] for r in out})
+
+
 def test_run_and_empty_table(spark, sample):
     assert P.run(spark, SF001).count() > 100
     docs = sample.limit(0)
