@@ -1,4 +1,4 @@
-"""Substring deduplication by a distributed difference-cover suffix sort.
+"""Substring deduplication by content anchors and window names of fixed depth, in place of a suffix sort.
 
 A byte goes if a string of ``length`` bytes that covers it also starts earlier.
 
@@ -6,20 +6,19 @@ A byte goes if a string of ``length`` bytes that covers it also starts earlier.
    GRAM-byte string with the least hash.  Consecutive windows with the same
    anchor make a phrase.  Equal windows have equal anchors at equal offsets, so
    a window repeats only in phrases with the same anchor string: anchors deal
-   the suffixes out to tasks.  Phrases with an anchor string of their own are
+   the windows out to tasks.  Phrases with an anchor string of their own are
    done, and equal phrases are collapsed to their first occurrence before
-   anything is sorted (as in prefix-free parsing).
-2. Sort.  A task sorts the suffixes of its phrases by difference cover: of the
-   positions 1 and 2 mod 3, triples of 8-byte letters are sorted and named by
-   rank, and a recursion on triples of names covers 72 bytes, two of which
-   reach the window's length.  The remaining positions, 0 mod 3, are merged by
-   the cover's two rules: one letter before a sampled position against class 1,
-   two letters against class 2.
-3. Compare.  Of neighbours in sorted order with equal prefixes of ``length``
-   bytes, all but the first in the corpus go.
-
-Sorting every byte's suffix across the cluster would shuffle some 20 bytes per
-byte of text; dealing out by anchors moves narrow rows for 2 in 77 positions,
+   windows are named (as in prefix-free parsing).
+2. Name.  A task names the positions 1 and 2 mod 3 of its phrases at two fixed
+   levels: triples of 8-byte letters (24 bytes) by rank, then triples of those
+   names (72 bytes).  Two names of 72 bytes, with at most four letters, cover a window.
+3. Group.  Equal windows have equal keys made of these names.  Three passes, each
+   over two of the classes mod 3 with a key that both have, compare every pair of
+   classes; in each, all but the first window of a key in the corpus go.
+
+No suffix order is made: there is no recursion to full depth, no merge and no
+comparison of neighbours.  Sorting every byte's suffix across the cluster would
+shuffle some 20 bytes per byte of text (an estimate, not measured); dealing out by anchors moves narrow rows for 2 in 77 positions,
 and bytes only for phrases that share an anchor and differ.
 """
 
@@ -149,7 +148,7 @@ def _later(rank: np.ndarray) -> np.ndarray:
 
 
 def repeated_windows(texts: list[bytes], windows: np.ndarray) -> np.ndarray:
-    """For the windows of all texts, in order, whether an equal window stands before (difference cover 1, 2 mod 3)."""
+    """For the windows of all texts, in order, whether an equal window stands before (names at 1, 2 mod 3)."""
     size = np.array([len(t) for t in texts], np.int64)
     t = np.frombuffer(b"".join(texts) + bytes(160), np.uint8)
     n = len(t) - 96
