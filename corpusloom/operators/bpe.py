@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.merge import merge_ids
 from corpusloom.session import cut_lineage
 
 UNK = "<unk>"
@@ -287,6 +288,8 @@ def _choose(top: list[tuple[int, int, int]], near: dict[tuple[int, int], list[tu
                         more((t, new) if left else (new, t), c, False)
         else:  # nothing is known of the neighbours: only that they are no more than the pair, nor than their own pairs
             beside = max((c for p, c in high.items() if p[1] == a or p[0] == b), default=0)
+            if a == b:  # a run of one symbol: the new token stands beside the symbol, or itself, at every second place at most
+                beside = max(beside, most // 2)
             floor = max(floor, min(most, max(beside, floor)))
             for p in low:
                 if p[1] == a or p[0] == b:
@@ -372,8 +375,9 @@ class Codec:
     def __init__(self, tokens: list[str], merges: list[tuple[str, str]]):
         self.tokens = tokens
         self.merges = merges
-        self.index = {t: i for i, t in enumerate(tokens)}
-        self.ranks = {(a, b): r for r, (a, b) in enumerate(merges)}
+        self.index = index = {t: i for i, t in enumerate(tokens)}
+        self.ranks = {(index[a], index[b]): (r, index[a + b]) for r, (a, b) in enumerate(merges)}
+        self.symbol = {ch: index.get(ch, -1) for ch in _SYM}  # -1: a byte not seen in fitting
 
     @classmethod
     def from_frames(cls, vocab: DataFrame, merges: DataFrame) -> Codec:
@@ -384,28 +388,9 @@ class Codec:
     def encode_piece(self, piece: str) -> list[int]:
         if piece == UNK:
             return [self.index[UNK]]
-        word = list(to_symbols(piece))
-        ranks = self.ranks
-        while len(word) > 1:
-            best, bi = None, -1
-            for i in range(len(word) - 1):
-                r = ranks.get((word[i], word[i + 1]))
-                if r is not None and (best is None or r < best):
-                    best, bi = r, i
-            if best is None:
-                break
-            a, b = word[bi], word[bi + 1]
-            out, i = [], 0
-            while i < len(word):
-                if i + 1 < len(word) and word[i] == a and word[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(word[i])
-                    i += 1
-            word = out
         unk = self.index[UNK]
-        return [self.index.get(s, unk) for s in word]
+        ids = merge_ids([self.symbol[ch] for ch in to_symbols(piece)], self.ranks)
+        return [unk if i < 0 else i for i in ids]
 
     def decode(self, ids) -> str:
         bs = bytearray()
@@ -421,7 +406,7 @@ MEMO = 1 << 16  # pieces whose ids a task remembers
 
 def bpe_encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
     """Ids of each text (pieces by the native pre-tokenizer, merges by rank
-    in an Arrow-batched pandas UDF with a per-task piece memo)."""
+    over a linked list with a heap, in an Arrow-batched pandas UDF with a per-task piece memo)."""
     # plain lists travel in the broadcast; the codec is rebuilt per task
     bc = docs.sparkSession.sparkContext.broadcast((list(codec.tokens), list(codec.merges)))
 
@@ -449,15 +434,11 @@ def bpe_encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "id
 
 def bpe_decode(df: DataFrame, codec: Codec, ids: str = "ids", out: str = "text") -> DataFrame:
     """Bytes of the tokens concatenated, decoded as UTF-8 with replacement;
-    ``<unk>`` dropped."""
-    bc = df.sparkSession.sparkContext.broadcast((list(codec.tokens), list(codec.merges)))
-
-    @F.pandas_udf("string")
-    def dec(s: pd.Series) -> pd.Series:
-        c = Codec(*bc.value)
-        return pd.Series([c.decode(x) for x in s])
-
-    return df.withColumn(out, dec(F.col(ids)))
+    ``<unk>`` dropped.  Native: ids look their bytes up in a literal array of the
+    vocabulary; ids outside it are dropped, null ids give a null text."""
+    table = F.array(*[F.lit(b"" if t == UNK else from_symbols(t)).cast("string") for t in codec.tokens])
+    raw = F.array_join(F.transform(F.col(ids), lambda i: F.when(i >= 0, F.get(table, i))), "")
+    return df.withColumn(out, F.call_function("make_valid_utf8", raw))
 
 
 # ---------------------------------------------------------------------------

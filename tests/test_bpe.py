@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from corpusloom.functions.merge import merge_ids
 from corpusloom.operators import bpe as BP
 from corpusloom.sources.tables import read_table
 
@@ -153,6 +154,11 @@ def test_rounds_equal_one_merge_at_a_time(pieces, bounds):
     assert _rounds(pieces, 30, *bounds) == _one_at_a_time(pieces, 30)
 
 
+def test_rounds_bound_what_a_run_of_one_symbol_makes():
+    pieces = {"aaa": 1, "aaab": 1, "aaaccc": 1}
+    assert _rounds(pieces, 30, 512, 128) == _one_at_a_time(pieces, 30)
+
+
 def test_bpe_deltas_hold_back_and_compat(spark):
     codec = BP.Codec(["<unk>"] + BP.byte_symbols(), [])
     ids = [1 + b for b in "aé😀b".encode()]
@@ -177,3 +183,53 @@ def test_pretokenize_equals_tokenizers(spark):
     for i, t in enumerate(texts):
         want = [p for p, _ in pt.pre_tokenize_str(t)]
         assert [BP.to_symbols(p) for p in got[i]] == want, t
+
+
+def test_merge_equals_library_on_long_and_short_pieces():
+    from tokenizers import Tokenizer, models
+
+    rng = np.random.default_rng(7)
+    vocab = {c: i for i, c in enumerate("abcd")}
+    merges = []
+    while len(merges) < 60:
+        a, b = (str(x) for x in rng.choice(list(vocab), 2))
+        if a + b not in vocab:
+            vocab[a + b] = len(vocab)
+            merges.append((a, b))
+    tok = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+    rank = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)}
+    for n in [*range(1, 80), 500, 3000]:
+        text = "".join(rng.choice(list("abcd"), n))
+        assert merge_ids([vocab[c] for c in text], rank) == tok.encode(text).ids
+    assert merge_ids([], rank) == [] and merge_ids([99, 98], rank) == [99, 98]
+    assert merge_ids([0] * 50, {(0, 0): (0, 1)}) == [1] * 25
+
+
+def test_a_piece_of_a_megabyte_is_encoded_in_seconds(spark):
+    import time
+
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(40)
+    vocab, merges, _ = BP.fit_bpe(BP.piece_counts(docs), 320)
+    codec = BP.Codec.from_frames(vocab, merges)
+    text = "".join(np.random.default_rng(3).choice(list("aeinorstu"), 1_000_000))
+    start = time.perf_counter()
+    got = codec.encode_piece(text)
+    assert time.perf_counter() - start < 5
+    tok = Tokenizer(models.BPE(vocab=codec.index, merges=codec.merges, unk_token="<unk>"))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    assert got == tok.encode(text).ids
+
+
+def test_native_decode_replaces_broken_utf8_like_python(spark):
+    rng = np.random.default_rng(5)
+    tokens = ["<unk>"] + BP.byte_symbols()
+    codec = BP.Codec(tokens, [])
+    pool = [0x41, 0x80, 0xBF, 0xC3, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x98, 0x80, 0xED, 0xA0, 0xFF, 0xC0, 0xF4, 0x90]
+    rows = [(i, [int(rng.choice(pool)) + 1 for _ in range(int(rng.integers(0, 12)))]) for i in range(400)]
+    rows += [(400, None), (401, [0, 66, 0]), (402, [5000, 66, -1])]
+    got = {r[0]: r[2] for r in BP.bpe_decode(spark.createDataFrame(rows, "i int, ids array<int>"), codec).collect()}
+    for i, ids in rows[:400]:
+        assert got[i] == bytes(x - 1 for x in ids).decode("utf-8", "replace")
+    assert got[400] is None and got[401] == "A" and got[402] == "A"
