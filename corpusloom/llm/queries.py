@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from corpusloom.llm import bpe_stream as B
 from corpusloom.llm import chat_format as C
+from corpusloom.llm import collocations as N
 from corpusloom.llm import decontaminate as D
 from corpusloom.llm import exact_dedup as X
 from corpusloom.llm import language_id as L
 from corpusloom.llm import mixing as M
 from corpusloom.llm import ngram_join as J
+from corpusloom.llm import periodic_runs as R
 from corpusloom.llm import sanitise as P
 from corpusloom.llm import suffix_dedup as S
 from corpusloom.llm import token_counts as K
@@ -82,6 +85,41 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.format_pairs(pairs).select("pair_id", "n_prefix", "prompt", "chosen", "rejected", mask("chosen_mask"), mask("rejected_mask"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, top=2000, cover_percent=50)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The query's texts: with h = crc32(doc_id) and h % 10 = 0, the words from a on repeat p words (a, p from h); a null id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    g = F.floor(h / 10)
+    docs = docs.select("doc_id", "text", words.alias("w"), g.alias("g")).withColumn("n", F.size("w").cast("long"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    docs = docs.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    planted = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("w", source(i).cast("int"))), " ")
+    return docs.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = R.find_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), F.sha2(lines, 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("top.length"), -F.col("top.short")
+    return found.select("doc_id", "n_runs", (-F.col("top.before")).alias("start"), length.alias("length"), period.alias("period"),
+                        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op13_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = B.load(B.vocabulary_path(spark.sparkContext))
+    both = B.decode(B.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), spec), spec)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
+    "op11_collocations": op11_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_bpe_stream": op13_bpe_stream,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -179,6 +220,32 @@ SELECT conv_id AS pair_id, n::BIGINT AS n_prefix, array_to_string(ra[1 : n], '')
        array_to_string(list_transform(ma, lambda s: (s.e - s.k)::BIGINT || ':' || s.e::BIGINT), ',') AS chosen_mask,
        array_to_string(list_transform(mb, lambda s: (s.e - s.k)::BIGINT || ':' || s.e::BIGINT), ',') AS rejected_mask
 FROM m
+""",
+    "op11_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) > 2),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+i AS (
+  SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE k = 3
+  UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3),
+m AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN m USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+cuts AS (
+  SELECT lang, phrase, a, 1 AS j, w[1] AS x, array_to_string(w[2 :], ' ') AS y FROM kept
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM kept WHERE k = 3),
+s AS (SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+one AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM one)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """,
 }
 
