@@ -34,7 +34,8 @@ from corpusloom.llm.tables import stored
 from corpusloom.llm.words import BASES, LOWER, Polynomials, byte_table, joined, mix, spans
 
 BITMAP_BITS = 27         # 16 MB
-FLUSH_WORDS = 1 << 20    # words whose n-grams are summed at a time, but whole texts
+BLOCK = (1 << 19) - 1    # bytes of text that are hashed at a time, but whole texts
+FLUSH_WORDS = 1 << 19    # words whose n-grams are summed at a time, but whole blocks
 WORD_BITS = 4            # of a pointer, for its number of words
 STOPS = byte_table(b".,;:!?\n\x0b\x0c\r")
 BLANKS = byte_table(b" \t")
@@ -82,7 +83,7 @@ def _texts(batch: pa.RecordBatch, bits: int, twice: bool, poly: Polynomials) ->
     """Row ranges of a batch (row, lang, text) and their words."""
     data, off = utf8(batch.column(2))
     langs = batch.column(1).to_pylist()
-    for i, j in blocks(off):
+    for i, j in blocks(off, BLOCK):
         salts = np.array([_salt(x) for x in langs[i:j]], _U)
         yield i, j, Words(data[off[i]:off[j]], off[i:j + 1] - off[i], salts, bits, twice, poly)
 
@@ -139,7 +140,7 @@ def _maybe(have: np.ndarray, fp: np.ndarray) -> np.ndarray:
 
 
 def _candidates(w: Words, orders, have: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
-    """The n-grams whose words (n = 1) or pairs (n > 1) may all be frequent; n = 0 as it is."""
+    """The n-grams whose words (n = 1) or pairs (n > 1) may all be frequent; n = 0: one at the first word of each text."""
     pairs = np.zeros(len(w.s) + 1, bool)
     at, fps = w.ngrams(2)
     pairs[at] = _maybe(have, fps[0])
@@ -151,7 +152,7 @@ def _candidates(w: Words, orders, have: np.ndarray) -> Iterator[tuple[int, np.nd
         elif n > 1:
             ok = inside[at + n - 1] - inside[at] == n - 1
         else:
-            ok = np.ones(len(at), bool)
+            ok = np.concatenate([[True], w.doc[1:] != w.doc[:-1]])[:len(at)]
         yield n, at[ok], [x[ok] for x in fps]
 
 
@@ -163,20 +164,25 @@ def _pointers(rows: DataFrame, orders: tuple[int, ...], have, bits: int) -> Data
     def run(batches):
         cols, words, poly = [], 0, Polynomials()
 
+        def batch(*cols):
+            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in cols], names=["fp", "c", "chk_min", "chk_max", "row", "ptr"])
+
         def flush():
             fp, chk, row, ptr = (np.concatenate(c) for c in zip(*cols))
             order, cut, c = _sorted(fp)
-            some = np.zeros(0, np.int64)
-            low, high = (np.minimum.reduceat(chk[order], cut), np.maximum.reduceat(chk[order], cut)) if len(cut) else (some, some)
-            one = order[cut]
-            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (fp[one].view(np.int64), c, low, high, row[one], ptr[one])],
-                                              names=["fp", "c", "chk_min", "chk_max", "row", "ptr"])
+            chk, one = chk[order], order[cut]
+            low, high = (np.minimum.reduceat(chk, cut), np.maximum.reduceat(chk, cut)) if len(cut) else (chk, chk)
+            return batch(fp[one].view(np.int64), c, low, high, row[one], ptr[one])
 
         for b in batches:
             row = b.column(0).to_numpy()
             for i, j, w in _texts(b, bits, True, poly):
                 for n, at, (fp, chk) in _candidates(w, orders, have.value):
-                    cols.append((fp, chk.view(np.int64), row[i:j][w.doc[at]], w.pointer(at, n)))
+                    chk, at_row = chk.view(np.int64), row[i:j][w.doc[at]]
+                    if n:
+                        cols.append((fp, chk, at_row, w.pointer(at, n)))
+                    else:  # all words of the text
+                        yield batch(fp.view(np.int64), np.diff(np.append(at, len(w.s))), chk, chk, at_row, w.pointer(at, n))
                 words += len(w.s)
                 if words >= FLUSH_WORDS:
                     yield flush()
