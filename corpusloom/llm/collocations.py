@@ -36,6 +36,7 @@ from corpusloom.llm.words import BASES, LOWER, Polynomials, byte_table, joined,
 BITMAP_BITS = 27         # 16 MB
 BLOCK = (1 << 19) - 1    # bytes of text that are hashed at a time, but whole texts
 FLUSH_WORDS = 1 << 19    # words whose n-grams are summed at a time, but whole blocks
+SHARES = 64              # of a language's phrases, ranked apart first
 WORD_BITS = 4            # of a pointer, for its number of words
 STOPS = byte_table(b".,;:!?\n\x0b\x0c\r")
 BLANKS = byte_table(b" \t")
@@ -256,7 +257,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     """
     sc = docs.sparkSession.sparkContext
     rows, orders = _rows(docs, text_col, lang_col), tuple(range(max_words + 1))
-    have = sc.broadcast(bitmap(_counts(rows, (1, 2), fingerprint_bits).where(F.col("c") >= min_count)))
+    often = stored(_counts(rows, (1, 2), fingerprint_bits).where(F.col("c") >= min_count).select("fp"))  # its shuffle files go
+    have = sc.broadcast(bitmap(often))
     found = stored(_pointers(rows, orders, have, fingerprint_bits)
                    .where((F.col("c") >= min_count) | (F.col("ptr").bitwiseAND((1 << WORD_BITS) - 1) == 0)))
     clear = F.col("chk_min") == F.col("chk_max")
@@ -297,8 +299,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     a, l, r = (f"cast({c} as decimal(15,0))" for c in "alr")
     cuts = cuts.withColumn("score", F.expr(f"({a} * {a} * 1000000BD) div ({l} * {r})"))
     scored = (cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("cut")).select("lang", "phrase", "cut.*"))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = lambda *keys: W.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # the best of each share of a language first, so that no task ranks more than SHARES * top phrases
+    some = (scored.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+            .withColumn("rank", F.row_number().over(order("lang", "share"))).where(F.col("rank") <= top).drop("rank", "share"))
+    best = some.withColumn("rank", F.row_number().over(order("lang"))).where(F.col("rank") <= top)
     total = all_.where("words = 0").select("lang", F.col("f").alias("n"))
     return (best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
             .orderBy("lang", "rank"))
