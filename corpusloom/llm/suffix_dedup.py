@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from corpusloom.llm.common import blocks, map_batches, utf8
-from corpusloom.llm.ngram_join import _powers, mix
+from corpusloom.llm.words import BASES, Polynomials, mix
 from corpusloom.llm.tables import stored
 
 LENGTH = 100
@@ -79,7 +79,7 @@ def parse(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     a = anchor[v]
     cut = np.concatenate([[0], np.flatnonzero((a[1:] != a[:-1]) | (v[1:] != v[:-1] + 1)) + 1])
     start, count = v[cut], np.diff(np.concatenate([cut, [len(v)]]))
-    up, down = _powers(1 << max(20, int(n - 1).bit_length()))
+    up, down = Polynomials().table(BASES[0], n)
     total = np.concatenate([np.zeros(1, _U), np.cumsum(letters * up[:n])])
     stop = start + count - 1 + LENGTH
     phrase = mix((total[stop] - total[start]) * down[start] + count.astype(_U))

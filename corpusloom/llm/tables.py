@@ -25,4 +25,14 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes ``stored`` tables whose readers have been stored themselves."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(conf).delete(path, True)

@@ -34,7 +34,7 @@ class Polynomials:
         self.powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.codes = {b: mix(np.arange(1, 257).astype(_U) * _U(b)) for b in BASES}
 
-    def _table(self, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def table(self, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         if base not in self.powers or len(self.powers[base][0]) < n:
             size = 1 << max(16, int(n - 1).bit_length())
             up, down = np.full(size, base, _U), np.full(size, pow(base, -1, 1 << 64), _U)
@@ -44,7 +44,7 @@ class Polynomials:
 
     def sums(self, codes: np.ndarray, s: np.ndarray, e: np.ndarray, base: int = BASES[0]) -> np.ndarray:
         """Sum of codes[i] * base^(i - s) over i in [s, e): prefix sums, moved back by inverse powers."""
-        up, down = self._table(base, len(codes) + 1)
+        up, down = self.table(base, len(codes) + 1)
         total = np.zeros(len(codes) + 1, _U)
         np.cumsum(codes * up[:len(codes)], out=total[1:])
         return (total[e] - total[s]) * down[s]
