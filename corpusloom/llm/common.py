@@ -56,3 +56,23 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | d
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in want], schema=want)
 
     return df.mapInArrow(run, schema)
+
+
+class Shared:
+    """An object that tasks get through a broadcast of its bytes, made once per task.
+
+    Its class travels with it (pickled by value), so executors need no installation of this package.
+    """
+
+    def __init__(self, spark: SparkSession, obj):
+        from pyspark import cloudpickle
+
+        self.raw, self.made = spark.sparkContext.broadcast(cloudpickle.dumps(obj)), []
+
+    @property
+    def value(self):
+        if not self.made:
+            import pickle
+
+            self.made.append(pickle.loads(self.raw.value))
+        return self.made[0]

@@ -112,7 +112,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     ``hit_words``: positions of words inside occurrences of benchmark windows, as [from, to) runs;
     ``items``: the items with such windows, as sorted strings.  Null texts have no words and items
-    without words have no windows.  Repeated documents or items repeat or merge their results.
+    without words have no windows; an item without an id marks words, but is in no list.  Repeated documents or
+    items repeat or merge their results.
     """
     id_type = dict(docs.dtypes)[id_col]
     indexes = shared_indexes(docs, benchmark, text_col, item_id, item_text, window, block_windows)
@@ -127,7 +128,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             edge = np.flatnonzero(np.diff(hit)).reshape(-1, 2)
             n.append(len(ws))
             runs.append([{"from": int(x), "to": int(y)} for x, y in edge])
-            found.append(sorted({str(i) for i in items}))
+            found.append(sorted({str(i) for i in items if i is not None}))
         return {id_col: b.column(0), "n_words": n, "hit_words": runs, "items": found}
 
     return map_batches(docs.select(id_col, text_col), run,

@@ -7,31 +7,28 @@ reference length (the cross-parsing estimate c * log n / letters), wins.
 
 The automata are fitted on a bounded sample: ``REF_CHARS`` characters of each
 language, of documents in the order of a hash.  Every document is parsed whole:
-its characters are cut into strips that advance through all automata in step,
-one NumPy gather per character position; a phrase also ends at a strip's end,
-for every language alike.
+all texts of a block advance through all automata in step, one NumPy gather per
+character position, the longest texts for the most steps.
 """
 
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import blocks, map_batches
+from corpusloom.llm.common import Shared, blocks, map_batches
 
 REF_CHARS = 24_000   # characters of reference text per language
 REF_DOCS = 64        # expected documents drawn per language to fill them
-STRIP = 256          # characters that one strip of a document holds
 MAX_CLASSES = 1_024  # letters told apart; rarer ones are one class
 UNDETERMINED = "und"
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """For every code point, whether it is a letter."""
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
@@ -130,22 +127,18 @@ class Model:
         s, doc = self.symbols(np.concatenate([*points, np.zeros(0, np.uint32)]), doc)
         letters = np.bincount(doc[s > 0], minlength=len(texts))
         n, k = np.bincount(doc, minlength=len(texts)), len(self.langs)
-        strips = -(-n // STRIP)
-        owner = np.repeat(np.arange(len(texts)), strips)
-        begin = (np.cumsum(n) - n)[owner] + STRIP * (np.arange(len(owner)) - (np.cumsum(strips) - strips)[owner])
-        size = np.minimum(STRIP, (np.cumsum(n))[owner] - begin)
-        order = np.argsort(-size, kind="stable")
-        begin, size, owner = begin[order], size[order], owner[order]
+        owner = np.argsort(-n, kind="stable")
+        owner = owner[n[owner] > 0]  # the longest first: those still going are a prefix
+        begin, size = (np.cumsum(n) - n)[owner], n[owner]
         state = np.repeat(self.roots[None, :], len(owner), 0)
         phrases = np.ones((len(owner), k), np.int32)
-        live = np.searchsorted(-size, -np.arange(STRIP), side="left")  # strips longer than j
-        for j in range(int(size[0]) if len(size) else 0):
-            m = int(live[j])
+        live = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")  # texts longer than j
+        for j, m in enumerate(live.tolist()):
             v = self.step[state[:m] + s[begin[:m] + j][:, None]]
             phrases[:m] += (v >> 30).astype(np.int32)
             state[:m] = v & 0x3FFFFFFF
         total = np.zeros((len(texts), k), np.int64)
-        np.add.at(total, owner, phrases)
+        total[owner] = phrases
         return letters, total
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -190,7 +183,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     Ties go to the language first by name.  Without any labelled text every
     language is ``und``.  Repeated rows give repeated, equal results.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     id_type = dict(docs.dtypes)[id_col]
 
     def run(b: pa.RecordBatch) -> dict:
@@ -211,14 +204,16 @@ def predict_column(model: Model, col: pa.Array) -> tuple[list[str], np.ndarray]:
     return lang, np.concatenate([*score, np.zeros(0)])
 
 
-def drop_undetermined(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows whose language is determined, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+def drop_undetermined(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language is determined, with all their columns; a null language becomes the predicted one."""
+    shared = Shared(docs.sparkSession, model)
+    at, lang = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches):
         for b in batches:
-            keep = [x != UNDETERMINED for x in predict_column(shared.value, b.column(at))[0]]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            found = pa.array(predict_column(shared.value, b.column(at))[0], pa.string())
+            cols = list(b.columns)
+            cols[lang] = pa.compute.coalesce(cols[lang], found.cast(cols[lang].type))
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(pa.compute.not_equal(found, UNDETERMINED))
 
     return docs.mapInArrow(run, docs.schema)

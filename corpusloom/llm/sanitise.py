@@ -148,10 +148,10 @@ def term_frequencies(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach the threshold."""
-    n = found.count()
-    m = found.select("row_key", F.inline("mentions"))
-    pairs = m.distinct().groupBy("entity", "term").agg(F.count("*").alias("df_et"))
-    entities = m.select("entity", "row_key").distinct().groupBy("entity").agg(F.count("*").alias("df_e"))
+    n = found.count()  # all four counts are of rows: repeated rows count each time
+    pairs = found.select(F.inline("mentions")).groupBy("entity", "term").agg(F.count("*").alias("df_et"))
+    once = F.array_distinct(F.transform("mentions", lambda m: m["entity"]))
+    entities = found.select(F.explode(once).alias("entity")).groupBy("entity").agg(F.count("*").alias("df_e"))
     pairs = pairs.join(entities, "entity").where(F.col("df_e") < n)
     pmi = F.log(F.lit(float(n)) * F.col("df_et") / (F.col("df_e") * (F.greatest("df", "df_et") + F.lit(SMOOTH))))
     return (pairs.join(term_frequencies(docs, text_col), "term")

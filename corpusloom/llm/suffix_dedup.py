@@ -98,13 +98,14 @@ def _phrases(docs: DataFrame) -> DataFrame:
             for k, x in enumerate(found):
                 out[k].append(x + i if k == 0 else x)
         text, start, count, anchor, phrase = (np.concatenate(x + [np.zeros(0, np.int64)]) for x in out)
-        return {"id": b.column(0).take(pa.array(text, pa.int64())), "at": start * 128 + count, "anchor": anchor, "phrase": phrase}
+        text = pa.array(text, pa.int64())
+        return {"id": b.column(0).take(text), "th": b.column(2).take(text), "at": start * 128 + count, "anchor": anchor, "phrase": phrase}
 
-    return map_batches(docs, run, f"id {id_type}, at long, anchor long, phrase long")
+    return map_batches(docs, run, f"id {id_type}, th long, at long, anchor long, phrase long")
 
 
 def _phrase_bytes(rows: DataFrame) -> DataFrame:
-    """(id, text, wanted array<struct<at,anchor>>) to (anchor, id, at, bytes)."""
+    """(id, text, wanted array<struct<at,anchor>>, th) to (anchor, id, th, at, bytes)."""
     id_type = dict(rows.dtypes)["id"]
 
     def run(b: pa.RecordBatch) -> dict:
@@ -117,9 +118,10 @@ def _phrase_bytes(rows: DataFrame) -> DataFrame:
                 anchor.append(w["anchor"])
                 at.append(w["at"])
                 out.append(raw[s:s + c - 1 + LENGTH])
-        return {"anchor": anchor, "id": b.column(0).take(pa.array(which, pa.int64())), "at": at, "bytes": out}
+        which = pa.array(which, pa.int64())
+        return {"anchor": anchor, "id": b.column(0).take(which), "th": b.column(3).take(which), "at": at, "bytes": out}
 
-    return map_batches(rows, run, f"anchor long, id {id_type}, at long, bytes binary")
+    return map_batches(rows, run, f"anchor long, id {id_type}, th long, at long, bytes binary")
 
 
 def _ranks(*cols: np.ndarray) -> np.ndarray:
@@ -177,12 +179,13 @@ def repeated_windows(texts: list[bytes], windows: np.ndarray) -> np.ndarray:
 def _sorted_out(rows: DataFrame) -> DataFrame:
     """The runs (id, begin, stop) of bytes whose windows stand earlier among the given phrases, dealt out by anchor."""
     id_type = dict(rows.dtypes)["id"]
-    schema = to_arrow_schema(_parse_datatype_string(f"id {id_type}, begin long, stop long"))
+    schema = to_arrow_schema(_parse_datatype_string(f"id {id_type}, th long, begin long, stop long"))
 
     def solve(table: pa.Table):
         ids = table.column("id").to_pylist()
         at = table.column("at").to_numpy()
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i], at[i]))
+        th = table.column("th").to_pylist()
+        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] if ids[i] is not None else 0, th[i], at[i]))
         texts = table.column("bytes").to_pylist()
         at = at[order]
         start, count = at // 128, at % 128
@@ -194,8 +197,8 @@ def _sorted_out(rows: DataFrame) -> DataFrame:
             return None
         cut = np.concatenate([[0], np.flatnonzero((np.diff(k) > 1) | (np.diff(owner[k]) > 0)) + 1])
         last = np.concatenate([cut[1:] - 1, [len(k) - 1]])
-        who = [ids[order[i]] for i in owner[k[cut]]]
-        return pa.RecordBatch.from_arrays([pa.array(who, schema.field("id").type), pa.array(place[k[cut]]),
+        who = [order[i] for i in owner[k[cut]]]
+        return pa.RecordBatch.from_arrays([pa.array([ids[i] for i in who], schema.field("id").type), pa.array([th[i] for i in who], pa.int64()), pa.array(place[k[cut]]),
                                            pa.array(place[k[last]] + LENGTH)], schema=schema)
 
     def run(batches):
@@ -222,37 +225,46 @@ def _sorted_out(rows: DataFrame) -> DataFrame:
                 yield out
 
     dealt = rows.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(run, f"id {id_type}, begin long, stop long")
+    return dealt.mapInArrow(run, f"id {id_type}, th long, begin long, stop long")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, begin, stop): runs of bytes to remove; they may overlap."""
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    """(id, th, begin, stop): runs of bytes to remove, by id and hash of the text; they may overlap."""
+    base = _base(docs, id_col, text_col)
     by_anchor, by_phrase = W.partitionBy("anchor"), W.partitionBy("anchor", "phrase")
+    place = F.struct("id", "th", "at")
     shared = stored(_phrases(base).withColumn("low", F.min("phrase").over(by_anchor)).withColumn("high", F.max("phrase").over(by_anchor))
-                    .withColumn("first", F.min(F.struct("id", "at")).over(by_phrase))
-                    .withColumn("is_first", F.struct("id", "at").eqNullSafe(F.col("first")))
+                    .withColumn("first", F.min(place).over(by_phrase))
+                    .withColumn("is_first", place.eqNullSafe(F.col("first")))
                     .where("low != high or not is_first")
-                    .select("id", "at", "anchor", "is_first", (F.col("low") != F.col("high")).alias("mixed")))
+                    .select("id", "th", "at", "anchor", "is_first", (F.col("low") != F.col("high")).alias("mixed")))
     start = F.floor(F.col("at") / 128).cast("long")
-    copies = shared.where("not is_first").select("id", start.alias("begin"), (start + F.col("at") % 128 - 1 + LENGTH).alias("stop"))
-    wanted = (shared.where("is_first and mixed").distinct().groupBy("id").agg(F.collect_list(F.struct("at", "anchor")).alias("wanted")))
-    rows = base.join(wanted, base["id"].eqNullSafe(wanted["id"])).select(base["id"], "text", "wanted")
+    copies = shared.where("not is_first").select("id", "th", start.alias("begin"), (start + F.col("at") % 128 - 1 + LENGTH).alias("stop"))
+    wanted = (shared.where("is_first and mixed").distinct().groupBy("id", "th").agg(F.collect_list(F.struct("at", "anchor")).alias("wanted"))
+              .select(F.col("id").alias("__id"), F.col("th").alias("__th"), "wanted"))
+    same = base["id"].eqNullSafe(wanted["__id"]) & (base["th"] == wanted["__th"])
+    rows = base.join(wanted, same).select("id", "text", "wanted", "th")
     return stored(copies.unionByName(_sorted_out(_phrase_bytes(rows))))
 
 
+def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(text_col, F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (id, n_bytes, n_removed, n_spans, kept).
 
     ``kept`` (binary) is what remains of the UTF-8 bytes; a removed run may begin or end inside a
     character.  Strings are judged on the input.  Null texts are empty; texts shorter than a window
     lose nothing.  Earlier means a smaller id, or the same id and an earlier start; a null id comes
-    first, and repeated rows with one id count as one document.  A text, and the distinct phrases of
+    first.  Rows with one id and one text count as one document; rows with one id (or none) and different
+    texts are different documents, in the order of a hash of their texts.  A text, and the distinct phrases of
     one anchor, have to fit in a task.
     """
     runs = repeated_runs(docs, id_col, text_col)
-    per_doc = runs.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("begin", "stop")).alias("runs"))
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    per_doc = runs.groupBy(F.col("id").alias("__id"), F.col("th").alias("__th")).agg(F.collect_set(F.struct("begin", "stop")).alias("runs"))
+    base = _base(docs, id_col, text_col)
     id_type = dict(base.dtypes)["id"]
 
     def run(b: pa.RecordBatch) -> dict:
@@ -277,7 +289,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept.append(b"".join(parts))
         return {id_col: b.column(0), "n_bytes": n, "n_removed": removed, "n_spans": spans, "kept": kept}
 
-    joined = base.join(per_doc, base["id"].eqNullSafe(per_doc["__id"]), "left").select("id", "text", "runs")
+    same = base["id"].eqNullSafe(per_doc["__id"]) & (base["th"] == per_doc["__th"])
+    joined = base.join(per_doc, same, "left").select("id", "text", "runs")
     return map_batches(joined, run, f"`{id_col}` {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

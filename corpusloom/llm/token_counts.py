@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.common import map_batches
+from corpusloom.llm.common import Shared, map_batches
 
 RULES = ("start", "majority", "split")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: goes with the vocabulary
@@ -112,7 +112,7 @@ def token_counts(docs: DataFrame, encoder: Encoder, id_col: str = "doc_id", text
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    shared = docs.sparkSession.sparkContext.broadcast(encoder)
+    shared = Shared(docs.sparkSession, encoder)
     id_type = dict(docs.dtypes)[id_col]
     cols = [id_col, text_col] + ([sections_col] if sections_col else [])
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import map_batches
+from corpusloom.llm.common import Shared, map_batches
 from corpusloom.llm.tables import stored
 
 SAMPLE_ROWS = 8_000
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, id_col: str = "doc_id",
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every whole text; null and empty texts are scored by the bias alone, repeated rows equally."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     id_type = dict(docs.dtypes)[id_col]
 
     def run(b: pa.RecordBatch) -> dict:
