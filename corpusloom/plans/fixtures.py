@@ -28,22 +28,33 @@ CREDIT_PGDP = "\nProduced by J. Roe at https://www.pgdp.net online\n(This file w
 PREFACE = "Preface\n"
 # ---------------------------------------------------------------------------
 
+NO_SOURCE = "(no source)"  # the work of documents without a source
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """works(work_id BIGINT, title STRING, ord INT): distinct sources ranked by name."""
-    src = read_table(spark, sf_dir, "documents").select("source").distinct()
+    """works(work_id BIGINT, title STRING, ord INT): distinct sources ranked by name; a null source is a work too."""
+    return _works(documents(spark, sf_dir))
+
+
+def _works(docs: DataFrame) -> DataFrame:
+    src = docs.select(F.coalesce("source", F.lit(NO_SOURCE)).alias("source")).distinct()
     r = F.row_number().over(Window.orderBy("source"))
     return src.select(r.cast("bigint").alias("work_id"), F.col("source").alias("title"),
                       r.cast("int").alias("ord"))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """raw(doc_id, source, t): documents wrapped in licence boilerplate by doc_id % 6."""
-    d = documents(spark, sf_dir)
-    s, t = F.col("source"), F.col("text")
+    """raw(doc_id, source, t): documents wrapped in licence boilerplate by doc_id % 6; a null text is empty."""
+    return _raw(documents(spark, sf_dir))
+
+
+def _raw(d: DataFrame) -> DataFrame:
+    d = d.withColumn("source", F.coalesce("source", F.lit(NO_SOURCE)))
+    s, t = F.col("source"), F.coalesce("text", F.lit(""))
     nbsp, ideo, fs = "\u00a0", "\u3000", "\u001c"
     k = F.col("doc_id") % 6
     wrapped = (
@@ -60,9 +71,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pieces(ord, work_id, title, doc_id, body): cleaned raw documents with their work."""
+    return pieces_of(documents(spark, sf_dir))
+
+
+def pieces_of(docs: DataFrame) -> DataFrame:
     from corpusloom.functions.clean import strip_boilerplate
-    r = raw(spark, sf_dir)
-    w = works(spark, sf_dir)
+    r, w = _raw(docs), _works(docs)
     return (r.join(w, r["source"] == w["title"])
             .select("ord", "work_id", "title", "doc_id", strip_boilerplate(F.col("t")).alias("body")))
 

@@ -78,12 +78,12 @@ RAW = f"""raw AS (
     WHEN 3 THEN {lit(' ' + chr(9) + chr(10) + chr(0xA0))} || text || {lit(chr(0x3000) + chr(10) + ' ' + chr(0x1C))}
     WHEN 4 THEN {lit(X.CREDIT_TOP)} || text || {lit(X.NOTES)} || {lit(X.CREDIT_PGDP)}
     ELSE {lit(X.S0 + 'A ***' + chr(10) + X.PREFACE + X.S0 + 'B ***' + chr(10))} || text
-  END AS t FROM documents)"""
+  END AS t FROM (SELECT doc_id, coalesce(source, {lit(X.NO_SOURCE)}) AS source, coalesce(text, '') AS text FROM documents) d)"""
 
-WORKS = """works AS (
+WORKS = f"""works AS (
   SELECT CAST(row_number() OVER (ORDER BY source) AS BIGINT) AS work_id, source AS title,
          CAST(row_number() OVER (ORDER BY source) AS INTEGER) AS ord
-  FROM (SELECT DISTINCT source FROM documents))"""
+  FROM (SELECT DISTINCT coalesce(source, {lit(X.NO_SOURCE)}) AS source FROM documents) d)"""
 
 PIECES = f"""{RAW}, {WORKS},
 pieces AS (SELECT w.ord, w.work_id, w.title, r.doc_id, {B6('r.t')} AS body

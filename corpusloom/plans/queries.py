@@ -494,11 +494,12 @@ def q_release_manifest(spark, sf_dir):
 
 
 def q_release_files(spark, sf_dir):
+    """A5 over what the folder holds: its files give the manifest, the release list what has to be there."""
     from corpusloom.sources.artifacts import file_manifest, release_manifest, table_manifest
-    files = file_manifest(spark, sf_dir, "*.parquet").withColumn(
-        "name", F.regexp_replace("name", r"\.parquet$", ""))
-    tables = _all_tables(spark, sf_dir)
-    m = release_manifest(spark, files.join(table_manifest(spark, tables), "name"), list(tables))
+    from corpusloom.sources.tables import TABLES
+    files = file_manifest(spark, sf_dir, "*.parquet").withColumn("name", F.regexp_replace("name", r"\.parquet$", ""))
+    listed = {r["name"]: read_table(spark, sf_dir, r["name"]) for r in files.select("name").distinct().collect()}
+    m = release_manifest(spark, files.join(table_manifest(spark, listed), "name"), list(TABLES))
     return m.select("name", big("rows").alias("rows"), big("bytes").alias("bytes"),
                     big("checksum").alias("checksum"))
 

@@ -14,18 +14,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 VOCAB_SCHEMA = "id int, token string, bytes binary, type string"
 MERGES_SCHEMA = "rank int, left string, right string, new_id int"
-CONFIG_SCHEMA = T.StructType([
-    T.StructField("tokenizer", T.StringType()), T.StructField("vocab_size", T.LongType()),
-    T.StructField("block_size", T.LongType()), T.StructField("n_layer", T.LongType()),
-    T.StructField("n_head", T.LongType()), T.StructField("n_embd", T.LongType()),
-    T.StructField("norm", T.StringType()), T.StructField("pos", T.StringType()),
-    T.StructField("mlp", T.StringType()), T.StructField("no_attn_bias", T.BooleanType()),
-    T.StructField("dropout", T.DoubleType()), T.StructField("seed", T.LongType()),
-])
+# the parts of a tokenizer.json that are read; merges stay JSON text, as they are spelled in two ways
+TOKENIZER_SCHEMA = ("added_tokens array<struct<id:int,content:string,special:boolean>>, "
+                    "model struct<type:string,unk_token:string,vocab:map<string,int>,merges:array<string>>")
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -74,14 +68,53 @@ def load_artifacts(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFr
     return vocab, merges, config
 
 
+def _symbol_bytes(token):
+    """The bytes that a token of byte symbols stands for; other tokens are their own UTF-8."""
+    from corpusloom.operators.bpe import byte_symbols
+    code = F.create_map(*[F.lit(x) for b, c in enumerate(byte_symbols()) for x in (c, f"{b:02X}")])
+    codes = F.transform(F.split(token, ""), lambda c: F.element_at(code, c))
+    plain = F.exists(codes, lambda c: c.isNull())
+    return F.when(plain, F.encode(token, "UTF-8")).otherwise(F.unhex(F.array_join(codes, "")))
+
+
+def load_tokenizer(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """A4: (vocab, merges) of a ``tokenizer.json`` in the public ``tokenizers`` layout, from any file system.
+
+    The file is one JSON document of vocabulary size.  Merges may be spelled ``["a", "b"]`` or ``"a b"``.
+    Added tokens that the vocabulary lacks are added; ``unk_token`` is UNKNOWN, other special tokens are CONTROL.
+    A file without a BPE model raises ValueError.
+    """
+    from corpusloom.session import cut_lineage
+    doc = cut_lineage(spark.read.text(path, wholetext=True).select(F.from_json("value", TOKENIZER_SCHEMA).alias("j")).select("j.*"))
+    if doc.where("model.type = 'BPE' AND model.vocab IS NOT NULL").isEmpty():
+        raise ValueError(f"no BPE model in {path}")
+    own = doc.select(F.explode("model.vocab").alias("token", "id"), "model.unk_token")
+    added = doc.select(F.explode("added_tokens").alias("t"), "model.unk_token").select(F.col("t.content").alias("token"), "t.id", "unk_token", "t.special")
+    unk = F.col("token") == F.col("unk_token")
+    tokens = (own.withColumn("special", F.lit(False)).unionByName(added)
+              .groupBy("id", "token").agg(F.max("special").alias("special"), F.max(F.coalesce(unk, F.lit(False))).alias("unk")))
+    vocab = tokens.select("id", "token", F.when(F.col("unk"), F.lit(None)).otherwise(_symbol_bytes(F.col("token"))).cast("binary").alias("bytes"),
+                          F.when(F.col("unk"), "UNKNOWN").when(F.col("special"), "CONTROL").otherwise("NORMAL").alias("type"))
+    pair = F.transform("model.merges", lambda m: F.from_json(m, "array<string>"))
+    lists = F.forall(pair, lambda p: F.coalesce(F.size(p) == 2, F.lit(False)))
+    both = doc.select(F.posexplode(F.when(lists, pair).otherwise(F.transform("model.merges", lambda m: F.split(m, " ", 2)))).alias("rank", "p"))
+    both = both.select("rank", F.col("p")[0].alias("left"), F.col("p")[1].alias("right"))
+    merges = (both.join(own.select(F.col("token").alias("made"), F.col("id").alias("new_id")), F.concat("left", "right") == F.col("made"))
+              .select("rank", "left", "right", "new_id"))
+    return cut_lineage(vocab), cut_lineage(merges)
+
+
 def table_manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """A5 (tables): per table its row count and an order-insensitive checksum
-    ``bit_xor(xxhash64(all columns))``: one aggregate per table, map-side
-    partial, nothing gathered."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"),
-                    F.bit_xor(F.xxhash64(*df.columns)).alias("checksum")).select(
-                        F.lit(name).alias("name"), "rows", "checksum")
-             for name, df in tables.items()]
+    """A5 (tables): per table its row count and a checksum of the multiset of its rows, whatever their order.
+
+    Each row's hash goes into an xor and into a sum: in the xor alone two equal rows would cancel out.  One
+    aggregate per table, partial per task, and parts of a table can be summed; nothing is gathered.
+    """
+    parts = []
+    for name, df in tables.items():
+        h = F.xxhash64(*df.columns)
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(38,0)")).alias("s"))
+                     .select(F.lit(name).alias("name"), "rows", F.xxhash64("rows", "x", "s").alias("checksum")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -67,3 +67,64 @@ def test_artifacts_on_a_uri(spark, tmp_path):
     assert vocab.count() == 4 and [tuple(r) for r in back.collect()] == [(0, "a", "b", 3)]
     assert config == {"tokenizer": "bpe", "note": "\u03b1"}
     assert (tmp_path / "model" / "tokenizer.json").is_file()
+
+
+def test_checksum_counts_repeated_rows_and_ignores_order(spark):
+    from corpusloom.sources.artifacts import table_manifest
+    a = spark.createDataFrame([(i % 5, f"v{i}") for i in range(40)], "id long, v string")
+    one = a.limit(1)
+    sums = [r["checksum"] for r in table_manifest(spark, {
+        "a": a, "shuffled": a.repartition(7, "v"), "doubled": a.unionByName(one), "tripled": a.unionByName(one).unionByName(one),
+        "changed": a.withColumn("v", F.when(F.col("v") == "v3", "w").otherwise(F.col("v")))}).orderBy("name").collect()]
+    a_, changed, doubled, shuffled, tripled = sums
+    assert a_ == shuffled and len({a_, changed, doubled, tripled}) == 4
+    assert table_manifest(spark, {"none": a.limit(0)}).first()["rows"] == 0
+
+
+def test_load_tokenizer_written_by_the_library(spark, tmp_path):
+    import json
+
+    import pytest
+    from tokenizers import AddedToken, Tokenizer, models, pre_tokenizers, trainers
+
+    from corpusloom.sources.artifacts import load_tokenizer
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    tok = Tokenizer(models.BPE(unk_token="<unk>"))
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.train_from_iterator(list(texts.values()), trainers.BpeTrainer(vocab_size=300, special_tokens=["<unk>"], show_progress=False))
+    tok.add_special_tokens([AddedToken("<end>", special=True)])
+    path = tmp_path / "tokenizer.json"
+    tok.save(str(path))
+    spec = json.loads(path.read_text(encoding="utf-8"))
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+    for merges in (pairs, [" ".join(p) for p in pairs]):  # both spellings
+        spec["model"]["merges"] = merges
+        path.write_text(json.dumps(spec, ensure_ascii=False), encoding="utf-8")
+        vocab, found = load_tokenizer(spark, f"file://{path}")
+        rows = {r["token"]: r for r in vocab.collect()}
+        assert {t: r["id"] for t, r in rows.items()} == tok.get_vocab(with_added_tokens=True)
+        assert rows["<unk>"]["type"] == "UNKNOWN" and rows["<end>"]["type"] == "CONTROL" and rows["e"]["type"] == "NORMAL"
+        assert bytes(rows["\u0120"]["bytes"]) == b" " and bytes(rows["e"]["bytes"]) == b"e"
+        assert [[r["left"], r["right"]] for r in found.orderBy("rank").collect()] == pairs
+        codec = BP.Codec.from_frames(vocab, found)
+        for r in BP.bpe_encode(docs, codec).collect():
+            assert list(r["ids"]) == tok.encode(texts[r["doc_id"]]).ids
+    path.write_text('{"model": {"type": "WordPiece"}}')
+    with pytest.raises(ValueError):
+        load_tokenizer(spark, f"file://{path}")
+
+
+def test_pieces_keep_documents_without_source_or_text(spark):
+    from corpusloom.operators.corpus import work_report
+    from corpusloom.plans.fixtures import NO_SOURCE, pieces_of
+    rows = [(0, "zero", None), (1, "one", "b"), (2, None, None), (3, "three", "a"), (4, None, "b"), (6, "six", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pieces_of(docs).collect()
+    assert sorted(r["doc_id"] for r in got) == [0, 1, 2, 3, 4, 6] and all(r["body"] is not None for r in got)
+    assert {r["title"]: r["ord"] for r in got} == {NO_SOURCE: 1, "a": 2, "b": 3}
+    report = {r["title"]: r["chars"] for r in work_report(pieces_of(docs)).collect()}
+    assert report[NO_SOURCE] == sum(len(r["body"]) for r in got if r["title"] == NO_SOURCE)
+    assert report[None] == sum(len(r["body"]) for r in got)
+    corpus = assemble_corpus(pieces_of(docs)).orderBy("char_off").collect()
+    assert [r["char_off"] for r in corpus] == [sum(len(x["text"]) for x in corpus[:i]) for i in range(6)]
