@@ -5,7 +5,7 @@ Layout
 functions/  Column-level building blocks (cleaning regexes, hashing, scans).
 sources/    Readers and writers (text files, Parquet, artifacts, manifests).
 operators/  DataFrame -> DataFrame operators (tokenizers, sequences, count
-            model, sampling, generation, checkpoint scoring, run analytics).
+            model, sampling, generation, run analytics).
 streaming/  Structured Streaming jobs (generation requests, live monitor).
 plans/      Derived inputs built from the driver tables and the registered
             queries with their SQL oracles.
