@@ -105,27 +105,29 @@ def lag_tail_across(
     out: str,
     chunk: Column,
     k: int,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``out`` = the last ``k`` elements of the concatenation of ``tail``
-    arrays of all earlier rows along ``order`` (the carried-in context).
+    arrays of all earlier rows along ``order`` (the carried-in context),
+    within ``keys`` if given.
 
     Requires every row's ``tail`` to be non-empty, so ``k`` earlier rows (and
     ``k`` earlier chunks) always suffice.
     """
     ow = [F.col(o) for o in order]
     d = df.withColumn(_CHUNK, chunk)
-    prev_w = Window.partitionBy(_CHUNK).orderBy(*ow).rowsBetween(-k, -1)
+    prev_w = Window.partitionBy(*keys, _CHUNK).orderBy(*ow).rowsBetween(-k, -1)
     d = d.withColumn(_LOCAL, F.flatten(F.collect_list(tail).over(prev_w)))
-    last_w = Window.partitionBy(_CHUNK).orderBy(*ow).rowsBetween(-(k - 1), 0)
+    last_w = Window.partitionBy(*keys, _CHUNK).orderBy(*ow).rowsBetween(-(k - 1), 0)
     # The chunk's own tail: last k over its last k rows.
     ends = (
         d.withColumn("__ct", F.flatten(F.collect_list(tail).over(last_w)))
-        .groupBy(_CHUNK)
+        .groupBy(*keys, _CHUNK)
         .agg(F.max_by("__ct", F.struct(*ow)).alias("__ct"))
     )
-    carry_w = Window.orderBy(_CHUNK).rowsBetween(-k, -1)
+    carry_w = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-k, -1)
     ends = ends.withColumn(_BASE, F.flatten(F.collect_list("__ct").over(carry_w))).drop("__ct")
-    d = d.join(ends, [_CHUNK], "inner")
+    d = d.join(ends, [*keys, _CHUNK], "inner")
     joined = F.concat(F.col(_BASE), F.col(_LOCAL))
     n = F.size(joined)
     res = F.when(n <= k, joined).otherwise(F.slice(joined, n - k + 1, k))

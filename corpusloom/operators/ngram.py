@@ -56,29 +56,39 @@ def context_totals(counts: DataFrame) -> DataFrame:
 
 
 def probabilities(counts: DataFrame, pairs: DataFrame, keys: list[str], vocab_size: int,
-                  a: float = 1.0, totals: DataFrame | None = None) -> DataFrame:
+                  a: float = 1.0, totals: DataFrame | None = None, order: int | None = None) -> DataFrame:
     """Probability of ``tgt`` after ``ctx`` for each row of ``pairs``;
     returns ``(keys..., p)``.  ``keys`` must identify a row (they may include
     ``ctx`` and ``tgt`` themselves).
 
-    Each row is expanded to its orders, joined to the counts on the equal
-    keys (shuffle joins; AQE broadcasts the small side when its measured size
-    allows), and folded back order by order.
+    Bottom up: order 0 joins the token counts on ``tgt`` and takes their sum as a
+    scalar; order ``j`` joins the counts of the last ``j`` context tokens and
+    their total, and mixes in the probability of order ``j - 1``.  No key is
+    shared by all rows and no row is expanded to its orders.  A context
+    shorter than ``j``, or one never seen, keeps the lower probability.
+    ``order`` is the model's highest order (read from ``counts`` if not given).
     """
+    if order is None:
+        order = int(counts.agg(F.max("j").alias("j")).first()["j"] or 0)
     totals = totals if totals is not None else context_totals(counts)
     kk = [f"__k{i}" for i in range(len(keys))]
-    ex = _expand_orders(pairs.select(*[F.col(k).alias(q) for k, q in zip(keys, kk)], "ctx", "tgt"),
-                        [*kk, "tgt"])
-    j = (ex.join(counts, ["j", "ctx", "tgt"], "left")
-           .join(totals, ["j", "ctx"], "left")
-           .select(*kk, "j", F.coalesce("n", F.lit(0)).alias("n"),
-                   F.coalesce("nc", F.lit(0)).alias("nc")))
-    base = F.lit(1.0 / vocab_size)
-    fold = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("j", "n", "nc"))), base,
-        lambda acc, x: (x["n"].cast("double") + F.lit(a) * acc) / (x["nc"].cast("double") + F.lit(a)))
-    probs = j.groupBy(*kk).agg(fold.alias("p"))
-    return probs.select(*[F.col(q).alias(k) for k, q in zip(keys, kk)], "p")
+    q = pairs.select(*[F.col(k).alias(x) for k, x in zip(keys, kk)], "ctx", "tgt")
+    uni = counts.filter(F.col("j") == 0)
+    total = F.coalesce(uni.agg(F.sum("n").cast("double").alias("n")).scalar(), F.lit(0.0))
+    q = (q.join(uni.select("tgt", "n"), "tgt", "left")
+         .withColumn("p", (F.coalesce("n", F.lit(0)).cast("double") + F.lit(a / vocab_size)) / (total + F.lit(a)))
+         .drop("n"))
+    for j in range(1, order + 1):
+        here = counts.filter(F.col("j") == j).select(F.col("ctx").alias("__c"), "tgt", "n")
+        tot = totals.filter(F.col("j") == j).select(F.col("ctx").alias("__c"), "nc")
+        L = F.size("ctx")
+        q = q.withColumn("__c", F.when(L >= j, F.slice("ctx", F.greatest(L - j + 1, F.lit(1)), j)))
+        q = (q.join(here, ["__c", "tgt"], "left").join(tot, "__c", "left")
+             .withColumn("p", F.when(F.col("nc").isNull(), F.col("p")).otherwise(
+                 (F.coalesce("n", F.lit(0)).cast("double") + F.lit(a) * F.col("p"))
+                 / (F.col("nc").cast("double") + F.lit(a))))
+             .drop("__c", "n", "nc"))
+    return q.select(*[F.col(x).alias(k) for k, x in zip(keys, kk)], "p")
 
 
 def cross_entropy(counts: DataFrame, targets: DataFrame, vocab_size: int, a: float = 1.0,

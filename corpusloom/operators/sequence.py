@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.det import hash60
 from corpusloom.functions.scan import id_chunk, lag_tail_across, lead_across, running_agg
+from corpusloom.session import cut_lineage
 
 #: documents per chunk for the two-level scans over the document table
 DOC_CHUNK = 4096
@@ -32,9 +33,11 @@ def pack_chars(docs: DataFrame, text: str = "text", terminator: str | None = "\n
     """One row per document with its characters (code points) as an array.
 
     ``terminator`` is appended to each text first (the corpus convention of
-    one newline after each document).
+    one newline after each document); a null text is an empty text.
     """
-    t = F.col(text) if terminator is None else F.concat(F.col(text), F.lit(terminator))
+    t = F.coalesce(F.col(text), F.lit(""))
+    if terminator is not None:
+        t = F.concat(t, F.lit(terminator))
     return docs.select(F.col(id_col).alias("doc_id"), F.split(t, "", -1).alias("toks"))
 
 
@@ -64,6 +67,101 @@ def split_col(gpos: Column, n_train: int) -> Column:
     return F.when(gpos < F.lit(n_train), F.lit("train")).otherwise(F.lit("val"))
 
 
+def doc_sizes(packed: DataFrame) -> DataFrame:
+    """``(doc_id, n)`` of the documents with tokens, stored as a narrow table in the
+    checkpoint folder: the split cut and the corpus length read it, not the texts."""
+    n = F.size("toks").cast("bigint")
+    return cut_lineage(packed.select("doc_id", n.alias("n")).filter(F.col("n") > 0))
+
+
+def split_cut(sizes: DataFrame, n_train: int, fan: int = 1024) -> tuple[int, int] | None:
+    """D2 as two scalars: ``(doc_id, offset)`` of the token at position ``n_train``,
+    the first of the validation split; None if the sequence ends before it.
+
+    Sums of ``fan`` equal id ranges are taken, the range that holds the cut is
+    cut into ``fan`` ranges again, and so on until one id is left: at most
+    seven passes over ``sizes`` for any 64-bit ids, ``fan`` rows to the driver
+    in each, and no window.  Ids are unique.
+    """
+    ends = sizes.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    if ends["lo"] is None:
+        return None
+    lo, hi, rest = int(ends["lo"]), int(ends["hi"]), n_train
+    while True:
+        step = max(1, -(-(hi - lo + 1) // fan))
+        bucket = F.expr(f"(cast(doc_id as decimal(20,0)) - cast('{lo}' as decimal(20,0))) div cast({step} as decimal(20,0))")
+        rows = (sizes.filter(F.col("doc_id").between(lo, hi)).groupBy(bucket.alias("b"))
+                .agg(F.sum("n").alias("n")).collect())
+        for b, n in sorted((int(r["b"]), int(r["n"])) for r in rows):
+            if rest < n:
+                break
+            rest -= n
+        else:
+            return None
+        lo, hi = lo + b * step, min(hi, lo + (b + 1) * step - 1)
+        if lo == hi:
+            return lo, rest
+
+
+def split_spans(positioned: DataFrame, n_train: int) -> DataFrame:
+    """D2 per document: ``(doc_id, split, tokens, first_gpos, last_gpos)`` from the
+    narrow ``(doc_id, n, off)`` alone; the document that holds the cut has two rows."""
+    ntr = F.lit(n_train).cast("bigint")
+    end = F.col("off") + F.col("n")
+    sides = F.array(F.struct(F.lit("train").alias("split"), F.col("off").alias("a"), F.least(end, ntr).alias("b")),
+                    F.struct(F.lit("val").alias("split"), F.greatest(F.col("off"), ntr).alias("a"), end.alias("b")))
+    return (positioned.select("doc_id", F.inline(sides)).filter(F.col("a") < F.col("b"))
+            .select("doc_id", "split", (F.col("b") - F.col("a")).alias("tokens"),
+                    F.col("a").alias("first_gpos"), (F.col("b") - 1).alias("last_gpos")))
+
+
+def split_pieces(packed: DataFrame, cut: tuple[int, int] | None) -> DataFrame:
+    """``(split, doc_id, toks)``: whole documents on their side of the cut, the
+    document that holds it as two rows.  Map-only; empty rows go."""
+    if cut is None:
+        return packed.select(F.lit("train").alias("split"), "doc_id", "toks").filter(F.size("toks") > 0)
+    doc, off = cut
+    n = F.size("toks")
+
+    def side(name: Column, toks: Column) -> Column:
+        return F.struct(name.alias("split"), toks.alias("toks"))
+
+    whole = F.array(side(F.when(F.col("doc_id") < doc, F.lit("train")).otherwise(F.lit("val")), F.col("toks")))
+    halves = F.array(side(F.lit("train"), F.slice("toks", 1, off)),
+                     side(F.lit("val"), F.slice("toks", off + 1, F.greatest(n - off, F.lit(0)))))
+    return (packed.select("doc_id", F.inline(F.when(F.col("doc_id") == doc, halves).otherwise(whole)))
+            .select("split", "doc_id", "toks").filter(F.size("toks") > 0))
+
+
+def count_targets(packed: DataFrame, k: int, cut: tuple[int, int] | None, width: int = DOC_CHUNK) -> DataFrame:
+    """Distinct ``(split, ctx ARRAY<T>, tgt T)`` of the sequence with their number ``m``:
+    ``aggregate_targets(targets(...))`` without positions and without moving tokens.
+
+    A target with ``k`` predecessors in its own document is counted where the
+    document is read: the ``k + 1`` shifted slices are zipped and exploded into
+    plain columns and pre-aggregated in the same task.  The first ``k`` targets
+    of each document need its neighbours' ends: only the first and last ``k``
+    tokens per document are shuffled for them (a table of heads and tails).
+    Contexts stay inside their split.
+    """
+    pieces = split_pieces(packed, cut)
+    n = F.size("toks")
+    cols = [f"t{s}" for s in range(1, k + 2)]
+    inner = (pieces.filter(n > k)
+             .select("split", *[F.slice("toks", s, n - k).alias(c) for s, c in enumerate(cols, 1)])
+             .select("split", F.inline(F.arrays_zip(*cols))))
+    ends = pieces.select("split", "doc_id", F.slice("toks", 1, k).alias("head"),
+                         F.slice("toks", F.greatest(n - k + 1, F.lit(1)), k).alias("tail"))
+    carried = lag_tail_across(ends, "tail", ["doc_id"], "carry", id_chunk("doc_id", width), k, keys=["split"])
+    edge = (carried.select("split", F.concat("carry", "head").alias("s"), F.size("carry").alias("c"),
+                           F.explode(F.sequence(F.lit(0), F.size("head") - 1)).alias("i"))
+            .filter(F.col("c") + F.col("i") > 0)
+            .select("split", *[F.get("s", F.col("c") + F.col("i") - (k + 1 - s)).alias(c)
+                               for s, c in enumerate(cols, 1)]))
+    g = inner.unionByName(edge).groupBy("split", *cols).agg(F.count(F.lit(1)).alias("m"))
+    return g.select("split", F.array_compact(F.array(*cols[:-1])).alias("ctx"), F.col(cols[-1]).alias("tgt"), "m")
+
+
 def explode_positions(positioned: DataFrame) -> DataFrame:
     """Long form ``(doc_id, pos, gpos, tok)`` of a positioned packed table."""
     return positioned.select(

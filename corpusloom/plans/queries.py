@@ -9,7 +9,7 @@ they compare equal with the SQL in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,35 +54,45 @@ def s_(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-@dataclass
 class CharCorpus:
-    docs: DataFrame
-    packed: DataFrame
-    pos: DataFrame
-    vocab: DataFrame
-    V: int
-    N: int
-    ntr: int
+    """``documents`` in doc_id order, each text followed by a newline, as chars.
 
+    What a query needs of it (vocabulary, lengths, the split cut) is derived from
+    the given tables when first asked for, and nothing is kept between queries.
+    """
 
-_CHAR_FITS: dict = {}
+    def __init__(self, docs: DataFrame):
+        self.docs = docs
+        self.packed = S.pack_chars(docs)
+        self.pos = S.global_positions(self.packed)
 
+    @cached_property
+    def vocab(self) -> DataFrame:
+        return cut_lineage(C.char_vocab(self.docs, terminator="\n"))
 
-def char_corpus(spark: SparkSession, sf_dir: str) -> CharCorpus:
-    """``documents`` in doc_id order, each text followed by a newline, as chars.
+    @cached_property
+    def V(self) -> int:
+        return self.vocab.count()
 
-    The vocabulary (a small table in the checkpoint folder), its size and the
-    corpus length are fitted once per (session, input), like the BPE codec.
-    """
-    docs = X.documents(spark, sf_dir)
-    packed = S.pack_chars(docs)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CHAR_FITS:
-        vocab = cut_lineage(C.char_vocab(docs, terminator="\n"))
-        _CHAR_FITS[key] = (vocab, vocab.count(), S.total_tokens(packed))
-    vocab, V, N = _CHAR_FITS[key]
-    return CharCorpus(docs, packed, S.global_positions(packed), vocab, V, N,
-                      S.split_point(N, TRAIN_FRAC))
+    @cached_property
+    def sizes(self) -> DataFrame:
+        return S.doc_sizes(self.packed)
+
+    @cached_property
+    def N(self) -> int:
+        return int(self.sizes.agg(F.sum("n")).first()[0] or 0)
+
+    @property
+    def ntr(self) -> int:
+        return S.split_point(self.N, TRAIN_FRAC)
+
+    def targets(self, k: int) -> DataFrame:
+        """(split, ctx, tgt, m), one pass over the texts, stored: the fit and the scoring read it."""
+        return cut_lineage(S.count_targets(self.packed, k, S.split_cut(self.sizes, self.ntr)))
+
+
+def char_corpus(spark: SparkSession, sf_dir: str) -> CharCorpus:
+    return CharCorpus(X.documents(spark, sf_dir))
 
 
 def _ctx_str(c: str = "ctx") -> Column:
@@ -164,11 +174,9 @@ def q_global_positions(spark, sf_dir):
 
 def q_split_by_position(spark, sf_dir):
     cc = char_corpus(spark, sf_dir)
-    sp = S.split_by_position(cc.pos, cc.ntr)
-    return sp.groupBy("doc_id", "split").agg(
-        big(F.count(F.lit(1))).alias("tokens"), big(F.min("gpos")).alias("first_gpos"),
-        big(F.max("gpos")).alias("last_gpos")).select(big("doc_id").alias("doc_id"), "split",
-                                                      "tokens", "first_gpos", "last_gpos")
+    sp = S.split_spans(cc.pos.select("doc_id", "n", "off"), cc.ntr)
+    return sp.select(big("doc_id").alias("doc_id"), "split", big("tokens").alias("tokens"),
+                     big("first_gpos").alias("first_gpos"), big("last_gpos").alias("last_gpos"))
 
 
 def _starts(spark, cc: CharCorpus, split: str, steps: int = EVAL_BATCHES, seed: int = SEED):
@@ -196,16 +204,15 @@ def q_gather_windows(spark, sf_dir):
 
 def q_next_token(spark, sf_dir):
     cc = char_corpus(spark, sf_dir)
-    p = S.next_token(cc.pos, cc.ntr)
-    return p.groupBy("split", "tok", "nxt").agg(big(F.count(F.lit(1))).alias("pairs"))
+    p = S.count_targets(cc.packed, 1, S.split_cut(cc.sizes, cc.ntr))
+    return p.select("split", F.get("ctx", F.lit(0)).alias("tok"), F.col("tgt").alias("nxt"), big("m").alias("pairs"))
 
 
 # --------------------------------------------------------------------------- E
 def _model(cc: CharCorpus, k: int):
-    """Targets aggregated once by (split, ctx, tgt); counts from the train rows."""
-    agg = E.aggregate_targets(S.targets(cc.pos, k, cc.ntr))
-    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
-    return agg, counts
+    """Targets aggregated once by (split, ctx, tgt); counts from the train rows, stored as the model's table."""
+    agg = cc.targets(k)
+    return agg, cut_lineage(E.fit_counts(agg.filter(F.col("split") == "train"), weight="m"))
 
 
 def q_fit_counts(spark, sf_dir):
@@ -470,14 +477,20 @@ def q_bpe_stats(spark, sf_dir):
                      big("context_chars").alias("context_chars"))
 
 
+def _id_model(ids: DataFrame):
+    """Bigram targets and counts of packed token ids, encoded once and stored."""
+    ids = cut_lineage(ids)
+    sizes = S.doc_sizes(ids)
+    n = int(sizes.agg(F.sum("n")).first()[0] or 0)
+    agg = cut_lineage(S.count_targets(ids, 1, S.split_cut(sizes, S.split_point(n, TRAIN_FRAC))))
+    return agg, cut_lineage(E.fit_counts(agg.filter(F.col("split") == "train"), weight="m"))
+
+
 def q_cross_entropy_bpe(spark, sf_dir):
     """E3 on BPE ids: the count model over byte-level BPE tokens."""
     codec = bpe_codec(spark, sf_dir)
     e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec).select("doc_id", F.col("ids").alias("toks"))
-    N = S.total_tokens(e)
-    ntr = S.split_point(N, TRAIN_FRAC)
-    agg = E.aggregate_targets(S.targets(S.global_positions(e), 1, ntr))
-    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
+    agg, counts = _id_model(e)
     ce = E.cross_entropy(counts, agg.filter(F.col("split") == "val"), len(codec.tokens), PRIOR, weight="m")
     return ce.select(F.lit("val").alias("split"), big("targets").alias("targets"), r6("ce").alias("ce"))
 
@@ -519,9 +532,7 @@ def q_bpe_token_deltas(spark, sf_dir):
     prompt (sampled), and the ids are turned into text deltas."""
     codec = bpe_codec(spark, sf_dir)
     e = BP.bpe_encode(_corpus_texts(spark, sf_dir), codec).select("doc_id", F.col("ids").alias("toks"))
-    N = S.total_tokens(e)
-    agg = E.aggregate_targets(S.targets(S.global_positions(e), 1, S.split_point(N, TRAIN_FRAC)))
-    counts = E.fit_counts(agg.filter(F.col("split") == "train"), weight="m")
+    _, counts = _id_model(e)
     vocab = spark.range(len(codec.tokens)).select(F.col("id").cast("int").alias("id"),
                                                   F.col("id").cast("int").alias("token"))
     p = BP.bpe_encode(X.prompts(spark, sf_dir).withColumnRenamed("prompt", "text"), codec)

@@ -1,5 +1,6 @@
 """D1-D5 and E1-E3 against a plain-Python pass over the concatenated sequence."""
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -119,3 +120,51 @@ def test_partitioning_does_not_change_results(spark):
         counts = E.fit_counts(tg.filter("split = 'train'").select("ctx", "tgt"))
         res.add(round(E.cross_entropy(counts, tg.filter("split = 'val'").select("ctx", "tgt"), 4).first()["ce"], 12))
     assert len(res) == 1
+
+
+def test_split_cut_on_any_ids(spark):
+    """Every cut of a sequence whose documents have random 64-bit ids, the extremes among them."""
+    rnd = random.Random(5)
+    ids = sorted({-(1 << 63), (1 << 63) - 1, -1, 0, 1, *(rnd.randrange(-(1 << 63), 1 << 63) for _ in range(6))})
+    sizes = [(i, rnd.randrange(1, 4)) for i in ids]
+    df = spark.createDataFrame(sizes, "doc_id long, n long")
+    flat = [(i, o) for i, n in sizes for o in range(n)]
+    for g in (0, 1, len(flat) // 2, len(flat) - 1):
+        assert S.split_cut(df, g, fan=64) == flat[g]
+    assert S.split_cut(df, len(flat)) is None
+    assert S.split_cut(df.filter("n > 9"), 0) is None
+
+
+@pytest.mark.parametrize("k,width", [(1, 1), (6, 2)])
+def test_count_targets_equals_targets(spark, k, width):
+    """Map-only counts and the table of heads and tails against the row-level targets, at every kind of cut."""
+    packed, pos, seq = _corpus(spark, width)
+    sizes = S.doc_sizes(packed)
+    for ntr in (6, 7, len(seq)):
+        want = {}
+        for g in range(len(seq)):
+            split = "train" if g < ntr else "val"
+            L = min(k, g - (0 if g < ntr else ntr))
+            if L > 0:
+                key = (split, seq[g - L:g], seq[g])
+                want[key] = want.get(key, 0) + 1
+        rows = S.count_targets(packed, k, S.split_cut(sizes, ntr), width=width).collect()
+        assert {(r["split"], "".join(r["ctx"]), r["tgt"]): r["m"] for r in rows} == want
+        assert len(rows) == len(want)
+
+
+def test_null_texts_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None), (3, "")], "doc_id long, text string")
+    rows = S.global_positions(S.pack_chars(df)).select("doc_id", "n", "off").orderBy("doc_id").collect()
+    assert [tuple(r) for r in rows] == [(1, 3, 0), (2, 1, 3), (3, 1, 4)]
+    none = S.pack_chars(df.filter("doc_id > 9"))
+    assert S.count_targets(none, 2, S.split_cut(S.doc_sizes(none), 0)).count() == 0
+
+
+def test_split_spans(spark):
+    packed, pos, seq = _corpus(spark, 2)
+    for ntr in (0, 7):
+        long = S.split_by_position(pos, ntr).groupBy("doc_id", "split").agg(
+            F.count(F.lit(1)).alias("tokens"), F.min("gpos").alias("a"), F.max("gpos").alias("b"))
+        want = {tuple(r) for r in long.select("doc_id", "split", "tokens", "a", "b").collect()}
+        assert {tuple(r) for r in S.split_spans(pos.select("doc_id", "n", "off"), ntr).collect()} == want
