@@ -149,16 +149,17 @@ def count_targets(packed: DataFrame, k: int, cut: tuple[int, int] | None, width:
     cols = [f"t{s}" for s in range(1, k + 2)]
     inner = (pieces.filter(n > k)
              .select("split", *[F.slice("toks", s, n - k).alias(c) for s, c in enumerate(cols, 1)])
-             .select("split", F.inline(F.arrays_zip(*cols))))
+             .select("split", F.inline(F.arrays_zip(*cols)))
+             .groupBy("split", *cols).agg(F.count(F.lit(1)).alias("m")))
     ends = pieces.select("split", "doc_id", F.slice("toks", 1, k).alias("head"),
                          F.slice("toks", F.greatest(n - k + 1, F.lit(1)), k).alias("tail"))
-    carried = lag_tail_across(ends, "tail", ["doc_id"], "carry", id_chunk("doc_id", width), k, keys=["split"])
+    carried = lag_tail_across(cut_lineage(ends), "tail", ["doc_id"], "carry", id_chunk("doc_id", width), k, keys=["split"])
     edge = (carried.select("split", F.concat("carry", "head").alias("s"), F.size("carry").alias("c"),
                            F.explode(F.sequence(F.lit(0), F.size("head") - 1)).alias("i"))
             .filter(F.col("c") + F.col("i") > 0)
             .select("split", *[F.get("s", F.col("c") + F.col("i") - (k + 1 - s)).alias(c)
-                               for s, c in enumerate(cols, 1)]))
-    g = inner.unionByName(edge).groupBy("split", *cols).agg(F.count(F.lit(1)).alias("m"))
+                               for s, c in enumerate(cols, 1)], F.lit(1).cast("bigint").alias("m")))
+    g = inner.unionByName(edge).groupBy("split", *cols).agg(F.sum("m").alias("m"))
     return g.select("split", F.array_compact(F.array(*cols[:-1])).alias("ctx"), F.col(cols[-1]).alias("tgt"), "m")
 
 
