@@ -10,7 +10,7 @@ over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scan import running_agg
@@ -44,27 +44,66 @@ def best_checkpoint(history: DataFrame) -> DataFrame:
         F.max_by("val_loss", "it").alias("best_val"))
 
 
-def evals_since(history: DataFrame) -> DataFrame:
-    """Per row, evals since the last improvement (0 on an improving row)."""
-    imp = improvements(history).withColumn("__imp", F.col("improved").cast("int"))
-    g = running_agg(imp, "__imp", ["it"], "__g", _chunk(), keys=["run_id"])
-    rn = running_agg(g, F.lit(1), ["it"], "__rn", _chunk(), keys=["run_id", "__g"])
-    since = F.when(F.col("__g") == 0, F.col("__rn")).otherwise(F.col("__rn") - 1)
-    return rn.withColumn("evals_since", since.cast("int")).drop("__imp", "__g", "__rn")
+def evals_since(history: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Per row ``best_before``, ``improved`` and ``evals_since``: evals since the last
+    improvement (0 on an improving row).
 
-
-def early_stop(history: DataFrame, patience: int) -> DataFrame:
+    One scan in two levels.  A chunk of a run is summed up as (rows, minimum,
+    place of the first minimum), which merges: a chunk's last improvement is its
+    first minimum if that beats all earlier chunks, else it has none.  The rows
+    are shuffled once, to their chunk; what earlier chunks carry in comes
+    from the table of summaries.  ``state(run_id, best, since)`` continues runs
+    whose earlier rows are not in ``history``.
+    """
+    w = Window.partitionBy("run_id", "__c").orderBy("it")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    d = (history.withColumn("__c", _chunk())
+         .withColumn("__v", F.when(~F.isnan("val_loss"), F.col("val_loss")))
+         .withColumn("__r", F.row_number().over(w).cast("bigint"))
+         .withColumn("__lm", F.min("__v").over(before)))
+    parts = d.groupBy("run_id", "__c").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__m"),
+        F.min_by("__r", F.when(F.col("__v").isNotNull(), F.struct("__v", "it"))).alias("__p"))
+    if state is None:
+        parts = parts.withColumn("__b0", F.lit(float("inf"))).withColumn("__s0", F.lit(0).cast("bigint"))
+    else:
+        st = state.select("run_id", F.col("best").alias("__b0"), F.col("since").cast("bigint").alias("__s0"))
+        parts = (parts.join(st, "run_id", "left").withColumn("__b0", F.coalesce("__b0", F.lit(float("inf"))))
+                 .withColumn("__s0", F.coalesce("__s0", F.lit(0).cast("bigint"))))
+    earlier = Window.partitionBy("run_id").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (parts.withColumn("__bn", F.coalesce(F.sum("__n").over(earlier), F.lit(0).cast("bigint")))
+             .withColumn("__bm", F.least("__b0", F.min("__m").over(earlier)))
+             .withColumn("__bi", F.max(F.when(F.col("__m") < F.col("__bm"), F.col("__bn") + F.col("__p"))).over(earlier)))
+    j = (d.join(parts.select("run_id", "__c", "__bn", "__bm", "__bi", "__s0"), ["run_id", "__c"])
+         .withColumn("best_before", F.least("__bm", "__lm"))
+         .withColumn("improved", F.coalesce(F.col("__v") < F.col("best_before"), F.lit(False)))
+         .withColumn("__r", F.col("__bn") + F.col("__r")))
+    last = F.greatest("__bi", F.max(F.when(F.col("improved"), F.col("__r"))).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (j.withColumn("__last", last)
+            .withColumn("evals_since", F.coalesce(F.col("__r") - F.col("__last"),
+                                                  F.col("__r") + F.col("__s0")).cast("int"))
+            .drop("__c", "__v", "__r", "__lm", "__bn", "__bm", "__bi", "__s0", "__last"))
+
+
+def early_stop(history: DataFrame, patience: int, state: DataFrame | None = None) -> DataFrame:
     """H2: drop the rows after the first eval with ``evals_since >= patience``;
     ``patience`` 0 turns it off.  Adds ``stopped`` (true on the stop row)."""
-    es = evals_since(history)
+    es = evals_since(history, state)
     if patience <= 0:
         return es.withColumn("stopped", F.lit(False))
-    stop = (es.filter(F.col("evals_since") >= patience)
-            .groupBy("run_id").agg(F.min("it").alias("__stop")))
-    j = es.join(stop, "run_id", "left")
-    return (j.filter(F.col("__stop").isNull() | (F.col("it") <= F.col("__stop")))
-            .withColumn("stopped", F.coalesce(F.col("it") == F.col("__stop"), F.lit(False)))
-            .drop("__stop"))
+    # The first stop of each chunk is found where its rows are; earlier chunks' by chunk.
+    here = Window.partitionBy("run_id", "__c").orderBy("it").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("run_id").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.when(F.col("evals_since") >= patience, F.col("it"))
+    d = es.withColumn("__c", _chunk()).withColumn("__first", F.min(at).over(here))
+    done = (d.groupBy("run_id", "__c").agg(F.min("__first").alias("__f"))
+            .withColumn("__e", F.min("__f").over(earlier)).drop("__f"))
+    j = d.join(done, ["run_id", "__c"])
+    stop = F.least("__e", "__first")
+    return (j.filter(F.coalesce(F.col("it") <= stop, F.lit(True)))
+            .withColumn("stopped", F.coalesce(F.col("it") == stop, F.lit(False)))
+            .drop("__c", "__first", "__e"))
 
 
 def run_summary(kept: DataFrame) -> DataFrame:

@@ -367,6 +367,10 @@ SQL["early_stop"] = with_(HIST) + """
 SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, round(train_loss, 6) AS train_loss,
   round(val_loss, 6) AS val_loss, CAST(evals_since AS BIGINT) AS evals_since, stopped FROM kept"""
 
+SQL["monitor"] = with_(HIST) + """
+SELECT CAST(run_id AS BIGINT) AS run_id, CAST(it AS BIGINT) AS it, round(val_loss, 6) AS val_loss,
+  evals_since = 0 AS improved, CAST(evals_since AS BIGINT) AS evals_since, stopped FROM kept"""
+
 SQL["throughput"] = with_(HIST) + f"""
 SELECT CAST(run_id AS BIGINT) AS run_id, CAST(iters AS BIGINT) AS iters, round(elapsed, 6) AS elapsed,
   round({TPS}, 6) AS tokens_per_s FROM summary"""

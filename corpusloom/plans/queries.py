@@ -27,6 +27,7 @@ from corpusloom.operators import sequence as S
 from corpusloom.plans import fixtures as X
 from corpusloom.session import cut_lineage
 from corpusloom.sources.tables import read_table
+from corpusloom.streaming.monitor import monitor_batch
 
 # ---------------------------------------------------------------------------
 # The reference's defaults (training flags and eval settings).
@@ -365,6 +366,13 @@ def q_early_stop(spark, sf_dir):
                     r6("val_loss").alias("val_loss"), big("evals_since").alias("evals_since"), "stopped")
 
 
+def q_monitor(spark, sf_dir):
+    """H7 in its batch form over the whole history (the stream's tables hold the same rows)."""
+    m = monitor_batch(X.history(spark, sf_dir), PATIENCE)
+    return m.select(big("run_id").alias("run_id"), big("it").alias("it"), r6("val_loss").alias("val_loss"),
+                    "improved", big("evals_since").alias("evals_since"), "stopped")
+
+
 def q_throughput(spark, sf_dir):
     t = H.throughput(H.run_summary(_kept(spark, sf_dir)), BATCH_SIZE, BLOCK_SIZE)
     return t.select(big("run_id").alias("run_id"), big("iters").alias("iters"), r6("elapsed").alias("elapsed"),
@@ -581,6 +589,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_requests": q_normalize_requests,
     "best_checkpoint": q_best_checkpoint,
     "early_stop": q_early_stop,
+    "monitor": q_monitor,
     "throughput": q_throughput,
     "report_card": q_report_card,
     "loss_curve": q_loss_curve,

@@ -1,5 +1,6 @@
 """H1/H2/H8 against a plain loop with the training loop's semantics."""
 import math
+import random
 
 import pytest
 
@@ -68,3 +69,63 @@ def test_loss_curve_and_report(spark):
     assert card["iters"] == 1750 and card["best_val"] == 1.5
     assert card["tokens_per_s"] == pytest.approx(1750 * 32 * 64 / 7.0)
     assert card["loss_line"] == "- **loss**: final train 1.6200 / val 1.8000, best val 1.5000"
+
+
+def _random_runs(seed):
+    rnd = random.Random(seed)
+    pick = [NAN, None, 1.0, 1.0, 2.0, 2.5, 3.0, 4.0, 0.5]
+    runs = {r: [rnd.choice(pick) for _ in range(rnd.randrange(1, 30))] for r in range(8)}
+    runs[8] = [5.0 - i / 100 for i in range(60)] + [4.6] * 60  # one long run
+    return runs
+
+
+def _rows(runs):
+    return [(r, 250 * i, v) for r, vals in runs.items() for i, v in enumerate(vals)]
+
+
+def _want(runs, patience):
+    return {(r, *t) for r, vals in runs.items()
+            for t in _loop([NAN if v is None else v for v in vals], patience)}
+
+
+@pytest.mark.parametrize("patience,evals", [(0, 3), (4, 1), (4, 7)])
+def test_one_scan_over_chunks(spark, monkeypatch, patience, evals):
+    """Chunks of 1, 3 and 7 evals, NaN, null and equal losses, against the loop."""
+    monkeypatch.setattr(H, "IT_CHUNK", 250 * evals)
+    runs = _random_runs(patience + evals)
+    df = spark.createDataFrame(_rows(runs), "run_id long, it int, val_loss double")
+    got = {(r["run_id"], r["it"], r["improved"], r["evals_since"], r["stopped"])
+           for r in H.early_stop(df, patience).collect()}
+    assert got == _want(runs, patience)
+
+
+def test_monitor_batches_continue_from_state(spark, monkeypatch):
+    """Micro-batches with a state table joined in give the rows of the whole history."""
+    from corpusloom.streaming import monitor as M
+    monkeypatch.setattr(H, "IT_CHUNK", 500)
+    runs = _random_runs(11)
+    rows = _rows(runs)
+    got, state = set(), None
+    for lo, hi in ((0, 1500), (1500, 2000), (2000, 10 ** 6)):
+        df = spark.createDataFrame([x for x in rows if lo <= x[1] < hi], "run_id long, it int, val_loss double")
+        out = M.monitor_batch(df, 4, state)
+        got |= {(r["run_id"], r["it"], r["improved"], r["evals_since"], r["stopped"]) for r in out.collect()}
+        kept = M.next_state(out, state).collect()
+        state = spark.createDataFrame(kept, "run_id long, best double, since long, stopped boolean")
+    assert got == _want(runs, 4)
+
+
+def test_monitor_tables_stream(spark, tmpdir_path):
+    """The stream of tables, one file a micro-batch, equals the batch form."""
+    from corpusloom.streaming import monitor as M
+    runs = {r: [v for v in vals if v is not None] for r, vals in _random_runs(3).items()}
+    rows = _rows(runs)
+    for b, (lo, hi) in enumerate(((0, 2000), (2000, 10 ** 6))):
+        df = spark.createDataFrame([x for x in rows if lo <= x[1] < hi], "run_id long, it int, val_loss double")
+        df.coalesce(1).write.parquet(f"{tmpdir_path}/in/{b}")
+        stream = (spark.readStream.schema("run_id long, it int, val_loss double")
+                  .option("recursiveFileLookup", "true").parquet(f"{tmpdir_path}/in"))
+        M.monitor_tables(stream, 4, f"{tmpdir_path}/out", f"{tmpdir_path}/ck").awaitTermination()
+    got = {(r["run_id"], r["it"], r["improved"], r["evals_since"], r["stopped"])
+           for r in spark.read.parquet(f"{tmpdir_path}/out/rows").collect()}
+    assert got == _want(runs, 4)
