@@ -1,8 +1,7 @@
 """Session-level helpers: the shared checkpoint folder and lineage cuts.
 
-Iterative jobs (BPE rounds, stepwise generation) cut lineage with a reliable
-``DataFrame.checkpoint`` into the folder the cluster names in
-``spark.checkpoint.dir``.  We only read that setting; a folder is set here only
+Iterative jobs (BPE rounds, stepwise generation) cut lineage with Parquet tables
+in the folder the cluster names in ``spark.checkpoint.dir``.  We only read that setting; a folder is set here only
 when none is configured (local tests and benches), never a machine-local
 folder on a real cluster.
 """
