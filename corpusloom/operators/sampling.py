@@ -95,20 +95,30 @@ def sample_next(dist: DataFrame, keys: Sequence[str], temperature: float, k: int
 # F8: requests
 # ---------------------------------------------------------------------------
 _INTEGER_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1  # whole numbers beyond 64 bits count as the nearest of these
 
 
-def _field(value, kind, name: str, whole: bool):
-    """(number, bad) of a JSON field: numbers and booleans count (whole ones cut toward zero), and strings that
-    are written as such a number; null, arrays and objects are bad.  A missing field is null and not bad."""
-    path, typ = F.lit(f"$.{name}"), "bigint" if whole else "double"
-    text = F.try_variant_get(value, path, "string")
-    number = F.try_variant_get(value, path, "double")
-    parsed = F.when(text.rlike(_INTEGER_TEXT), F.regexp_replace(F.trim(text), "[_+]", "")) if whole else F.trim(text)
-    plain = F.coalesce(F.try_variant_get(value, path, "bigint"), number.try_cast(typ)) if whole else number
-    out = (F.when(kind == "BOOLEAN", F.try_variant_get(value, path, "boolean").cast("int").cast(typ))
-           .when(kind == "STRING", parsed.try_cast(typ))
-           .when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), plain))
-    return out, kind.isNotNull() & out.isNull()
+def _whole(number: Column) -> Column:
+    """A finite double cut toward zero; NaN and infinite ones are null."""
+    return (F.when(F.isnan(number) | (F.abs(number) == float("inf")), F.lit(None))
+            .when(number >= 2.0 ** 63, F.lit(_MOST)).when(number <= -2.0 ** 63, F.lit(_LEAST))
+            .otherwise(number.try_cast("bigint")))
+
+
+def _field(name: str, whole: bool) -> Column:
+    """The number of a JSON field, read from its columns: numbers and booleans count (whole ones cut toward zero), and
+    strings that are written as such a number; null for a missing field and for all others."""
+    kind, text, number = (F.col(f"__{c}_{name}") for c in ("kind", "text", "number"))
+    if whole:
+        digits = F.regexp_replace(F.trim(text), "[_+]", "")
+        beyond = F.when(digits.startswith("-"), F.lit(_LEAST)).otherwise(F.lit(_MOST))
+        parsed = F.when(text.rlike(_INTEGER_TEXT), F.coalesce(digits.try_cast("bigint"), beyond))
+        plain = F.coalesce(F.col(f"__long_{name}"), _whole(number))
+    else:
+        parsed, plain = F.trim(text).try_cast("double"), number
+    return (F.when(kind == "BOOLEAN", text.try_cast("boolean").cast("int").cast("bigint" if whole else "double"))
+            .when(kind == "STRING", parsed)
+            .when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), plain))
 
 
 def normalize_requests(requests: DataFrame, body: str = "body") -> DataFrame:
@@ -116,28 +126,41 @@ def normalize_requests(requests: DataFrame, body: str = "body") -> DataFrame:
 
     Empty body = ``{}``; prompt "" -> "\\n"; temperature 0.8; top_k 40;
     max_new_tokens 240 clamped to [1, 600].  Whole numbers are cut toward zero
-    (3.7 -> 3, 1e2 -> 100, true -> 1).  A body that is not a JSON object (blanks
-    are none), a number that is null or not a number, or a prompt that is no
-    string marks the row ``bad``; bad rows carry nulls.
+    (3.7 -> 3, 1e2 -> 100, true -> 1); those beyond 64 bits count as the nearest
+    64-bit number (1e300 -> 600 new tokens).  A body that is not a JSON object
+    (blanks are none), a number that is null or not a number, or a prompt that is
+    no string marks the row ``bad``; bad rows carry nulls.
+
+    A body is parsed once, into a variant column; a second projection reads each
+    field from it, and a third makes the typed values.
     """
-    v = F.try_parse_json(F.when(F.coalesce(body, F.lit("")) == "", F.lit("{}")).otherwise(F.col(body)))
-    kind = lambda name: F.schema_of_variant(F.try_variant_get(v, F.lit(f"$.{name}"), "variant"))
-    bad = ~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    r, vals = requests, {}
-    for key, whole in (("temperature", False), ("top_k", True), ("max_new_tokens", True)):
-        vals[key], wrong = _field(v, kind(key), key, whole)
-        bad = bad | wrong
-    bad = bad | ~F.coalesce(kind("prompt").isin("STRING", "VOID"), F.lit(True))
-    prompt = F.when(kind("prompt").isNull(), F.lit(DEFAULT_PROMPT)).otherwise(
-        F.coalesce(F.try_variant_get(v, F.lit("$.prompt"), "string"), F.lit("")))
+    parsed = requests.select("req_id", F.try_parse_json(
+        F.when(F.coalesce(body, F.lit("")) == "", F.lit("{}")).otherwise(F.col(body))).alias("__v"))
+    get = lambda name, typ: F.try_variant_get("__v", F.lit(f"$.{name}"), typ)
+    kind = lambda name: F.schema_of_variant(get(name, "variant")).alias(f"__kind_{name}")
+    numbers = {"temperature": False, "top_k": True, "max_new_tokens": True}
+    fields = parsed.select(
+        "req_id", F.schema_of_variant("__v").startswith("OBJECT").alias("__object"),
+        kind("prompt"), get("prompt", "string").alias("__text_prompt"),
+        *[c for name in numbers for c in (kind(name), get(name, "string").alias(f"__text_{name}"),
+                                          get(name, "double").alias(f"__number_{name}"))],
+        *[get(name, "bigint").alias(f"__long_{name}") for name, whole in numbers.items() if whole])
+    vals = fields.select(
+        "req_id", "__object", "__kind_prompt", "__text_prompt",
+        *[_field(name, whole).alias(name) for name, whole in numbers.items()],
+        *[F.col(f"__kind_{name}").isNotNull().alias(f"__given_{name}") for name in numbers])
+    bad = ~F.coalesce("__object", F.lit(False)) | ~F.coalesce(F.col("__kind_prompt").isin("STRING", "VOID"), F.lit(True))
+    for name in numbers:
+        bad = bad | (F.col(f"__given_{name}") & F.col(name).isNull())
+    prompt = F.when(F.col("__kind_prompt").isNull(), F.lit(DEFAULT_PROMPT)).otherwise(F.coalesce("__text_prompt", F.lit("")))
     prompt = F.when(prompt == "", F.lit(EMPTY_PROMPT)).otherwise(prompt)
-    n = F.coalesce(vals["max_new_tokens"], F.lit(DEFAULT_MAX_NEW_TOKENS))
-    out = r.withColumn("bad", F.coalesce(bad, F.lit(False)))
+    n = F.coalesce("max_new_tokens", F.lit(DEFAULT_MAX_NEW_TOKENS))
+    out = vals.withColumn("bad", F.coalesce(bad, F.lit(False)))
     good = ~F.col("bad")
     return out.select(
         "req_id",
         F.when(good, prompt).alias("prompt"),
-        F.when(good, F.coalesce(vals["temperature"], F.lit(DEFAULT_TEMPERATURE))).alias("temperature"),
-        F.when(good, F.coalesce(vals["top_k"], F.lit(DEFAULT_TOP_K))).alias("top_k"),
+        F.when(good, F.coalesce("temperature", F.lit(DEFAULT_TEMPERATURE))).alias("temperature"),
+        F.when(good, F.coalesce("top_k", F.lit(DEFAULT_TOP_K))).alias("top_k"),
         F.when(good, F.greatest(F.lit(1), F.least(n, F.lit(MAX_NEW_TOKENS_CAP)))).alias("max_new_tokens"),
         "bad")

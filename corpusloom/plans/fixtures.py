@@ -93,7 +93,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """requests(req_id, body): JSON request bodies built from ``events``:
     temperature = value / 400, top_k = user_id % 50, max_new_tokens = event_id,
     prompt = event_type; key number ``event_id % 5`` is left out (4 = none left
-    out), and bodies of ``event_id % 7 == 6`` are empty."""
+    out), and bodies of ``event_id % 7 == 6`` are empty.  Before that, bodies of
+    ``event_id % 11 == 3`` are no valid request (cut off, an array, a null number,
+    a prompt that is a number, by ``user_id % 4``), and those of ``event_id % 13 == 4``
+    hold a number beyond 64 bits and one written as a string."""
     e = read_table(spark, sf_dir, "events")
     m = F.col("event_id") % 5
     fields = [
@@ -102,7 +105,14 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(m != 2, F.col("user_id") % 50).alias("top_k"),
         F.when(m != 3, F.col("event_id")).alias("max_new_tokens"),
     ]
-    body = F.when(F.col("event_id") % 7 == 6, F.lit("")).otherwise(F.to_json(F.struct(*fields)))
+    which = F.col("user_id") % 4
+    broken = (F.when(which == 0, F.concat(F.lit('{"top_k": '), F.col("event_id").cast("string")))
+              .when(which == 1, F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit("]")))
+              .when(which == 2, F.lit('{"top_k": null}'))
+              .otherwise(F.concat(F.lit('{"prompt": '), F.col("event_id").cast("string"), F.lit("}"))))
+    odd = F.concat(F.lit('{"max_new_tokens": 1e300, "top_k": " '), (F.col("user_id") % 50).cast("string"), F.lit('"}'))
+    body = (F.when(F.col("event_id") % 11 == 3, broken).when(F.col("event_id") % 13 == 4, odd)
+            .when(F.col("event_id") % 7 == 6, F.lit("")).otherwise(F.to_json(F.struct(*fields))))
     return e.select(F.col("event_id").alias("req_id"), body.alias("body"))
 
 

@@ -320,13 +320,14 @@ UNION ALL
 SELECT CAST(prompt_id AS BIGINT), CAST({Q.GEN_STEPS} AS BIGINT), CAST(NULL AS VARCHAR), true FROM prompts"""
 
 SQL["normalize_requests"] = """
-WITH e AS (SELECT *, event_id % 7 = 6 AS empty, event_id % 5 AS m FROM events)
+WITH e AS (SELECT *, event_id % 11 = 3 AS bad, event_id % 13 = 4 AS odd, event_id % 7 = 6 AS empty, event_id % 5 AS m FROM events)
 SELECT CAST(event_id AS BIGINT) AS req_id,
-  CASE WHEN empty OR m = 0 OR event_type IS NULL OR event_type = '' THEN chr(10) ELSE event_type END AS prompt,
-  round(CASE WHEN empty OR m = 1 THEN 0.8 ELSE coalesce(value / 400.0, 0.8) END, 6) AS temperature,
-  CAST(CASE WHEN empty OR m = 2 THEN 40 ELSE coalesce(user_id % 50, 40) END AS BIGINT) AS top_k,
-  CAST(greatest(1, least(CASE WHEN empty OR m = 3 THEN 240 ELSE coalesce(event_id, 240) END, 600)) AS BIGINT) AS max_new_tokens,
-  false AS bad
+  CASE WHEN bad THEN NULL WHEN odd OR empty OR m = 0 OR event_type IS NULL OR event_type = '' THEN chr(10) ELSE event_type END AS prompt,
+  round(CASE WHEN bad THEN NULL WHEN odd OR empty OR m = 1 THEN 0.8 ELSE coalesce(value / 400.0, 0.8) END, 6) AS temperature,
+  CAST(CASE WHEN bad THEN NULL WHEN odd THEN user_id % 50 WHEN empty OR m = 2 THEN 40 ELSE coalesce(user_id % 50, 40) END AS BIGINT) AS top_k,
+  CAST(CASE WHEN bad THEN NULL WHEN odd THEN 600
+    ELSE greatest(1, least(CASE WHEN empty OR m = 3 THEN 240 ELSE coalesce(event_id, 240) END, 600)) END AS BIGINT) AS max_new_tokens,
+  bad
 FROM e"""
 
 # ----------------------------------------------------------------------------- H
