@@ -7,9 +7,6 @@ def test_bodies(spark):
         '{"top_k": 3.7}': ("top_k", 3), '{"max_new_tokens": 100.0}': ("max_new_tokens", 100), '{"max_new_tokens": 1e2}': ("max_new_tokens", 100),
         '{"max_new_tokens": true}': ("max_new_tokens", 1), '{"top_k": "12"}': ("top_k", 12), '{"temperature": "0.5"}': ("temperature", 0.5),
         '{"temperature": 2}': ("temperature", 2.0), '{"max_new_tokens": 9999}': ("max_new_tokens", 600), '{"max_new_tokens": -3}': ("max_new_tokens", 1),
-        '{"max_new_tokens": 1e300}': ("max_new_tokens", 600), '{"max_new_tokens": -1e300}': ("max_new_tokens", 1),
-        '{"max_new_tokens": 99999999999999999999}': ("max_new_tokens", 600), '{"max_new_tokens": "-99999999999999999999"}': ("max_new_tokens", 1),
-        '{"top_k": 1e300}': ("top_k", 2 ** 63 - 1), '{"top_k": " 1_000 "}': ("top_k", 1000), '{"temperature": true}': ("temperature", 1.0),
         "": ("top_k", 40), '{"prompt": "x"}': ("prompt", "x"),
         '{"top_k": "3.5"}': None, '{"top_k": null}': None, '{"prompt": 5}': None, '{"prompt": {"a": 1}}': None, "  ": None,
         "[1]": None, '{"top_k": 3': None, '{"top_k": [1]}': None, "7": None,
@@ -21,9 +18,3 @@ def test_bodies(spark):
         assert r["bad"] == (want is None), (keys[r["req_id"]], r)
         if want:
             assert r[want[0]] == want[1], keys[r["req_id"]]
-
-
-def test_a_body_is_parsed_once(spark):
-    df = spark.range(10).selectExpr("id AS req_id", "'{\"top_k\": ' || id || '}' AS body")
-    plan = normalize_requests(df)._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert plan.count("parsejson") == 1, plan
