@@ -122,10 +122,20 @@ def table_manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
 
 
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """A5 (files): name and size of each file via the ``binaryFile`` source;
-    only ``path``/``length`` are selected, so file contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-            .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("bytes")))
+    """A5 (files): name and size of each artifact in ``path``, a file or a folder of part files (their sizes summed).
+
+    Sizes come from the ``binaryFile`` source; only ``path``/``length`` are selected, so file contents are not read.
+    Hidden files (``_SUCCESS``) do not count, as in Spark's other readers.
+    """
+    at, fs = _hadoop(spark, path)
+    found = spark._jvm.org.apache.hadoop.fs.Path(at, pattern)
+    if not fs.globStatus(found):
+        return spark.createDataFrame([], "name string, bytes long")
+    root = fs.makeQualified(at).toString().rstrip("/")
+    name = F.substring_index(F.substring("path", len(root) + 2, 1 << 30), "/", 1)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(found.toString())
+            .select(name.alias("name"), F.col("length").alias("bytes")).where(~F.col("name").rlike("^[_.]"))
+            .groupBy("name").agg(F.sum("bytes").alias("bytes")))
 
 
 def release_manifest(spark: SparkSession, manifest: DataFrame, required: list[str]) -> DataFrame:

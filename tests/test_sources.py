@@ -128,3 +128,27 @@ def test_pieces_keep_documents_without_source_or_text(spark):
     assert report[None] == sum(len(r["body"]) for r in got)
     corpus = assemble_corpus(pieces_of(docs)).orderBy("char_off").collect()
     assert [r["char_off"] for r in corpus] == [sum(len(x["text"]) for x in corpus[:i]) for i in range(6)]
+
+
+def test_release_files_counts_tables_stored_as_folders(spark, tmp_path):
+    import shutil
+
+    from corpusloom.plans.queries import q_release_files
+    from corpusloom.sources.artifacts import file_manifest
+    from corpusloom.sources.tables import TABLES
+    for t in TABLES:
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    whole = {r["name"]: r for r in q_release_files(spark, str(tmp_path)).collect()}
+    assert {n: r["bytes"] for n, r in whole.items()} == {t: (tmp_path / f"{t}.parquet").stat().st_size for t in TABLES}
+    folder = tmp_path / "folders"
+    folder.mkdir()
+    for t in TABLES:
+        if t != "documents":
+            shutil.copy(tmp_path / f"{t}.parquet", folder)
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    docs.repartition(3).write.parquet(str(folder / "documents.parquet"))  # with _SUCCESS and check sums beside three parts
+    for where in (str(folder), f"file://{folder}/"):
+        got = {r["name"]: r for r in q_release_files(spark, where).collect()}
+        assert {n: (r["rows"], r["checksum"]) for n, r in got.items()} == {n: (r["rows"], r["checksum"]) for n, r in whole.items()}
+        assert got["documents"]["bytes"] == sum(f.stat().st_size for f in (folder / "documents.parquet").glob("part-*"))
+    assert file_manifest(spark, str(folder), "*.nothing").count() == 0
