@@ -7,6 +7,11 @@ proven bound that lets us broadcast it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,16 +54,45 @@ def char_encode(packed: DataFrame, vocab: DataFrame, on_unknown: str = "error")
     return j.select("doc_id", F.col("pos").cast("int").alias("pos"), "id")
 
 
+def _runs(key: str):
+    """Map side of ``char_decode``: neighbouring rows of one key with consecutive positions become one row (key, pos, n, text).
+
+    Tokens other than single characters are runs of their own, so a run of n > 1 rows has n characters."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            if not b.num_rows:
+                continue
+            keys, pos, token = b.column(0), b.column(1), pc.fill_null(b.column(2), "")
+            code = keys.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            at = pc.fill_null(pos, -1).to_numpy().astype(np.int64)
+            one = (pc.utf8_length(token).to_numpy() == 1) & (at >= 0)
+            same = (code[1:] == code[:-1]) & (at[1:] == at[:-1] + 1) & one[1:] & one[:-1]
+            first = np.flatnonzero(np.r_[True, ~same])
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[first, len(at)], pa.int32()), token), "")
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(first)), pos.take(pa.array(first)).cast(pa.int64()),
+                                              pa.array(np.diff(np.r_[first, len(at)]), pa.int32()), text], [key, "pos", "n", "text"])
+
+    return run
+
+
 def char_decode(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(key, pos, id)`` -> ``(key, text)``: tokens in position order, joined.
 
+    Rows that stand beside each other are joined before the shuffle, which so carries text and not a row per token.
+    Runs that overlap (a key that was encoded twice) are cut into tokens again and ordered by (pos, token).
     One output row per key, so one group holds exactly the characters of one
     output string (a row-sized, not table-sized, group).
     """
-    j = tokens.join(F.broadcast(vocab), "id", "left")
-    return j.groupBy(key).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))),
-                                 lambda x: x["token"]), "").alias("text"))
+    j = tokens.join(F.broadcast(vocab), "id", "left").select(key, "pos", "token")
+    kind = tokens.schema[key].dataType.simpleString()
+    runs = (j.mapInArrow(_runs(key), f"`{key}` {kind}, pos long, n int, text string")
+            .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "n", "text"))).alias("runs")))
+    then = F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0)))
+    apart = F.forall(F.zip_with(F.slice("runs", 1, F.size("runs") - 1), then, lambda x, y: F.coalesce(x["pos"] + x["n"] <= y["pos"], F.lit(False))), lambda x: x)
+    cut = F.flatten(F.transform("runs", lambda r: F.transform(
+        F.when(r["n"] > 1, F.split(r["text"], "", -1)).otherwise(F.array(r["text"])), lambda c, i: F.struct((r["pos"] + i).alias("pos"), c.alias("token")))))
+    return runs.select(key, F.array_join(F.transform(F.when(apart, F.transform("runs", lambda r: F.struct(r["pos"], r["text"].alias("token"))))
+                                                     .otherwise(F.array_sort(cut)), lambda x: x["token"]), "").alias("text"))
 
 
 def tokenizer_stats(vocab_size: int, per_doc: DataFrame, block_size: int, kind: str = "char",
