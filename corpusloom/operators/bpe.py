@@ -2,9 +2,10 @@
 
 Fitting keeps the corpus distributed as blocks of *distinct pieces* with
 their counts.  A round is one Arrow pass over flat symbol arrays, which merges
-and counts what remains, and one ``groupBy`` sum of those partial counts; the
+and counts what remains (once per task), and one ``groupBy`` sum of those partial counts; the
 driver picks the next merges.  Only bounded data reaches it: the top ranked
-pairs of the round and the vocabulary itself (at most the target size).
+pairs of the round, those of their neighbours that can change the choice, and
+the vocabulary itself (at most the target size).
 
 Exact batching: for the pairs ranked next, the pass also counts each neighbour.
 From these the driver follows bounds of the counts through several merges and
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,7 +138,9 @@ def pair_counts(pieces: DataFrame) -> DataFrame:
 # its pieces, each ended by -1, and ``n`` the int64 count of each piece.
 BLOCKS = "ids binary, n binary"
 ROUND = BLOCKS + ", a int, b int, x int, c long"
-PIECES_PER_TASK = 1 << 16
+PIECES_PER_TASK = 1 << 16      # so many pieces make a task worthwhile,
+MOST_PIECES_PER_TASK = 1 << 21  # and so many are the most once every core has a task: a task's counts are shuffled
+SUMMED_AT = 1 << 22            # keys that a task holds before it sums them up
 _END = -1
 _PAIR = -1  # x of a pair's own count; a left neighbour x >= 0, a right neighbour y is -2 - y
 
@@ -177,50 +181,107 @@ def _merged(flat: np.ndarray, a: int, b: int, new: int) -> np.ndarray:
     return np.delete(out, at + 1)
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    uniq, inv = np.unique(keys, return_inverse=True)
-    return uniq, np.bincount(inv, weights=weights, minlength=len(uniq)).astype(np.int64)
+class _Sums:
+    """Weights summed by 64-bit keys, added in arrays."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.weights: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.weights.append(weights)
+        self.size += len(keys)
+        if self.size >= SUMMED_AT:
+            keys, weights = self.total()
+            self.keys, self.weights = [keys], [weights]
+            self.size = len(keys) // 2  # the sums so far count less: they are summed again only when as many keys came
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.keys:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        t = (pa.table({"k": np.concatenate(self.keys), "w": np.concatenate(self.weights)})
+             .group_by("k", use_threads=False).aggregate([("w", "sum")]))
+        return t["k"].to_numpy(), t["w_sum"].to_numpy()
+
+
+def _places(flat: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in ``flat`` one of the sorted ``pairs`` (a << 32 | b) stands, and which."""
+    if not len(pairs):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    (first, i), (second, j) = (np.unique(x, return_inverse=True) for x in (pairs >> 32, pairs & 0xFFFFFFFF))
+    row, col = np.zeros((2, max(int(flat.max()), int(first[-1]), int(second[-1])) + 2), np.int32)  # 0, and the end mark's at last: in no pair
+    row[first], col[second] = np.arange(1, len(first) + 1) * (len(second) + 1), np.arange(1, len(second) + 1)
+    table = np.full((len(first) + 1) * (len(second) + 1), -1, np.int32)
+    table[(i + 1) * (len(second) + 1) + j + 1] = np.arange(len(pairs))
+    which = table[row[flat[:-1]] + col[flat[1:]]]
+    at = np.flatnonzero(which >= 0)
+    return at, which[at].astype(np.int64)
+
+
+def _merge_block(flat: np.ndarray, n: np.ndarray, merges: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The block after ``merges``; pieces that none of them changes are copied, the others follow them."""
+    at, _ = _places(flat, np.sort(np.array([(a << 32) | b for a, b, _ in merges], np.int64)))
+    if not len(at):  # a merge of a new symbol needs another one before it
+        return flat, n
+    ends = np.flatnonzero(flat == _END)
+    hit = np.zeros(len(flat), bool)
+    hit[at] = True
+    changed = np.logical_or.reduceat(hit, np.r_[0, ends[:-1] + 1])
+    inside = np.repeat(changed, np.diff(ends, prepend=-1))
+    part = flat[inside]
+    for merge in merges:
+        part = _merged(part, *merge)
+    return np.concatenate([flat[~inside], part]), np.concatenate([n[~changed], n[changed]])
 
 
 def _round_fn(translate: np.ndarray | None, merges: list[tuple[int, int, int]], watched: list[tuple[int, int]]):
     """One pass over the blocks: merge, drop pieces of one symbol, count the pairs that remain and the
-    neighbours of the ``watched`` pairs.  Gives the new blocks and the counts as rows of one table."""
+    neighbours of the ``watched`` pairs.  Gives the new blocks and, beside a task's last block, the counts of the
+    whole task as rows of one table."""
     watch = np.sort(np.array([(a << 32) | b for a, b in watched], np.int64))
 
+    def rows(flat, n, a, b, x, c):
+        none = [None] * len(a)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([flat.astype(np.int32).tobytes(), *none], pa.binary()), pa.array([n.tobytes(), *none], pa.binary())]
+            + [pa.concat_arrays([pa.nulls(1, t), pa.array(v, t)])
+               for v, t in ((a, pa.int32()), (b, pa.int32()), (x, pa.int32()), (c, pa.int64()))],
+            ["ids", "n", "a", "b", "x", "c"])
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, left, right, block = _Sums(), _Sums(), _Sums(), None
         for batch in it:
-            for ids, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                flat, n = np.frombuffer(ids, np.int32), np.frombuffer(counts, np.int64)
+            for ids, counts in zip(batch.column(0), batch.column(1)):
+                flat, n = np.frombuffer(ids.as_buffer(), np.int32), np.frombuffer(counts.as_buffer(), np.int64)
                 if translate is not None:
                     flat = translate[flat]
-                for merge in merges:
-                    flat = _merged(flat, *merge)
+                flat, n = _merge_block(flat, n, merges)
                 length = np.diff(np.flatnonzero(flat == _END), prepend=-1)  # with the end mark
                 long = length > 2
-                flat, n, length = flat[np.repeat(long, length)], n[long], length[long]
-                if not len(flat):
+                if not long.any():
                     continue
+                flat, n, length = flat[np.repeat(long, length)], n[long], length[long]
                 w = np.repeat(n, length)
                 at = np.flatnonzero((flat[:-1] != _END) & (flat[1:] != _END))
-                key = (flat[at].astype(np.int64) << 32) | flat[at + 1]
-                pairs, c = _summed(key, w[at])
-                cols = [(pairs >> 32, pairs & 0xFFFFFFFF, np.full(len(pairs), _PAIR), c)]
-                near = np.searchsorted(watch, key)
-                ok = near < len(watch)
-                ok[ok] = watch[near[ok]] == key[ok]
-                at, near = at[ok], near[ok]
-                for side, other in ((0, np.where(at > 0, flat[at - 1], _END)), (1, flat[at + 2])):
+                own.add((flat[at].astype(np.int64) << 32) | flat[at + 1], w[at])
+                at, which = _places(flat, watch)
+                for side, other in ((left, np.where(at > 0, flat[at - 1], _END)), (right, flat[at + 2])):
                     there = other != _END
-                    k, c = _summed((near[there] << 32) | other[there], w[at[there]])
-                    pair, x = watch[k >> 32], k & 0xFFFFFFFF
-                    cols.append((pair >> 32, pair & 0xFFFFFFFF, -2 - x if side else x, c))
-                a, b, x, c = (np.concatenate(z) for z in zip(*cols))
-                none = [None] * len(a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([flat.astype(np.int32).tobytes(), *none], pa.binary()), pa.array([n.tobytes(), *none], pa.binary())]
-                    + [pa.concat_arrays([pa.nulls(1, t), pa.array(v, t)])
-                       for v, t in ((a, pa.int32()), (b, pa.int32()), (x, pa.int32()), (c, pa.int64()))],
-                    ["ids", "n", "a", "b", "x", "c"])
+                    side.add((which[there] << 32) | other[there], w[at[there]])
+                if block is not None:
+                    none = np.zeros(0, np.int64)
+                    yield rows(*block, none, none, none, none)
+                block = flat, n
+        if block is not None:
+            pairs, c = own.total()
+            cols = [(pairs >> 32, pairs & 0xFFFFFFFF, np.full(len(pairs), _PAIR), c)]
+            for side, sums in ((0, left), (1, right)):
+                k, c = sums.total()
+                pair, x = watch[k >> 32] if len(k) else k, k & 0xFFFFFFFF
+                cols.append((pair >> 32, pair & 0xFFFFFFFF, -2 - x if side else x, c))
+            yield rows(*block, *(np.concatenate(z) for z in zip(*cols)))
 
     return run
 
@@ -298,6 +359,26 @@ def _choose(top: list[tuple[int, int, int]], near: dict[tuple[int, int], list[tu
     return out
 
 
+def _neighbours(sums: DataFrame, top: list[tuple[int, int, int]], watched: set[tuple[int, int]],
+                floor: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """The neighbours of the watched pairs in ``top`` that ``_choose`` needs.
+
+    A neighbour that counts ``floor`` at most, and whose own pair with the symbol beside it is not in ``top``,
+    stays behind: neither that pair nor the one made with the new symbol can count more than ``floor``.
+    """
+    near = {(a, b): [] for a, b, _ in top if (a, b) in watched}
+    if not near:
+        return near
+    keys = lambda pairs: ", ".join(f"{(a << 32) | b}L" for a, b in pairs)
+    rows = (sums.where(F.col("x") != _PAIR).where(F.expr(f"(shiftleft(bigint(a), 32) | b) IN ({keys(near)})"))
+            .where((F.col("c") > floor)
+                   | F.expr(f"if(x >= 0, shiftleft(bigint(x), 32) | a, shiftleft(bigint(b), 32) | (-2 - x)) IN ({keys((a, b) for a, b, _ in top)})"))
+            .select("a", "b", "x", "c").toArrow())
+    for a, b, x, c in zip(*(rows.column(i).to_pylist() for i in range(4))):
+        near[a, b].append((x, c))
+    return near
+
+
 def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 1024, max_rounds: int | None = None,
             checkpoint_every: int = 16, watch: int = 256) -> tuple[DataFrame, DataFrame, dict]:
     """Fit byte-level BPE on ``pieces(piece, n)`` up to ``vocab_size``.
@@ -310,7 +391,9 @@ def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 1024, max_rounds: i
     """
     spark = pieces.sparkSession
     pieces = cut_lineage(pieces.select("piece", "n"))
-    tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
+    distinct = pieces.count()
+    tasks = max(1, min(-(-distinct // PIECES_PER_TASK),
+                       max(spark.sparkContext.defaultParallelism, -(-distinct // MOST_PIECES_PER_TASK))))
     cur = cut_lineage(pieces.repartition(tasks).mapInArrow(_to_blocks, BLOCKS))
     seen = [r["byte"] for r in cur.select("ids").mapInArrow(_bytes_seen, "byte int").distinct().collect()]
     tokens = [UNK] + sorted(_SYM[b] for b in seen)
@@ -324,19 +407,17 @@ def fit_bpe(pieces: DataFrame, vocab_size: int, top_n: int = 1024, max_rounds: i
     rounds, prev = 0, None
     while len(tokens) < vocab_size and (max_rounds is None or rounds < max_rounds):
         out = cur.mapInArrow(_round_fn(translate, batch, watched), ROUND).persist()
-        own = F.col("x") == _PAIR
-        ranked = (out.where("a IS NOT NULL").select("a", "b", "x", "c").repartition("a", "b")
-                  .groupBy("a", "b", "x").agg(F.sum("c").alias("c"))
-                  .groupBy("a", "b").agg(F.max(F.when(own, F.col("c"))).alias("c"),
-                                         F.collect_list(F.when(~own, F.struct("x", "c"))).alias("near"))
+        sums = (out.where("a IS NOT NULL").groupBy("a", "b", "x").agg(F.sum("c").alias("c"))).persist()
+        ranked = (sums.where(F.col("x") == _PAIR).select("a", "b", "c")
                   .orderBy(F.col("c").desc(), "a", "b").limit(top_n).collect())
         if prev is not None:  # ``out`` is materialised now; drop the round before
             prev.unpersist()
         prev, translate = out, None
         top = [(r["a"], r["b"], r["c"]) for r in ranked]
-        known = set(watched)
-        near = {(r["a"], r["b"]): [(x, c) for x, c in r["near"]] for r in ranked if (r["a"], r["b"]) in known}
-        batch = _choose(top, near, top[-1][2] if len(top) == top_n else 0, tokens, index, vocab_size - len(tokens))
+        floor = top[-1][2] if len(top) == top_n else 0
+        near = _neighbours(sums, top, set(watched), floor)
+        sums.unpersist()
+        batch = _choose(top, near, floor, tokens, index, vocab_size - len(tokens))
         if not batch:
             break
         for a, b, new in batch:
@@ -401,33 +482,111 @@ class Codec:
         return bs.decode("utf-8", errors="replace")
 
 
-MEMO = 1 << 16  # pieces whose ids a task remembers
+AT_ONCE = 1 << 20  # pieces that a task looks up at a time
+WIDTHS = (8, 16, 32)  # pieces of at most so many bytes are encoded together
+
+
+def _merge_rows(ids: np.ndarray, size: np.ndarray, keys: np.ndarray, rank: np.ndarray, made: np.ndarray) -> None:
+    """Encodes pieces in place, a row of ``ids`` each, padded with -1: in every step each row merges the leftmost
+    of its pairs of least rank.  ``keys`` are the sorted pairs (a << 32 | b) of the merges, ``made`` their results."""
+    none = len(keys)
+
+    def find(a, b):
+        key = (a.astype(np.int64) << 32) | b
+        at = np.minimum(np.searchsorted(keys, key), none - 1)
+        return np.where(keys[at] == key, rank[at], none)
+
+    left = np.arange(len(ids))
+    cur, order, cols = ids, np.argsort(rank), np.arange(ids.shape[1])
+    ranks = find(cur[:, :-1], cur[:, 1:])
+    while len(left):
+        at = ranks.argmin(axis=1)
+        best = ranks[np.arange(len(at)), at]
+        go = best < none
+        ids[left[~go]] = cur[~go]
+        left, cur, ranks, at, best = left[go], cur[go], ranks[go], at[go], best[go]
+        if not len(left):
+            break
+        i = np.arange(len(left))
+        cur[i, at] = made[order[best]]
+        after = np.minimum(cols + (cols > at[:, None]), len(cols) - 1)
+        cur, ranks = np.take_along_axis(cur, after, 1), np.take_along_axis(ranks, np.minimum(after[:, :-1], len(cols) - 2), 1)
+        size[left] -= 1
+        cur[:, -1], ranks[:, -1] = -1, none  # a row became shorter
+        here, nxt, prev = cur[i, at], np.minimum(at + 1, len(cols) - 1), np.maximum(at - 1, 0)
+        inner = at < len(cols) - 1
+        ranks[i[inner], at[inner]] = find(here[inner], cur[i, nxt][inner])
+        inner = at > 0
+        ranks[i[inner], prev[inner]] = find(cur[i, prev][inner], here[inner])
+
+
+def _encode_many(codec: Codec, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all ``pieces``, one after the other, and the number of ids of each."""
+    pieces = pieces.cast(pa.binary())
+    off = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset:pieces.offset + len(pieces) + 1].astype(np.int64)
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+    length, unk = np.diff(off), codec.index[UNK]
+    symbol = np.array([codec.symbol[c] for c in _SYM], np.int32)
+    pairs = np.array([(a << 32) | b for a, b in codec.ranks] or [-1 << 62], np.int64)  # without merges a pair that never comes
+    rank, made = np.array(list(codec.ranks.values()) or [(0, 0)], np.int64).T
+    order = np.argsort(pairs)
+    keys, made = pairs[order], made[order].astype(np.int32)
+    rank = np.argsort(np.argsort(rank[order]))  # dense, as a key may have been listed twice
+    size, found, low = length.copy(), [], 1
+    special = np.flatnonzero(length == len(UNK))
+    special = special[[pieces[int(i)].as_py() == UNK.encode() for i in special]] if len(special) else special
+    for wide in WIDTHS:
+        rows = np.setdiff1d(np.flatnonzero((length >= low) & (length <= wide)), special, assume_unique=True)
+        low, cols = wide + 1, np.arange(wide)
+        there = cols < length[rows, None]
+        ids = np.full(there.shape, -1, np.int32)
+        ids[there] = symbol[data[(off[rows, None] + cols)[there]]]
+        n = size[rows]
+        _merge_rows(ids, n, keys, rank, made)
+        size[rows] = n
+        found.append((rows, ids[cols < n[:, None]]))
+    others = np.concatenate([np.flatnonzero(length >= low), special])
+    each = [codec.encode_piece(pieces[int(i)].as_py().decode("utf-8")) for i in others]
+    size[others] = [len(e) for e in each]
+    found.append((others, np.fromiter((i for e in each for i in e), np.int32)))
+    out = np.empty(int(size.sum()), np.int32)
+    start = np.cumsum(size) - size
+    for rows, ids in found:
+        n = size[rows]
+        out[np.arange(len(ids)) + np.repeat(start[rows] - (np.cumsum(n) - n), n)] = ids
+    return np.where(out < 0, unk, out).astype(np.int32), size
+
+
+def _lookup(codec: Codec, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all ``pieces``, one after the other, and where each piece's ids end; equal pieces are encoded once."""
+    known = pieces.dictionary_encode()
+    ids, size = _encode_many(codec, known.dictionary)
+    piece = known.indices.to_numpy()
+    ends = np.cumsum(size[piece])
+    start = (np.cumsum(size) - size)[piece] - (ends - size[piece])  # from a place in the output to one in ``ids``
+    return ids[np.arange(ends[-1]) + np.repeat(start, size[piece])], ends
 
 
 def bpe_encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
     """Ids of each text (pieces by the native pre-tokenizer, merges by rank
-    over a linked list with a heap, in an Arrow-batched pandas UDF with a per-task piece memo)."""
+    in an Arrow UDF that encodes the different pieces of a batch together, long ones over a linked list with a heap)."""
     # plain lists travel in the broadcast; the codec is rebuilt per task
     bc = docs.sparkSession.sparkContext.broadcast((list(codec.tokens), list(codec.merges)))
 
-    @F.pandas_udf("array<int>")
-    def enc(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def enc(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = Codec(*bc.value)
-        memo: dict[str, list[int]] = {}
-        for s in it:
-            res = []
-            for pieces in s:
-                ids: list[int] = []
-                for p in pieces:
-                    e = memo.get(p)
-                    if e is None:
-                        e = c.encode_piece(p)
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        memo[p] = e
-                    ids.extend(e)
-                res.append(ids)
-            yield pd.Series(res)
+        for col in it:
+            off = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
+            pieces, parts, rows, done = col.flatten(), [], [np.zeros(1, np.int64)], 0
+            for i in range(0, len(pieces), AT_ONCE):
+                ids, ends = _lookup(c, pieces.slice(i, AT_ONCE))
+                parts.append(ids)
+                rows.append(ends + done)
+                done += int(ends[-1])
+            at = np.concatenate(rows)[off]
+            ids = pa.array(np.concatenate([np.zeros(0, np.int32), *parts]))
+            yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), ids, mask=col.is_null())
 
     return docs.withColumn(out, enc(split_special(F.col(text))))
 

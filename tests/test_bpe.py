@@ -233,3 +233,35 @@ def test_native_decode_replaces_broken_utf8_like_python(spark):
     for i, ids in rows[:400]:
         assert got[i] == bytes(x - 1 for x in ids).decode("utf-8", "replace")
     assert got[400] is None and got[401] == "A" and got[402] == "A"
+
+
+def test_a_fit_sends_few_neighbours_and_one_count_a_task(spark, monkeypatch):
+    pieces = {"abcab": 7, "bcabd": 6, "aaab": 5, "aaa": 3, "dcba": 5, "abab": 2, "cdcd": 4, "ddd": 3, "acbd": 2}
+    sent = []
+    whole = BP._neighbours
+
+    def seen(sums, top, watched, floor):
+        near = whole(sums, top, watched, floor)
+        sent.append((sum(map(len, near.values())), sums.where("x != -1").count()))
+        return near
+
+    monkeypatch.setattr(BP, "_neighbours", seen)
+    df = spark.createDataFrame(list(pieces.items()), "piece string, n long")
+    _, merges, _ = BP.fit_bpe(df, 5 + 14, top_n=4, watch=3)
+    assert [(r["left"], r["right"]) for r in merges.orderBy("rank").collect()] == _one_at_a_time(pieces, 14)
+    assert sum(a for a, _ in sent) < sum(b for _, b in sent)
+    batch = pa.RecordBatch.from_arrays([pa.array(list(pieces)), pa.array(list(pieces.values()), pa.int64())], ["piece", "n"])
+    blocks = list(BP._to_blocks(iter([batch.slice(0, 4), batch.slice(4)])))
+    out = list(BP._round_fn(np.arange(257, dtype=np.int32) * (np.arange(257) < 256) - (np.arange(257) == 256), [], [])(iter(blocks)))
+    counts = [(r["a"], r["b"]) for o in out for r in o.to_pylist() if r["a"] is not None]
+    assert len(counts) == len(set(counts)) and sum(o.num_rows - o.column("a").null_count for o in out) == len(counts)
+
+
+@given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=4), st.text("abc", min_size=1, max_size=4)), max_size=12, unique=True),
+       st.lists(st.text("abcdé", min_size=1, max_size=40), max_size=20))
+@settings(max_examples=100, deadline=None)
+def test_pieces_encoded_together_equal_one_by_one(merges, pieces):
+    tokens = list(dict.fromkeys(["<unk>", "a", "b", "c"] + [x for a, b in merges for x in (a, b, a + b)]))
+    codec, pieces = BP.Codec(tokens, merges), ["<unk>", "<unk", *pieces, *pieces[:3]]
+    ids, ends = BP._lookup(codec, pa.array(pieces))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [codec.encode_piece(p) for p in pieces]
