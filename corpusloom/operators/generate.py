@@ -25,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -35,6 +36,7 @@ from corpusloom.operators import sampling as SM
 from corpusloom.session import cut_lineage
 
 KEY = ["ctx", "t", "k"]
+AT_ONCE = 512  # prompts that a task continues together, whatever the size of an Arrow batch
 TABLE_CELLS = 2_000_000  # a sampling table of at most so many cells (16 bytes each) is broadcast
 
 
@@ -110,10 +112,9 @@ def _in_tasks(prompts: DataFrame, table: DataFrame, vocab: DataFrame, steps: int
     def run(batches):
         tokens, best, kept, cum, last = bc.value
         slot = {t: i for i, t in enumerate(tokens)}
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ends = [t[-1] if t else None for t in b.column("toks").to_pylist()]
+        for b in (x.slice(i, AT_ONCE) for x in batches for i in range(0, x.num_rows, AT_ONCE)):
+            size = pc.fill_null(pc.list_value_length(b.column("toks")), 0).to_numpy()
+            ends = b.column("toks").flatten().take(pa.array(np.cumsum(size) - 1, pa.int64(), mask=size == 0)).to_pylist()
             at = np.array([len(tokens) + 1 if t is None else slot.get(t, len(tokens)) for t in ends], np.int64)
             keys, want = b.column("__key").to_pylist(), np.asarray(b.column("__n").to_pylist(), np.int64)
             made = np.zeros((b.num_rows, int(want.max(initial=0))), np.int64)

@@ -127,3 +127,24 @@ def test_candidates_hold_the_likeliest(spark):
     got = [sorted(map(repr, G.sampling_tables(counts, keys, vocab, 1.0, vocab_size=len(chars), likeliest=k).collect()))
            for k in (3, None)]
     assert got[0] == got[1] and len(got[0]) == len(chars) + 2
+
+
+def test_tasks_continue_few_prompts_at_a_time(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators import generate as G
+    from corpusloom.operators import ngram as E
+    rows = [([], "a", 3), ([], "b", 2), ([], "c", 1), (["a"], "b", 2), (["b"], "a", 1), (["b"], "c", 1)]
+    counts = E.fit_counts(spark.createDataFrame(rows, "ctx array<string>, tgt string, m long").where("size(ctx) = 1"), weight="m")
+    vocab = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "id int, token string")
+    toks = [None, [], ["a"], ["c", "b"], ["z"]]
+    prompts = spark.createDataFrame([(i, toks[i % 5]) for i in range(50)], "prompt_id long, toks array<string>").coalesce(1)
+
+    def made():
+        g = G.generate(prompts, counts, vocab, k=1, steps=6, temperature=0.8, top_k=2, seed=3)
+        return {r["prompt_id"]: (r["toks"], r["new_toks"]) for r in g.collect()}
+
+    together = made()
+    assert len(together) == 50 and all(len(n) == 6 for _, n in together.values()) and together[3][0] == ["c", "b"]
+    monkeypatch.setattr(G, "AT_ONCE", 7)
+    assert made() == together
