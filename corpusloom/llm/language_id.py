@@ -69,8 +69,7 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Model:
-    """The automata of all languages as one table: entry ``state * classes + class`` is the next state
-    (times classes); the top two bits say how many phrases begin at or right after this character."""
+    """The automata of all languages: their transitions (state, class, next state), which travel to the tasks."""
 
     def __init__(self, reference: dict[str, str]):
         self.langs = sorted(reference)
@@ -80,28 +79,35 @@ class Model:
         found = found[np.lexsort((found, -n))][:MAX_CLASSES]
         self.classes = len(found) + 2  # 0: a gap between words, 1: other letters
         self.codes = {int(c): i + 2 for i, c in enumerate(found)}
-        tables, roots, base = [], [], 0
+        self.moves, self.sizes = [], []
         for k in self.langs:
             nxt = suffix_automaton(self.symbols(texts[k])[0].tolist())
-            t = np.full((len(nxt), self.classes), -1, np.int64)
-            for s, out in enumerate(nxt):
-                for c, to in out.items():
-                    t[s, c] = to
-            start = np.where(t[0] < 0, 0, t[0])
-            ends = np.where(t[0] < 0, 2, 1)[None, :].repeat(len(t), 0)  # a letter the reference lacks is a phrase of its own
-            ends[0] = 1
-            step = np.where(t < 0, (start + base) | (ends << 40), t + base)
-            tables.append(step)
-            roots.append(base)
-            base += len(nxt)
-        step = np.concatenate(tables) if tables else np.zeros((0, self.classes), np.int64)
-        ends = step >> 40
-        if base * self.classes >= 1 << 30:
+            self.moves.append(np.fromiter((x for s, out in enumerate(nxt) for c, to in out.items() for x in (s, c, to)),
+                                          np.int32).reshape(-1, 3))
+            self.sizes.append(len(nxt))
+        if sum(self.sizes) * self.classes >= 1 << 30:
             raise ValueError("too many languages or letters for one table: lower ref_chars")
-        self.step = (((step & ((1 << 40) - 1)) * self.classes) | (ends << 30)).astype(np.uint32).ravel()
-        self.roots = np.array(roots, np.uint32) * np.uint32(self.classes)
+        self.bases = np.cumsum([0, *self.sizes])[:-1]
+        self.roots = (self.bases * self.classes).astype(np.uint32)
         self.log_n = np.array([math.log(max(2, len(texts[k]))) for k in self.langs])
 
+    def table(self) -> np.ndarray:
+        """All automata as one table, laid out in the task: entry ``state * classes + class`` is the next state
+        (times classes); the top two bits say how many phrases begin at or right after this character."""
+        if not hasattr(self, "_table"):
+            table = np.empty((sum(self.sizes), self.classes), np.uint32)
+            for moves, base, size in zip(self.moves, self.bases.tolist(), self.sizes, strict=True):
+                state, letter, to = moves.T.astype(np.int64)
+                start = np.zeros(self.classes, np.int64)
+                start[letter[state == 0]] = to[state == 0]
+                part = table[base: base + size]
+                # a letter the reference lacks is a phrase of its own
+                part[:] = (start + base) * self.classes | np.where(start == 0, 2, 1) << 30
+                part[0] = base * self.classes | 1 << 30
+                part[state, letter] = (to + base) * self.classes
+            self._table = table.ravel()
+        return self._table
+
     def symbols(self, points: np.ndarray, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Classes of the characters; what is no letter becomes one gap (never two in a row)."""
         if not hasattr(self, "_lut"):
@@ -118,7 +124,7 @@ class Model:
         return s[keep], None if doc is None else doc[keep]
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_lut"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_lut", "_table")}
 
     def parse(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Letters of each text, and its phrases under each language (texts x languages)."""
@@ -132,9 +138,10 @@ class Model:
         begin, size = (np.cumsum(n) - n)[owner], n[owner]
         state = np.repeat(self.roots[None, :], len(owner), 0)
         phrases = np.ones((len(owner), k), np.int32)
+        table = self.table()
         live = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")  # texts longer than j
         for j, m in enumerate(live.tolist()):
-            v = self.step[state[:m] + s[begin[:m] + j][:, None]]
+            v = table[state[:m] + s[begin[:m] + j][:, None]]
             phrases[:m] += (v >> 30).astype(np.int32)
             state[:m] = v & 0x3FFFFFFF
         total = np.zeros((len(texts), k), np.int64)

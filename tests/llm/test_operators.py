@@ -204,6 +204,32 @@ def test_language_held_out_accuracy(spark, make_docs):
     assert {r["lang_pred"] for r in L.identify(odd, empty).collect()} == {"und"}
 
 
+def test_language_model_is_small_until_a_task_lays_it_out():
+    import tracemalloc
+
+    from pyspark import cloudpickle
+
+    rng = np.random.default_rng(5)
+    letters = np.array([chr(0x4E00 + i) for i in range(600)] + [" "] * 20)
+    ref = {lang: "".join(rng.choice(letters, 3_000)) for lang in ("aa", "bb", "cc")}
+    tracemalloc.start()
+    model = L.Model(ref)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sent = len(cloudpickle.dumps(model))
+    laid_out = model.table()
+    assert laid_out.nbytes > 20e6 and peak < 10e6 and sent < 2e6
+    assert len(cloudpickle.dumps(model)) == sent  # what a task has laid out does not travel
+    for k, lang in enumerate(model.langs):  # each automaton reads its own reference as one phrase
+        symbols, at, phrases = model.symbols(L._code_points(ref[lang]))[0], int(model.roots[k]), 0
+        for c in symbols.tolist():
+            v = int(laid_out[at + c])
+            at, phrases = v & 0x3FFFFFFF, phrases + (v >> 30)
+        assert phrases == 0
+    texts = [ref["bb"][100:300], "\u0e01" + ref["cc"][:50] + "\u0e01", ""]
+    assert model.predict(texts)[0] == ["bb", "cc", "und"]
+
+
 @pytest.mark.parametrize("rule", K.RULES)
 def test_token_attribution(spark, make_docs, rule):
     enc = K.load_encoder(K.vocabulary_path(spark.sparkContext))
