@@ -161,3 +161,25 @@ def test_difference_cover_merges_all_classes():
             want.append(t[p:p + 100] in seen)
             seen.add(t[p:p + 100])
     assert got.tolist() == want and sum(want) > 20
+
+
+def test_shingles_of_a_large_batch_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    from corpusloom.llm.words import Polynomials
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5_000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(3_000)]
+    col, n = pa.array(texts), 0
+    tracemalloc.start()
+    for i, t in J.shingle_sets(col, 5, Polynomials()):
+        n += 1
+        if i % 500 == 0:
+            w = texts[i].split()
+            alone = [s for _, s in J.shingle_sets(pa.array([texts[i]]), 5, Polynomials())]
+            assert len(t) == len({tuple(w[j:j + 5]) for j in range(len(w) - 4)}) and np.array_equal(t, alone[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(texts) and col.nbytes > 4e6 and peak < 30e6
